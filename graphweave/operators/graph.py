@@ -90,15 +90,18 @@ def edge_id(resolved: DataFrame) -> DataFrame:
 def paths(
     nodes: DataFrame,
     resolved: DataFrame,
-    seed: str | list[str] | None,
-    dst_type: str,
+    seed: str | list[str] | None = None,
+    dst_type: str = "Location",
     max_hops: int = 3,
     checkpoint: bool = True,
+    seed_nodes: DataFrame | None = None,
 ) -> DataFrame:
     """``seed_key, dst_key, dst_name, hops, path`` (node names joined by ``|``).
 
-    ``seed`` is a node name, a list of names, or None for every node (the whole
-    graph as seeds). Each path is a sequence of distinct edges; nodes may repeat."""
+    Seeds: ``seed_nodes`` (a node DataFrame), else ``seed`` as a node name or list
+    of names, else every node. Each path is a sequence of distinct edges; nodes may
+    repeat. The result grows with the graph: hubs make it large by nature, and the
+    hop joins are skew-split by AQE rather than capped."""
     if checkpoint:
         ensure_checkpoint_dir(nodes.sparkSession)
     e = edge_id(resolved)
@@ -107,8 +110,8 @@ def paths(
     )
     info = nodes.select(F.col("entity_key").alias("b"), F.col("name").alias("b_name"), F.col("type").alias("b_type"))
     adj = adj.join(info, "b")
-    start = nodes
-    if seed is not None:
+    start = seed_nodes if seed_nodes is not None else nodes
+    if seed_nodes is None and seed is not None:
         seeds = [seed] if isinstance(seed, str) else list(seed)
         start = start.where(F.col("name").isin(*seeds))
     frontier = start.select(

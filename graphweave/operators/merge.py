@@ -70,8 +70,8 @@ def merge_entities(entities: DataFrame, ord_cols=DEFAULT_ORD, prepared: bool = F
         "entity_key",
         "type",
         o.alias("ord"),
-        F.posexplode("props").alias("ppos", "prop", "value"),
-    )
+        F.posexplode_outer("props").alias("ppos", "prop", "value"),
+    ).where(F.col("prop").isNotNull())
     is_chunk_text = (F.col("type") == "Chunk") & (F.col("prop") == "text")
     folded = long.groupBy("entity_key", "prop").agg(
         F.min_by("value", F.when(truthy(F.col("value")), F.col("ord"))).alias("first_truthy"),

@@ -96,46 +96,66 @@ def complete(
         )
         return F.when(bad, ent(e["type"], e["fname"], set_prop(e["props"], "name", _v(doc)))).otherwise(e)
 
-    extracted = F.transform(
-        F.col("result.entities"),
-        lambda e: rename_document(ent(e["type"], e["name"], shape_properties(e["name"], e["properties"]))),
-    )
-    has_doc = F.exists(extracted, lambda e: e["type"] == "Document")
-    has_chunk = F.exists(extracted, lambda e: (e["type"] == "Chunk") & (e["fname"] == cname))
-    entities_ok = F.concat(extracted, _one_if(doc_node, ~has_doc), _one_if(chunk_node, ~has_chunk))
-
-    given_rels = F.transform(
-        F.col("result.relationships"),
-        lambda r: rel(r["source"], r["target"], r["type"], F.coalesce(r["properties"], empty_props())),
+    # Stage 1: shape the returned lists once (later steps read the columns; Spark
+    # does not inline an expensive projection that is referenced several times).
+    s1 = results.select(
+        "path",
+        doc.alias("document_name"),
+        cnum.cast("int").alias("chunk_number"),
+        cname.alias("__cname"),
+        failed.alias("__failed"),
+        F.col("error"),
+        chunk_node.alias("__chunk_node"),
+        doc_node.alias("__doc_node"),
+        F.transform(
+            F.col("result.entities"),
+            lambda e: rename_document(ent(e["type"], e["name"], shape_properties(e["name"], e["properties"]))),
+        ).alias("__x"),
+        F.transform(
+            F.col("result.relationships"),
+            lambda r: rel(r["source"], r["target"], r["type"], F.coalesce(r["properties"], empty_props())),
+        ).alias("__gr"),
     )
+    cname1, doc1 = F.col("__cname"), F.col("document_name")
+    x = F.col("__x")
+    has_doc = F.exists(x, lambda e: e["type"] == "Document")
+    has_chunk = F.exists(x, lambda e: (e["type"] == "Chunk") & (e["fname"] == cname1))
     has_link = F.exists(
-        given_rels,
-        lambda r: ((r["source"] == cname) & (r["target"] == doc) & (r["type"] == "BELONGS_TO"))
-        | ((r["source"] == doc) & (r["target"] == cname) & (r["type"] == "CONTAINS")),
+        F.col("__gr"),
+        lambda r: ((r["source"] == cname1) & (r["target"] == doc1) & (r["type"] == "BELONGS_TO"))
+        | ((r["source"] == doc1) & (r["target"] == cname1) & (r["type"] == "CONTAINS")),
+    )
+    belongs = rel(cname1, doc1, F.lit("BELONGS_TO"), empty_props())
+    # Stage 2: the completed entity list.
+    s2 = s1.select(
+        "path", "document_name", "chunk_number", "__cname", "__failed", "error", "__gr",
+        F.when(F.col("__failed"), F.array(F.col("__chunk_node"), F.col("__doc_node")))
+        .otherwise(F.concat(x, _one_if(F.col("__doc_node"), ~has_doc), _one_if(F.col("__chunk_node"), ~has_chunk)))
+        .alias("__ents"),
+        F.when(F.col("__failed"), F.array(belongs))
+        .otherwise(F.concat(F.col("__gr"), _one_if(belongs, ~F.coalesce(has_link, F.lit(False)))))
+        .alias("__rels0"),
     )
-    belongs = rel(cname, doc, F.lit("BELONGS_TO"), empty_props())
     mentions = F.transform(
-        F.filter(entities_ok, lambda e: ~e["type"].isin("Chunk", "Document")),
+        F.filter(F.col("__ents"), lambda e: ~e["type"].isin("Chunk", "Document")),
         lambda e: rel(
-            cname,
+            F.col("__cname"),
             F.try_variant_get(F.try_element_at(e["props"], F.lit("name")), "$", "string"),
             F.lit("MENTIONS"),
-            F.create_map(F.lit("chunk_number"), _v(cnum)),
+            F.create_map(F.lit("chunk_number"), _v(F.col("chunk_number"))),
         ),
     )
-    rels_ok = F.concat(given_rels, _one_if(belongs, ~F.coalesce(has_link, F.lit(False))), mentions)
-
-    staged = results.select(
+    staged = s2.select(
         "path",
-        doc.alias("document_name"),
-        cnum.cast("int").alias("chunk_number"),
-        F.when(failed, F.array(chunk_node, doc_node)).otherwise(entities_ok).alias("__ents"),
-        F.when(failed, F.array(belongs)).otherwise(rels_ok).alias("__rels"),
-        F.when(failed, F.coalesce(F.col("error"), F.lit("no result"))).alias("extraction_error"),
+        "document_name",
+        "chunk_number",
+        "__ents",
+        F.when(F.col("__failed"), F.col("__rels0")).otherwise(F.concat(F.col("__rels0"), mentions)).alias("__rels"),
+        F.when(F.col("__failed"), F.coalesce(F.col("error"), F.lit("no result"))).alias("extraction_error"),
     )
     entities = staged.select(
-        "path", "document_name", "chunk_number", "extraction_error", F.posexplode("__ents").alias("pos", "e")
-    ).select(
+        "path", "document_name", "chunk_number", "extraction_error", F.posexplode_outer("__ents").alias("pos", "e")
+    ).where(F.col("pos").isNotNull()).select(
         "path",
         "document_name",
         "chunk_number",
@@ -146,8 +166,8 @@ def complete(
         "extraction_error",
     )
     relationships = staged.select(
-        "path", "document_name", "chunk_number", F.posexplode("__rels").alias("pos", "r")
-    ).select(
+        "path", "document_name", "chunk_number", F.posexplode_outer("__rels").alias("pos", "r")
+    ).where(F.col("pos").isNotNull()).select(
         "path",
         "document_name",
         "chunk_number",
@@ -157,4 +177,6 @@ def complete(
         F.col("r.type").alias("type"),
         F.col("r.props").alias("props"),
     )
+    # posexplode_outer: a plain posexplode makes Spark infer ``size(array) > 0`` and
+    # push it below the projections, evaluating the whole extraction twice.
     return entities, relationships

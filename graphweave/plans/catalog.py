@@ -325,3 +325,126 @@ def repair_post_merge(spark, sf):
 def placeholder_text(spark, sf):
     s = export.node_statements(_post_nodes(spark, sf))
     return s.select("entity_key", "statement")
+
+
+# ---------------------------------------------------------------------------
+# J5/J6/A4/A5/A6 edges over the star schema as a graph
+# ---------------------------------------------------------------------------
+
+STAR_ORD = ("path", "seq", "pos")
+
+
+def _star(spark, sf):
+    return V.star_nodes(spark, sf), V.star_rels_dirty(spark, sf)
+
+
+def _star_resolved(spark, sf):
+    n, r = _star(spark, sf)
+    return edges.resolve(n, r)
+
+
+_STAR = O.with_(O.STAR_ROWS, O.STAR_RELS)
+
+
+@register(
+    "strict_edges",
+    _STAR + "SELECT source, target, type FROM star_rels_dirty "
+    "WHERE source IN (SELECT name FROM star_nodes) AND target IN (SELECT name FROM star_nodes)",
+)
+def strict_edges(spark, sf):
+    n, r = _star(spark, sf)
+    return edges.strict(n, r).select("source", "target", "type")
+
+
+@register("resolved_edges", _STAR + "SELECT src_key, src_type, dst_key, dst_type, type, source, target FROM star_resolved")
+def resolved_edges(spark, sf):
+    return _star_resolved(spark, sf).select("src_key", "src_type", "dst_key", "dst_type", "type", "source", "target")
+
+
+@register("dedup_edges", _STAR + "SELECT DISTINCT src_key, dst_key, type FROM star_resolved")
+def dedup_edges(spark, sf):
+    return edges.dedupe(_star_resolved(spark, sf)).select("src_key", "dst_key", "type")
+
+
+@register(
+    "name_nodes",
+    _STAR + "SELECT name AS node_id, arg_max(type, path || '|' || lpad(seq::VARCHAR, 20, '0')) AS type FROM star_nodes GROUP BY name",
+)
+def name_nodes_q(spark, sf):
+    return graph.name_nodes(V.star_nodes(spark, sf)).select("node_id", "type")
+
+
+@register(
+    "undirected_edges",
+    _STAR
+    + """SELECT u, v, type, source, target FROM (
+  SELECT least(source, target) AS u, greatest(source, target) AS v, type, source, target,
+         row_number() OVER (PARTITION BY least(source, target), greatest(source, target)
+                            ORDER BY path DESC, seq DESC, pos DESC) AS rn
+  FROM star_rels_dirty
+  WHERE source IN (SELECT name FROM star_nodes) AND target IN (SELECT name FROM star_nodes)) WHERE rn = 1""",
+)
+def undirected_edges_q(spark, sf):
+    n, r = _star(spark, sf)
+    return graph.undirected_edges(n, r, ord_cols=STAR_ORD).select("u", "v", "type", "source", "target")
+
+
+# ---------------------------------------------------------------------------
+# J7/J8/J9 pattern queries
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "match_typed",
+    _STAR + "SELECT source AS src_name, type, target AS dst_name FROM star_resolved "
+    "WHERE src_type = 'Person' AND type = 'PARTICIPATES_IN' AND dst_type = 'Event'",
+)
+def match_typed(spark, sf):
+    m = graph.match(_star_resolved(spark, sf), "Person", "PARTICIPATES_IN", "Event")
+    return m.select(F.col("source").alias("src_name"), "type", F.col("target").alias("dst_name"))
+
+
+@register(
+    "document_mentions",
+    O.with_(O.DOC_FILES, O.DOC_CHUNKS, O.hits("doc_chunks"))
+    + "SELECT DISTINCT c.document_name, "
+    + O.key("e.type", "e.name")
+    + " AS entity_key, e.name AS entity_name, e.type AS entity_type FROM ents e JOIN doc_chunks c USING (chunk_name)",
+)
+def document_mentions_q(spark, sf):
+    from graphweave.plans.build import build_graph
+
+    nodes, rels = build_graph(V.doc_results(spark, sf))
+    m = graph.document_mentions(edges.resolve(nodes, rels))
+    return m.select("document_name", "entity_key", "entity_name", "entity_type")
+
+
+_PATHS = (
+    _STAR
+    + """, e AS (SELECT DISTINCT src_key, dst_key, src_key || '|' || type || '|' || dst_key || '|{}' AS eid FROM star_resolved),
+adj AS (
+  SELECT e.src_key AS a, e.dst_key AS b, e.eid, n.name AS b_name, n.type AS b_type FROM e JOIN star_nodes n ON n.entity_key = e.dst_key
+  UNION ALL
+  SELECT e.dst_key, e.src_key, e.eid, n.name, n.type FROM e JOIN star_nodes n ON n.entity_key = e.src_key WHERE e.src_key <> e.dst_key),
+seeds AS (SELECT entity_key AS seed_key, name FROM star_nodes WHERE path = 'region'),
+h1 AS (SELECT s.seed_key, a1.b AS cur, s.name || '|' || a1.b_name AS path, a1.eid AS e1, a1.b_type AS t FROM seeds s JOIN adj a1 ON a1.a = s.seed_key),
+h2 AS (SELECT h.seed_key, a2.b AS cur, h.path || '|' || a2.b_name AS path, h.e1, a2.eid AS e2, a2.b_type AS t
+       FROM h1 h JOIN adj a2 ON a2.a = h.cur WHERE a2.eid <> h.e1),
+h3 AS (SELECT h.seed_key, a3.b AS cur, h.path || '|' || a3.b_name AS path, a3.b_type AS t
+       FROM h2 h JOIN adj a3 ON a3.a = h.cur WHERE a3.eid <> h.e1 AND a3.eid <> h.e2)
+"""
+)
+
+
+@register(
+    "paths_1_3",
+    _PATHS
+    + """SELECT seed_key, cur AS dst_key, 1 AS hops, path FROM h1 WHERE t = 'Location'
+UNION ALL SELECT seed_key, cur, 2, path FROM h2 WHERE t = 'Location'
+UNION ALL SELECT seed_key, cur, 3, path FROM h3 WHERE t = 'Location'""",
+)
+def paths_1_3(spark, sf):
+    n, r = _star(spark, sf)
+    res = edges.resolve(n, r)
+    p = graph.paths(n, res, seed_nodes=n.where(F.col("first_ord.path") == "region"), dst_type="Location", max_hops=3)
+    return p.select("seed_key", "dst_key", F.col("hops").cast("int").alias("hops"), "path")
