@@ -78,10 +78,9 @@ def edge_statements(rels: DataFrame) -> DataFrame:
     """P18 + P23: one statement per relationship row with truthy endpoints."""
     body, n = render("props")
     ok = F.coalesce((F.col("source") != "") & (F.col("target") != ""), F.lit(False))
+    keep = [c for c in rels.columns if c != "props"]
     return rels.where(ok).select(
-        "path",
-        "chunk_number",
-        "pos",
+        *keep,
         _fmt(
             EDGE_FMT,
             source=escape_string(F.col("source")),

@@ -448,3 +448,248 @@ def paths_1_3(spark, sf):
     res = edges.resolve(n, r)
     p = graph.paths(n, res, seed_nodes=n.where(F.col("first_ord.path") == "region"), dst_type="Location", max_hops=3)
     return p.select("seed_key", "dst_key", F.col("hops").cast("int").alias("hops"), "path")
+
+
+# ---------------------------------------------------------------------------
+# P16-P24 statements
+# ---------------------------------------------------------------------------
+
+
+@register("node_statements", _STAR + "SELECT entity_key, 'MERGE (n:' || type || ' {' || body || '})' AS statement FROM star_nodes")
+def node_statements_q(spark, sf):
+    return export.node_statements(V.star_nodes(spark, sf)).select("entity_key", "statement")
+
+
+@register(
+    "edge_statements",
+    _STAR
+    + "SELECT 'MATCH (a {name: ''' || "
+    + O.esc("source")
+    + " || '''})' || chr(10) || '            MATCH (b {name: ''' || "
+    + O.esc("target")
+    + " || '''})' || chr(10) || '            MERGE (a)-[r:' || type || ']->(b)' AS statement "
+    "FROM star_rels_dirty WHERE source <> '' AND target <> ''",
+)
+def edge_statements_q(spark, sf):
+    return export.edge_statements(V.star_rels_dirty(spark, sf)).select("statement")
+
+
+_VEC_NODES = """WITH vec AS (
+  SELECT 'Cluster' || label AS type, CASE WHEN vec_id % 10 = 0 THEN [] ELSE embedding END AS emb FROM embeddings)
+"""
+
+
+@register(
+    "index_statements",
+    _VEC_NODES
+    + "SELECT DISTINCT type, 'CREATE VECTOR INDEX ' || lower(type) || '_embeddings IF NOT EXISTS' || chr(10) || "
+    "'                FOR (n:' || type || ') ON n.embedding' || chr(10) || '                OPTIONS {' || chr(10) || "
+    "'                    indexConfig: {' || chr(10) || '                        `vector.dimensions`: ' || len(emb) || ',' || chr(10) || "
+    "'                        `vector.similarity_function`: ''cosine''' || chr(10) || '                    }' || chr(10) || "
+    "'                }' AS statement FROM vec WHERE len(emb) > 0",
+)
+def index_statements_q(spark, sf):
+    e = V.table(spark, sf, "embeddings")
+    dims = len(e.select("embedding").where(F.size("embedding") > 0).first()[0])
+    emb = F.when(F.col("vec_id") % 10 == 0, F.array().cast("array<float>")).otherwise(F.col("embedding"))
+    rows = e.select(
+        F.lit("embeddings").alias("path"), F.col("vec_id").alias("seq"), F.lit(0).alias("pos"),
+        F.concat(F.lit("Cluster"), F.col("label")).alias("type"),
+        F.concat(F.lit("vec_"), F.col("vec_id")).alias("name"),
+        F.create_map(
+            F.lit("name"), F.concat(F.lit("vec_"), F.col("vec_id")).cast("variant"), F.lit("embedding"), emb.cast("variant")
+        ).alias("props"),
+        F.lit("embeddings").alias("document_name"),
+    )
+    nodes = merge.merge_entities(rows, ord_cols=STAR_ORD)
+    return export.index_statements(nodes, enabled=True, dims=dims, sim="cosine")
+
+
+@register(
+    "escape_literals",
+    "SELECT doc_id, md5('''' || " + O.esc("text") + " || '''') AS literal_md5, "
+    "length('''' || " + O.esc("text") + " || '''')::BIGINT AS literal_chars FROM documents",
+)
+def escape_literals(spark, sf):
+    d = V.table(spark, sf, "documents")
+    lit_ = string_literal(F.col("text"))
+    return d.select("doc_id", F.md5(lit_).alias("literal_md5"), F.char_length(lit_).cast("bigint").alias("literal_chars"))
+
+
+@register(
+    "variant_literals",
+    "SELECT event_id, 'name: ''' || event_type || ''', k: ' || json_extract(props, '$.k')::BIGINT || ', tags: [' || "
+    "json_extract(props, '$.k')::BIGINT || ', ' || user_id || '], labels: [''' || event_type || ''', null]' AS rendered FROM events",
+)
+def variant_literals(spark, sf):
+    e = V.table(spark, sf, "events")
+    k = F.try_element_at(F.from_json("props", "map<string,variant>"), F.lit("k"))
+    props = F.create_map(
+        F.lit("name"), F.col("event_type").cast("variant"),
+        F.lit("k"), k,
+        F.lit("tags"), F.array(k, F.col("user_id").cast("variant")).cast("variant"),
+        F.lit("labels"), F.parse_json(F.concat(F.lit('["'), F.col("event_type"), F.lit('", null]'))),
+        F.lit("blank"), F.lit("  ").cast("variant"),
+        F.lit("none"), F.parse_json(F.lit("null")),
+    )
+    body, _n = export.render(props)
+    return e.select("event_id", body.alias("rendered"))
+
+
+# ---------------------------------------------------------------------------
+# S2/J1/J2/I2/I4 increments and the store
+# ---------------------------------------------------------------------------
+
+_MANIFEST = O.with_(O.DOC_FILES) + """, manifest AS (
+  SELECT path, document_name,
+         CASE WHEN doc_id % 9 = 0 THEN md5(text || ' ') ELSE content_md5 END AS content_md5,
+         CASE WHEN doc_id % 3 = 0 THEN 'ok' ELSE 'failed' END AS status, doc_id
+  FROM doc_files)
+"""
+
+
+@register("content_hash", O.with_(O.DOC_FILES) + "SELECT document_name, path, content_md5 FROM doc_files")
+def content_hash(spark, sf):
+    return V.doc_files(spark, sf).select("document_name", "path", "content_md5")
+
+
+@register(
+    "pending_path",
+    _MANIFEST + "SELECT f.path FROM doc_files f WHERE f.path NOT IN (SELECT path FROM manifest WHERE status = 'ok')",
+)
+def pending_path(spark, sf):
+    from graphweave.sources import manifest
+
+    return manifest.pending(V.doc_files(spark, sf), V.doc_manifest(spark, sf), "path").select("path")
+
+
+@register(
+    "pending_content",
+    _MANIFEST + "SELECT f.path FROM doc_files f ANTI JOIN (SELECT * FROM manifest WHERE status = 'ok') m "
+    "ON f.path = m.path AND f.content_md5 = m.content_md5",
+)
+def pending_content(spark, sf):
+    from graphweave.sources import manifest
+
+    return manifest.pending(V.doc_files(spark, sf), V.doc_manifest(spark, sf), "content").select("path")
+
+
+@register(
+    "cache_split",
+    _MANIFEST + "SELECT f.document_name, CASE WHEN m.document_name IS NULL THEN 'miss' ELSE 'hit' END AS cache "
+    "FROM doc_files f LEFT JOIN (SELECT DISTINCT document_name, content_md5 FROM manifest WHERE status = 'ok') m "
+    "ON f.document_name = m.document_name AND f.content_md5 = m.content_md5",
+)
+def cache_split(spark, sf):
+    from graphweave.sources import store
+
+    stored = V.doc_manifest(spark, sf).where(F.col("status") == "ok")
+    hits, misses = store.split_cached(V.doc_files(spark, sf), stored)
+    return hits.select("document_name", F.lit("hit").alias("cache")).unionByName(
+        misses.select("document_name", F.lit("miss").alias("cache"))
+    )
+
+
+@register(
+    "latest_only",
+    _MANIFEST + """, versions AS (
+  SELECT document_name, content_md5, TIMESTAMP '2024-01-01 00:00:00' AS extraction_time FROM manifest
+  UNION ALL
+  SELECT document_name, content_md5, TIMESTAMP '2024-02-01 00:00:00' FROM doc_files WHERE doc_id % 2 = 0)
+SELECT document_name, arg_max(content_md5, extraction_time) AS content_md5 FROM versions GROUP BY document_name""",
+)
+def latest_only_q(spark, sf):
+    from graphweave.sources import store
+
+    m = V.doc_manifest(spark, sf).select("document_name", "content_md5", F.col("finished_at").alias("extraction_time"))
+    f = V.doc_files(spark, sf).where(F.col("doc_id") % 2 == 0).select(
+        "document_name", "content_md5", F.lit("2024-02-01 00:00:00").cast("timestamp").alias("extraction_time")
+    )
+    return store.latest_only(m.unionByName(f)).select("document_name", "content_md5").distinct()
+
+
+# ---------------------------------------------------------------------------
+# S3 text validity, custom reader
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "text_validity",
+    "SELECT 'doc_' || doc_id AS item, doc_id % 7 <> 0 AS valid, "
+    "CASE WHEN doc_id % 7 <> 0 THEN length(text) END::BIGINT AS n_chars FROM documents "
+    "UNION ALL SELECT 'bench_' || item_id, item_id % 7 <> 0, CASE WHEN item_id % 7 <> 0 THEN length(text) END::BIGINT FROM benchmark",
+)
+def text_validity(spark, sf):
+    from graphweave.functions.text import fold_newlines
+
+    def files(df, prefix, idc):
+        # CRLF line ends when id % 5 = 0, a stray 0xFF byte when id % 7 = 0
+        t = F.when(F.col(idc) % 5 == 0, F.replace(F.col("text"), F.lit("\n"), F.lit("\r\n"))).otherwise(F.col("text"))
+        b = F.encode(t, "UTF-8")
+        b = F.when(F.col(idc) % 7 == 0, F.concat(b, F.unhex(F.lit("FF")))).otherwise(b)
+        return df.select(F.concat(F.lit(prefix), F.col(idc)).alias("item"), b.alias("content"))
+
+    c = files(V.table(spark, sf, "documents"), "doc_", "doc_id").unionByName(
+        files(V.table(spark, sf, "benchmark"), "bench_", "item_id")
+    )
+    raw = F.col("content").cast("string")
+    valid = F.is_valid_utf8(raw)
+    return c.select("item", valid.alias("valid"), F.when(valid, F.char_length(fold_newlines(raw))).cast("bigint").alias("n_chars"))
+
+
+_HTML = r"""SELECT page_id, md5(t) AS text_md5, length(t)::BIGINT AS text_chars FROM (
+  SELECT page_id, trim(regexp_replace(
+    replace(replace(replace(replace(replace(
+      regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g'),
+        '(?is)<(script|style|head)[^>]*>.*?</(script|style|head)\s*>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'),
+      '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'),
+    '[ \t\r\n]+', ' ', 'g'), ' ') AS t FROM pages)"""
+
+
+@register("custom_reader_html", _HTML)
+def custom_reader_html(spark, sf):
+    from graphweave.sources.files import html_text
+
+    p = V.table(spark, sf, "pages")
+    t = html_text("html")
+    return p.select("page_id", F.md5(t).alias("text_md5"), F.char_length(t).cast("bigint").alias("text_chars"))
+
+
+# ---------------------------------------------------------------------------
+# V1/V2 vectors
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "vector_top_k",
+    """SELECT query_id, rank, base_id, sim FROM (
+  SELECT q.vec_id AS query_id, b.vec_id AS base_id,
+         round(list_cosine_similarity(q.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS sim,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(q.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) DESC, b.vec_id)::INTEGER AS rank
+  FROM embeddings q, embeddings b WHERE q.vec_id <> b.vec_id) WHERE rank <= 5""",
+)
+def vector_top_k(spark, sf):
+    from graphweave.operators import vectors
+
+    e = V.table(spark, sf, "embeddings")
+    return vectors.top_k(e, e, k=5, exclude_self=True, query_block_rows=256, base_block_rows=256)
+
+
+@register(
+    "similar_pairs",
+    """SELECT a.vec_id AS a_id, b.vec_id AS b_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS sim
+FROM embeddings a, embeddings b
+WHERE a.vec_id < b.vec_id AND list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.35""",
+)
+def similar_pairs(spark, sf):
+    from graphweave.operators import vectors
+
+    return vectors.similar_pairs(V.table(spark, sf, "embeddings"), threshold=0.35, block_rows=256)
+
+
+@register("embed_chunks")
+def embed_chunks(spark, sf):
+    from graphweave.operators import vectors
+
+    c = V.doc_chunks(spark, sf)
+    return vectors.embed(c, "text", dims=256).select("chunk_name", F.size("embedding").cast("bigint").alias("dims"))
