@@ -36,3 +36,69 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.countDistinct("document_key").cast("bigint").alias("n_documents"))
         .orderBy(F.col("n_documents").desc(), F.col("entity_key"))
     )
+
+
+def run_batch(
+    spark: SparkSession,
+    input_dir: str,
+    work_dir: str,
+    run_id: str,
+    formats=("txt", "pdf", "docx", "md"),
+    incremental: str = "path",
+    size: int = 1500,
+    overlap: int = 500,
+    extractor=None,
+    readers=None,
+    write_outputs: bool = True,
+):
+    """One batch run over the files of ``input_dir``.
+
+    discover → pending (manifest anti-join) → read text → chunk → extract → **write
+    store, read back** → complete → merge → repair → statements → script; manifest
+    rows for every file (ok or failed). Returns a dict of DataFrames."""
+    from graphweave.operators import chunking, export, extract
+    from graphweave.sources import files as fsrc
+    from graphweave.sources import manifest as msrc
+    from graphweave.sources import store as ssrc
+
+    man_path, store_path = f"{work_dir}/manifest", f"{work_dir}/store"
+    done = msrc.read(spark, man_path)
+    found = fsrc.discover(spark, input_dir, formats)
+    if incremental == "path":  # skip before any byte is read
+        found = msrc.pending(found, done, "path")
+    with_bytes = fsrc.load_content(spark, found, input_dir)
+    docs = fsrc.read_text(with_bytes.drop("document_name"), readers)
+    todo = docs if incremental == "path" else msrc.pending(docs, done, incremental)
+    ok_docs = todo.where(F.col("error").isNull())
+    chunks = chunking.chunk(ok_docs.select("path", "document_name", "content_md5", "text"), size, overlap)
+    results = extract.extract(chunks, fn=extractor)
+    ssrc.write_store(results, store_path, run_id)
+    stored = ssrc.read_store(spark, store_path).join(todo.select("path", "content_md5"), ["path", "content_md5"], "left_semi")
+    nodes, rels = build_graph(stored)
+    counts = stored.groupBy("path").agg(F.count("*").cast("int").alias("n_chunks"))
+    if write_outputs:
+        export.write_script(
+            export.node_statements(nodes), export.edge_statements(rels), export.index_statements(nodes, enabled=False),
+            f"{work_dir}/output",
+        )
+    msrc.append(msrc.rows_for(todo, counts, run_id), man_path)
+    return {"nodes": nodes, "relationships": rels, "documents": todo, "store": stored}
+
+
+def rebuild_from_store(spark: SparkSession, records_path: str, latest: bool = False, multiline: bool = True):
+    """JSON extraction records → pre-merge repair → merge → in-merge repair.
+
+    Returns ``(nodes, relationships, quarantine)``."""
+    from graphweave.sources import store as ssrc
+
+    records, bad = ssrc.read_records(spark, records_path, multiline)
+    if latest and "content_md5" in records.columns:
+        records = ssrc.latest_only(records)
+    ents, rels = ssrc.record_rows(records)
+    ents = repair.pre_merge(ents).drop("repaired")
+    rows, quarantine = merge.prepare(ents)
+    nodes = repair.post_merge(merge.merge_entities(rows, prepared=True), rows).drop("repaired")
+    return nodes, rels, quarantine.select("path", "document_name", "reason").unionByName(
+        bad.select(F.col("source_file").alias("path"), F.lit(None).cast("string").alias("document_name"),
+                   F.lit("corrupt record").alias("reason"))
+    )

@@ -693,3 +693,233 @@ def embed_chunks(spark, sf):
 
     c = V.doc_chunks(spark, sf)
     return vectors.embed(c, "text", dims=256).select("chunk_name", F.size("embedding").cast("bigint").alias("dims"))
+
+
+# ---------------------------------------------------------------------------
+# P3 requests
+# ---------------------------------------------------------------------------
+
+
+def _requests_sql() -> str:
+    from graphweave.operators.prompts import request_parts
+
+    head, ctx = request_parts(domain="general")
+    lit_ = "'" + (head + ctx + "Document: ").replace("'", "''") + "'"
+    req = f"({lit_} || document_name || chr(10) || 'Chunk number: ' || chunk_number || chr(10) || 'Text:' || chr(10) || text)"
+    return O.with_(O.DOC_FILES, O.DOC_CHUNKS) + f"SELECT chunk_name, length({req})::BIGINT AS request_chars, md5({req}) AS request_md5 FROM doc_chunks"
+
+
+@register("build_requests", _requests_sql())
+def build_requests(spark, sf):
+    from graphweave.operators.prompts import build_requests as br
+
+    r = br(V.doc_chunks(spark, sf), domain="general")
+    return r.select("chunk_name", F.char_length("request").cast("bigint").alias("request_chars"), F.md5("request").alias("request_md5"))
+
+
+# ---------------------------------------------------------------------------
+# A8-A12 statistics
+# ---------------------------------------------------------------------------
+
+_DOC_STATS = (
+    O.with_(O.DOC_FILES, O.DOC_CHUNKS, O.hits("doc_chunks"))
+    + """, per_chunk AS (
+  SELECT c.document_name, c.chunk_name, c.path, coalesce(e.ne, 0) AS ne, coalesce(r.nr, 0) AS nr
+  FROM doc_chunks c LEFT JOIN nents e USING (chunk_name) LEFT JOIN nrels r USING (chunk_name)),
+keys AS (
+  SELECT """
+    + O.key("type", "name")
+    + """ AS k FROM ents
+  UNION SELECT 'Document_' || lower(document_name) FROM doc_chunks
+  UNION SELECT 'Chunk_' || lower(chunk_name) FROM doc_chunks)
+"""
+)
+
+
+@register(
+    "per_document_stats",
+    _DOC_STATS
+    + "SELECT document_name, count(*)::BIGINT AS n_chunks, sum(ne + 2)::BIGINT AS n_entities, "
+    "sum(nr + 1 + ne)::BIGINT AS n_relationships FROM per_chunk GROUP BY document_name",
+)
+def per_document_stats(spark, sf):
+    from graphweave.operators import stats
+
+    e, r = V.doc_graph(spark, sf)
+    return stats.per_document(e, r)
+
+
+@register(
+    "run_summary",
+    _DOC_STATS
+    + "SELECT count(DISTINCT path)::BIGINT AS files, count(*)::BIGINT AS chunks, sum(ne + 2)::BIGINT AS entity_rows, "
+    "(SELECT count(*) FROM keys)::BIGINT AS nodes, sum(nr + 1 + ne)::BIGINT AS relationships FROM per_chunk",
+)
+def run_summary(spark, sf):
+    from graphweave.operators import stats
+
+    chunks = V.doc_chunks(spark, sf)
+    e, r = V.doc_graph(spark, sf)
+    return stats.run_summary(chunks, e, r, merge.merge_entities(e))
+
+
+@register(
+    "progress",
+    _MANIFEST + "SELECT count(*) FILTER (WHERE status = 'ok')::BIGINT AS processed, count(*)::BIGINT AS total, "
+    "round((100.0 * count(*) FILTER (WHERE status = 'ok') / count(*))::DOUBLE, 1) AS progress_pct FROM manifest",
+)
+def progress(spark, sf):
+    from graphweave.operators import stats
+
+    return stats.progress(V.doc_manifest(spark, sf))
+
+
+def _pipeline_sql() -> str:
+    from graphweave.operators.extract import ENTITY_TYPES, RELATIONSHIP_TYPES
+
+    return (
+        _MANIFEST.replace("WITH ", "WITH " + O.STAR_ROWS + ",\n" + O.STAR_RELS + ",\n", 1)
+        + """, und AS (
+  SELECT DISTINCT least(source, target) AS u, greatest(source, target) AS v FROM star_rels_dirty
+  WHERE source IN (SELECT name FROM star_nodes) AND target IN (SELECT name FROM star_nodes))
+SELECT count(*) FILTER (WHERE status = 'ok')::BIGINT AS processed_files,
+       count(*) FILTER (WHERE status = 'failed')::BIGINT AS failed_files,
+       0::BIGINT AS total_chunks_processed, count(DISTINCT path)::BIGINT AS total_files,
+       '2024-01-01 00:00:00' AS last_execution,
+       (SELECT count(DISTINCT name) FROM star_nodes)::BIGINT AS graph_nodes,
+       (SELECT count(*) FROM und)::BIGINT AS graph_edges,
+       'txt,pdf,docx,md' AS supported_formats, """
+        + f"'{','.join(ENTITY_TYPES)}' AS entity_types, '{','.join(RELATIONSHIP_TYPES)}' AS relationship_types FROM manifest"
+    )
+
+
+@register("pipeline_stats", _pipeline_sql())
+def pipeline_stats(spark, sf):
+    from graphweave.operators import stats
+    from graphweave.operators.extract import ENTITY_TYPES, RELATIONSHIP_TYPES
+
+    n, r = _star(spark, sf)
+    s = stats.pipeline_stats(
+        V.doc_manifest(spark, sf), graph.name_nodes(n), graph.undirected_edges(n, r, ord_cols=STAR_ORD),
+        ("txt", "pdf", "docx", "md"), ENTITY_TYPES, RELATIONSHIP_TYPES,
+    )
+    return s.withColumn("last_execution", F.date_format("last_execution", "yyyy-MM-dd HH:mm:ss"))
+
+
+# ---------------------------------------------------------------------------
+# Files, scripts, store records, streaming (written under the shared scratch
+# folder; checked by row count only)
+# ---------------------------------------------------------------------------
+
+
+def _write_doc_files(spark, sf) -> str:
+    """Write the documents as text files (grouped by language) under scratch."""
+    from graphweave.session import scratch_dir
+
+    root = scratch_dir(spark, "docs")
+    d = V.table(spark, sf, "documents")
+    d.repartition(16, "doc_id").select("lang", "text").write.partitionBy("lang").text(root)
+    return root
+
+
+def _star_script(spark, sf) -> str:
+    from graphweave.session import scratch_dir
+
+    n, r = _star(spark, sf)
+    out = scratch_dir(spark, "scripts")
+    return export.write_script(
+        export.node_statements(n), export.edge_statements(r), export.index_statements(n, enabled=False), out
+    )
+
+
+@register("load_statements")
+def load_statements(spark, sf):
+    return export.load_statements(spark, _star_script(spark, sf), mode="naive")
+
+
+@register(
+    "apply_statements",
+    _STAR + "SELECT true AS ok, ((SELECT count(*) FROM star_nodes) + "
+    "(SELECT count(*) FROM star_rels_dirty WHERE source <> '' AND target <> ''))::BIGINT AS n",
+)
+def apply_statements(spark, sf):
+    stmts = export.load_statements(spark, _star_script(spark, sf), mode="rows")
+    res = export.apply_statements(stmts)
+    return res.groupBy("ok").agg(F.count("*").cast("bigint").alias("n"))
+
+
+@register("latest_script")
+def latest_script(spark, sf):
+    import datetime as dt
+
+    from graphweave.session import scratch_dir
+
+    out = scratch_dir(spark, "scripts")
+    n, r = _star(spark, sf)
+    empty_idx = export.index_statements(n, enabled=False)
+    export.write_script(export.node_statements(n), export.edge_statements(r), empty_idx, out, dt.datetime(2024, 1, 1))
+    export.write_script(export.node_statements(n), export.edge_statements(r), empty_idx, out, dt.datetime(2024, 1, 2))
+    return export.latest_script(spark, out)
+
+
+@register("file_run")
+def file_run(spark, sf):
+    """E1 over files written from the documents table (two runs: the second finds
+    nothing new in path mode)."""
+    from graphweave.plans.build import run_batch
+    from graphweave.session import scratch_dir
+
+    root = _write_doc_files(spark, sf)
+    work = scratch_dir(spark, "work")
+    run_batch(spark, root, work, "run-1")
+    second = run_batch(spark, root, work, "run-2", write_outputs=False)
+    first_nodes = run_batch  # noqa: F841 - documentation only
+    from graphweave.sources import manifest as msrc
+
+    m = msrc.read(spark, f"{work}/manifest")
+    return m.groupBy("run_id", "status").agg(F.count("*").cast("bigint").alias("files")).unionByName(
+        second["documents"].groupBy(F.lit("run-2-pending").alias("run_id"), F.lit("pending").alias("status")).agg(
+            F.count("*").cast("bigint").alias("files")
+        )
+    )
+
+
+def _by_pos(arr):
+    k = lambda z: F.struct(z["chunk_number"], z["pos"])
+    return F.array_sort(arr, lambda a, b: F.when(k(a) < k(b), -1).when(k(a) > k(b), 1).otherwise(0))
+
+
+@register("rebuild_from_records")
+def rebuild_from_records(spark, sf):
+    """E2 over extraction records written (JSON lines) from the conversations."""
+    from graphweave.plans.build import rebuild_from_store
+    from graphweave.session import scratch_dir
+
+    e, r = _conv_graph(spark, sf)
+    ents = e.groupBy("document_name").agg(
+        _by_pos(F.collect_list(F.struct("chunk_number", "pos", F.struct("type", F.col("props").alias("properties")).alias("x")))).alias("l")
+    )
+    rels = r.groupBy("document_name").agg(
+        _by_pos(F.collect_list(F.struct("chunk_number", "pos", F.struct("source", "target", "type", F.col("props").alias("properties")).alias("x")))).alias("l")
+    )
+    rec = ents.join(rels, "document_name").select(
+        "document_name",
+        F.transform(ents["l"], lambda z: z["x"]).alias("entities"),
+        F.transform(rels["l"], lambda z: z["x"]).alias("relationships"),
+        F.lit("2024-01-01T00:00:00").alias("extraction_time"),
+    )
+    path = scratch_dir(spark, "records")
+    rec.write.json(path)
+    nodes, _rels, _bad = rebuild_from_store(spark, path, multiline=False)
+    return nodes.select("entity_key", "type", "name")
+
+
+@register("stream_ingest")
+def stream_ingest_q(spark, sf):
+    from graphweave.session import scratch_dir
+    from graphweave.streaming.ingest import read_output, stream_ingest
+
+    root = _write_doc_files(spark, sf)
+    out, ck = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-ckpt")
+    stream_ingest(spark, root, out, ck, max_files_per_trigger=8)
+    return read_output(spark, out, "entities").select("document_name", "chunk_number", "pos", "type", "name")

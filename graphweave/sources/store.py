@@ -38,12 +38,12 @@ def read_store(spark: SparkSession, store_path: str) -> DataFrame:
     )
 
 
-def read_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_records(spark: SparkSession, path: str, multiline: bool = True) -> tuple[DataFrame, DataFrame]:
     """JSON records (one object per file) → ``(entities, relationships,)`` long
     rows plus ``quarantine`` of corrupt files. Returns ``(records, quarantine)``."""
     raw = (
         spark.read.schema(schemas.RECORD)
-        .option("multiLine", "true")
+        .option("multiLine", "true" if multiline else "false")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .json(path)
