@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graphweave.functions.literals import escape_string, literal
+from graphweave.functions.literals import escape_string, literal_tagged
 from graphweave.functions.text import ustrip
 from graphweave.functions.truth import is_blank_string
 from graphweave.operators import repair
@@ -58,9 +58,13 @@ def render(props_col="props") -> F.Column:
     """P16 + P21: ``k: literal, ...`` after dropping null and blank-string values."""
     p = F.col(props_col) if isinstance(props_col, str) else props_col
     kept = F.map_filter(p, lambda k, v: ~(v.isNull() | F.is_variant_null(v) | is_blank_string(v)))
-    return F.array_join(
-        F.transform(F.map_entries(kept), lambda e: F.concat(e["key"], F.lit(": "), literal(e["value"]))), ", "
-    ), F.size(kept)
+    tagged = F.transform(
+        F.map_entries(kept), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v"), F.schema_of_variant(e["value"]).alias("s"))
+    )
+    body = F.array_join(
+        F.transform(tagged, lambda x: F.concat(x["k"], F.lit(": "), literal_tagged(x["v"], x["s"]))), ", "
+    )
+    return body, F.size(kept)
 
 
 def node_statements(nodes: DataFrame) -> DataFrame:

@@ -8,8 +8,9 @@
 * ``document_mentions`` (J8): documents whose chunks mention an entity
   (MENTIONS ⋈ BELONGS_TO on the chunk node).
 * ``paths`` (J9): undirected paths of 1..max_hops edges from seed nodes to nodes of a
-  label, no edge used twice in a path; built hop by hop with equi-joins, the
-  frontier checkpointed to the shared checkpoint folder after every hop.
+  label, no edge used twice in a path; built hop by hop with equi-joins; the
+  adjacency and each frontier are written once under the shared checkpoint
+  folder and read back, so no hop recomputes the lineage before it.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphweave.operators.edges import node_names, strict
-from graphweave.session import ensure_checkpoint_dir
+from graphweave.session import scratch_dir
 
 
 def name_nodes(nodes: DataFrame) -> DataFrame:
@@ -102,14 +103,22 @@ def paths(
     of names, else every node. Each path is a sequence of distinct edges; nodes may
     repeat. The result grows with the graph: hubs make it large by nature, and the
     hop joins are skew-split by AQE rather than capped."""
-    if checkpoint:
-        ensure_checkpoint_dir(nodes.sparkSession)
+    spark = nodes.sparkSession
+    scratch = scratch_dir(spark, "paths") if checkpoint else None
+
+    def cut(df: DataFrame, name: str) -> DataFrame:
+        # lineage cut: a table written once to the shared checkpoint folder
+        if scratch is None:
+            return df
+        df.write.mode("overwrite").parquet(f"{scratch}/{name}")
+        return spark.read.parquet(f"{scratch}/{name}")
+
     e = edge_id(resolved)
     adj = e.select(F.col("src_key").alias("a"), F.col("dst_key").alias("b"), "eid").unionByName(
         e.where(F.col("src_key") != F.col("dst_key")).select(F.col("dst_key").alias("a"), F.col("src_key").alias("b"), "eid")
     )
     info = nodes.select(F.col("entity_key").alias("b"), F.col("name").alias("b_name"), F.col("type").alias("b_type"))
-    adj = adj.join(info, "b")
+    adj = cut(adj.join(info, "b"), "adjacency")
     start = seed_nodes if seed_nodes is not None else nodes
     if seed_nodes is None and seed is not None:
         seeds = [seed] if isinstance(seed, str) else list(seed)
@@ -133,8 +142,8 @@ def paths(
                 "b_type",
             )
         )
-        if checkpoint and hop < max_hops:
-            step = step.checkpoint(eager=True)
+        if hop < max_hops:
+            step = cut(step, f"hop{hop}")
         found.append(
             step.where(F.col("b_type") == dst_type).select(
                 "seed_key",

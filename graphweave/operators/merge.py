@@ -72,30 +72,32 @@ def merge_entities(entities: DataFrame, ord_cols=DEFAULT_ORD, prepared: bool = F
         o.alias("ord"),
         F.posexplode_outer("props").alias("ppos", "prop", "value"),
     ).where(F.col("prop").isNotNull())
-    is_chunk_text = (F.col("type") == "Chunk") & (F.col("prop") == "text")
+    # Three aggregates per (key, prop): the first row (ord, position, type), the
+    # first truthy value and the last value.
     folded = long.groupBy("entity_key", "prop").agg(
+        F.min(F.struct("ord", "ppos", "type")).alias("first"),
         F.min_by("value", F.when(truthy(F.col("value")), F.col("ord"))).alias("first_truthy"),
         F.max_by("value", "ord").alias("last_value"),
-        F.min(F.struct("ord", "ppos")).alias("seen"),
-        F.min(F.struct(F.col("ord").alias("ord"), F.when(is_chunk_text, F.lit(-1)).otherwise(F.col("ppos")).alias("ppos"))).alias(
-            "seen_alt"
-        ),
-        F.min_by("type", "ord").alias("first_type"),
     )
     per_key = folded.groupBy("entity_key").agg(
         F.collect_list(
             F.struct(
-                F.col("seen"),
-                F.col("seen_alt"),
+                F.col("first"),
                 F.col("prop"),
                 F.coalesce(F.col("first_truthy"), F.col("last_value")).alias("value"),
             )
         ).alias("entries"),
-        F.min_by("first_type", "seen").alias("type"),
-        F.min(F.col("seen.ord")).alias("first_ord"),
+        F.min(F.col("first")).alias("key_first"),
     )
-    first = F.col("first_ord")
-    sort_key = lambda x: F.when(x["seen"]["ord"] == first, x["seen"]).otherwise(x["seen_alt"])
+    first_ord = F.col("key_first.ord")
+
+    def sort_key(x):
+        # A Chunk row that brings ``text`` to an existing node puts it ahead of
+        # that row's other new keys; on the node's first row positions stay.
+        f = x["first"]
+        moved = (x["prop"] == "text") & (f["type"] == "Chunk") & (f["ord"] != first_ord)
+        return F.struct(f["ord"].alias("ord"), F.when(moved, F.lit(-1)).otherwise(f["ppos"]).alias("ppos"))
+
     ordered = F.array_sort(
         F.transform(F.col("entries"), lambda x: F.struct(sort_key(x).alias("k"), x["prop"].alias("prop"), x["value"].alias("value"))),
         lambda a, b: F.when(a["k"] < b["k"], F.lit(-1)).when(a["k"] > b["k"], F.lit(1)).otherwise(F.lit(0)),
@@ -103,10 +105,10 @@ def merge_entities(entities: DataFrame, ord_cols=DEFAULT_ORD, prepared: bool = F
     props = F.map_from_entries(F.transform(ordered, lambda x: F.struct(x["prop"], x["value"])))
     return per_key.select(
         "entity_key",
-        "type",
+        F.col("key_first.type").alias("type"),
         F.try_variant_get(F.try_element_at(props, F.lit("name")), "$", "string").alias("name"),
         props.alias("props"),
-        "first_ord",
+        first_ord.alias("first_ord"),
     )
 
 

@@ -39,10 +39,15 @@ def _v(c: Column) -> Column:
 
 def set_prop(props: Column, key: str, value: Column) -> Column:
     """``props[key] = value`` keeping the key's position; new keys go last."""
-    return F.when(
-        F.map_contains_key(props, F.lit(key)),
-        F.transform_values(props, lambda k, v: F.when(k == F.lit(key), value).otherwise(v)),
-    ).otherwise(F.map_concat(props, F.create_map(F.lit(key), value)))
+    from graphweave.functions.truth import let
+
+    def upd(p):
+        return F.when(
+            F.map_contains_key(p, F.lit(key)),
+            F.transform_values(p, lambda k, v: F.when(k == F.lit(key), value).otherwise(v)),
+        ).otherwise(F.map_concat(p, F.create_map(F.lit(key), value)))
+
+    return let(props, upd)
 
 
 def shape_properties(name: Column, properties: Column) -> Column:

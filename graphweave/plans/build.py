@@ -28,7 +28,13 @@ def build_graph(results: DataFrame, pre_repair: bool = False):
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes, rels = build_graph(V.doc_results(spark, sf_dir))
+    from graphweave.session import scratch_dir
+    from graphweave.sources import store
+
+    # extraction results are the durability boundary: written once, read back
+    path = scratch_dir(spark, "store")
+    store.write_store(V.doc_results(spark, sf_dir), path)
+    nodes, rels = build_graph(spark.read.parquet(path))
     resolved = edges.resolve(nodes, rels)
     mentions = graph.document_mentions(resolved)
     return (
