@@ -64,18 +64,23 @@ def _rel(source: Column, target: Column, type_: str) -> Column:
     )
 
 
-def rule_response(text: Column) -> Column:
-    """RESPONSE struct from the default rules.
-
-    Entities, each list distinct in order of first occurrence: Concept for every
-    capitalised word of 4+ letters, Technology for licence names, Person for each
-    mail address and Organization for its lower-cased domain, Location for dotted
-    IPv4-like addresses. Relationships: consecutive Concepts RELATED_TO, each
-    Person WORKS_FOR its Organization."""
-    concepts = F.array_distinct(F.regexp_extract_all(text, F.lit(CONCEPT_RE), 0))
-    licences = F.array_distinct(F.regexp_extract_all(text, F.lit(LICENSE_RE), 0))
-    emails = F.array_distinct(F.regexp_extract_all(text, F.lit(EMAIL_RE), 0))
-    ips = F.array_distinct(F.regexp_extract_all(text, F.lit(IPV4_RE), 0))
+def rule_hits(text: Column) -> dict[str, Column]:
+    """The four match lists (distinct, in order of first occurrence)."""
+    return {
+        "__concepts": F.array_distinct(F.regexp_extract_all(text, F.lit(CONCEPT_RE), 0)),
+        "__licences": F.array_distinct(F.regexp_extract_all(text, F.lit(LICENSE_RE), 0)),
+        "__emails": F.array_distinct(F.regexp_extract_all(text, F.lit(EMAIL_RE), 0)),
+        "__ips": F.array_distinct(F.regexp_extract_all(text, F.lit(IPV4_RE), 0)),
+    }
+
+
+def rule_response(concepts: Column, licences: Column, emails: Column, ips: Column) -> Column:
+    """RESPONSE struct from the default rules, given the four match lists.
+
+    Entities: Concept for every capitalised word of 4+ letters, Technology for
+    licence names, Person for each mail address and Organization for its
+    lower-cased domain, Location for dotted IPv4-like addresses. Relationships:
+    consecutive Concepts RELATED_TO, each Person WORKS_FOR its Organization."""
 
     def domain(e: Column) -> Column:
         return F.lower(F.substring_index(e, "@", -1))
@@ -92,13 +97,23 @@ def rule_response(text: Column) -> Column:
         F.size(concepts) > 1,
         F.transform(
             F.sequence(F.lit(1), F.size(concepts) - 1),
-            lambda i: _rel(F.try_element_at(concepts, i), F.try_element_at(concepts, i + 1), "RELATED_TO"),
+            lambda i: _rel(F.element_at(concepts, i), F.element_at(concepts, i + 1), "RELATED_TO"),
         ),
     ).otherwise(F.filter(F.array(_rel(F.lit(""), F.lit(""), "RELATED_TO")), lambda _: F.lit(False)))
     relationships = F.concat(pairs, F.transform(emails, lambda e: _rel(e, domain(e), "WORKS_FOR")))
     return F.struct(entities.alias("entities"), relationships.alias("relationships"))
 
 
+def apply_rules(chunks: DataFrame, text_col: str = "text") -> DataFrame:
+    """Add ``result``/``error`` with the default rules: each pattern is scanned
+    once per chunk (a projection of its own), then the response is assembled."""
+    hits = rule_hits(F.col(text_col))
+    staged = chunks.select("*", *[c.alias(n) for n, c in hits.items()])
+    return staged.withColumn(
+        "result", rule_response(*[F.col(n) for n in hits])
+    ).withColumn("error", F.lit(None).cast("string")).drop(*hits)
+
+
 def spread(chunks: DataFrame, partitions: int | None = None) -> DataFrame:
     """Hash-spread chunks over ``partitions`` tasks (default: the session's shuffle
     partitions) before CPU-heavy extraction, so one large document or one large
@@ -120,9 +135,7 @@ def extract(
     if partitions != 0:
         chunks = spread(chunks, partitions)
     if fn is None:
-        return chunks.withColumn("result", rule_response(F.col(text_col))).withColumn(
-            "error", F.lit(None).cast("string")
-        )
+        return apply_rules(chunks, text_col)
     return parse_results(call_extractor(chunks, fn), "response")
 
 
