@@ -14,16 +14,31 @@ from graphweave.operators import edges, graph, merge, repair, shape
 from graphweave.plans import views as V
 
 
-def build_graph(results: DataFrame, pre_repair: bool = False):
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once under the shared checkpoint folder and read it back.
+
+    Used for the merged node table, which several joins read: every reader scans
+    the table instead of recomputing the merge (and its shuffles)."""
+    from graphweave.session import scratch_dir
+
+    path = scratch_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def build_graph(results: DataFrame, pre_repair: bool = False, persist_nodes: bool = True):
     """From per-chunk extraction results to ``(nodes, relationships)``.
 
-    ``nodes`` are merged and text-repaired; relationships are the bag union."""
+    ``nodes`` are merged and text-repaired (and, by default, written once so the
+    joins that follow read a table); relationships are the bag union."""
     ents, rels = shape.complete(results)
     if pre_repair:
         ents = repair.pre_merge(ents).drop("repaired")
     rows, _quarantine = merge.prepare(ents)
     nodes = merge.merge_entities(rows, prepared=True)
     nodes = repair.post_merge(nodes, rows).drop("repaired")
+    if persist_nodes:
+        nodes = materialize(nodes, "nodes")
     return nodes, merge.merge_relationships(rels)
 
 

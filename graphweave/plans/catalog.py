@@ -335,7 +335,9 @@ STAR_ORD = ("path", "seq", "pos")
 
 
 def _star(spark, sf):
-    return V.star_nodes(spark, sf), V.star_rels_dirty(spark, sf)
+    from graphweave.plans.build import materialize
+
+    return materialize(V.star_nodes(spark, sf), "star-nodes"), V.star_rels_dirty(spark, sf)
 
 
 def _star_resolved(spark, sf):
