@@ -98,6 +98,7 @@ def run_batch(
     nodes, rels = build_graph(stored)
     counts = stored.groupBy("path").agg(F.count("*").cast("int").alias("n_chunks"))
     if write_outputs:
+        export.write_graph(nodes, rels, f"{work_dir}/graph")
         export.write_script(
             export.node_statements(nodes), export.edge_statements(rels), export.index_statements(nodes, enabled=False),
             f"{work_dir}/output",

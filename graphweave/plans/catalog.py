@@ -925,3 +925,70 @@ def stream_ingest_q(spark, sf):
     out, ck = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-ckpt")
     stream_ingest(spark, root, out, ck, max_files_per_trigger=8)
     return read_output(spark, out, "entities").select("document_name", "chunk_number", "pos", "type", "name")
+
+
+# ---------------------------------------------------------------------------
+# A11 / P13 / P4 slot / P1 recursive
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "repair_counts",
+    "SELECT (2 * count(*))::BIGINT AS rows, count(*) FILTER (WHERE turn % 3 = 1)::BIGINT AS repaired FROM conversations",
+)
+def repair_counts(spark, sf):
+    from graphweave.operators import stats
+
+    return stats.repair_counts(repair.pre_merge(V.conv_dup_rows(spark, sf)))
+
+
+@register(
+    "record_envelope",
+    O.with_(O.DOC_FILES, O.DOC_CHUNKS, O.hits("doc_chunks"))
+    + """SELECT c.document_name, c.path, count(*)::BIGINT AS total_chunks, 0::BIGINT AS failed_chunks,
+       sum(coalesce(e.ne, 0))::BIGINT AS entities, sum(coalesce(r.nr, 0))::BIGINT AS relationships
+FROM doc_chunks c LEFT JOIN nents e USING (chunk_name) LEFT JOIN nrels r USING (chunk_name)
+GROUP BY c.document_name, c.path""",
+)
+def record_envelope(spark, sf):
+    from graphweave.sources import store
+
+    return store.envelope(V.doc_results(spark, sf)).drop("extraction_time")
+
+
+def concept_extractor(batch):
+    """A user extractor for the P4 slot: capitalised words of 4+ letters as Concept
+    entities (distinct, in order), consecutive ones RELATED_TO. Returns JSON text."""
+    import json
+    import re
+
+    out = []
+    for text in batch["text"]:
+        words = list(dict.fromkeys(re.findall(r"[A-Z][a-z]{3,}", text or "")))
+        out.append(json.dumps({
+            "entities": [{"type": "Concept", "name": w} for w in words],
+            "relationships": [{"source": a, "target": b, "type": "RELATED_TO"} for a, b in zip(words, words[1:])],
+        }))
+    return out
+
+
+@register(
+    "python_extractor",
+    O.with_(O.DOC_FILES, O.DOC_CHUNKS, O.hits("doc_chunks"))
+    + "SELECT chunk_name, pos, type, name FROM ents WHERE grp = 0",
+)
+def python_extractor(spark, sf):
+    chunks = V.doc_chunks(spark, sf).drop("content_md5")
+    res = extract.extract(chunks, fn=concept_extractor)
+    e, _ = shape.complete(res)
+    return e.where(~F.col("type").isin("Chunk", "Document")).select(
+        F.concat(F.col("document_name"), F.lit("_chunk_"), F.col("chunk_number")).alias("chunk_name"), "pos", "type", "name"
+    )
+
+
+@register("chunk_recursive")
+def chunk_recursive(spark, sf):
+    from graphweave.operators import chunking
+
+    c = chunking.chunk(V.doc_files(spark, sf), 1500, 500, mode="recursive")
+    return c.select("document_name", "chunk_number", "chunk_name", F.char_length("text").cast("bigint").alias("chunk_chars"))

@@ -99,3 +99,20 @@ def latest_only(store: DataFrame, time_col: str = "extraction_time", by: str = "
     """I4: keep only the newest content version of every document."""
     newest = store.groupBy(by).agg(F.max_by("content_md5", time_col).alias("content_md5"))
     return store.join(newest, [by, "content_md5"], "left_semi")
+
+
+def envelope(results: DataFrame) -> DataFrame:
+    """Per-document record envelope of a run: ``document_name, path,
+    content_md5, total_chunks, failed_chunks, entities, relationships,
+    extraction_time`` (rows stay long; this is an aggregate over them)."""
+    ents = F.coalesce(F.size("result.entities"), F.lit(0))
+    rels = F.coalesce(F.size("result.relationships"), F.lit(0))
+    cols = results.columns
+    t = F.col("extraction_time") if "extraction_time" in cols else F.current_timestamp()
+    return results.groupBy("document_name", "path", *(["content_md5"] if "content_md5" in cols else [])).agg(
+        F.count("*").cast("bigint").alias("total_chunks"),
+        F.count_if(F.col("error").isNotNull()).cast("bigint").alias("failed_chunks"),
+        F.sum(ents).cast("bigint").alias("entities"),
+        F.sum(rels).cast("bigint").alias("relationships"),
+        F.max(t).alias("extraction_time"),
+    )
