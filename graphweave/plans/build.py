@@ -94,7 +94,7 @@ def run_batch(
     chunks = chunking.chunk(ok_docs.select("path", "document_name", "content_md5", "text"), size, overlap)
     results = extract.extract(chunks, fn=extractor)
     ssrc.write_store(results, store_path, run_id)
-    stored = ssrc.read_store(spark, store_path).join(todo.select("path", "content_md5"), ["path", "content_md5"], "left_semi")
+    stored = ssrc.read_store(spark, store_path, run_id=run_id)
     nodes, rels = build_graph(stored)
     counts = stored.groupBy("path").agg(F.count("*").cast("int").alias("n_chunks"))
     if write_outputs:

@@ -21,16 +21,32 @@ KEY = ["document_name", "content_md5", "chunk_number"]
 
 
 def write_store(results: DataFrame, store_path: str, run_id: str | None = None) -> None:
-    """Append per-chunk results (``result`` struct + ``error``) with a timestamp."""
+    """Write per-chunk results (``result`` struct + ``error``) with a timestamp.
+
+    With a ``run_id`` the rows go to partition ``run_id=<id>`` with dynamic
+    partition overwrite: a retried run replaces its own partition, so keys stay
+    unique by construction and readers need no de-duplicating shuffle."""
     out = results.withColumn("extraction_time", F.current_timestamp())
-    if run_id is not None:
-        out = out.withColumn("run_id", F.lit(run_id))
-    out.write.mode("append").parquet(store_path)
+    if run_id is None:
+        out.write.mode("append").parquet(store_path)
+        return
+    (
+        out.withColumn("run_id", F.lit(run_id))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id")
+        .parquet(store_path)
+    )
 
 
-def read_store(spark: SparkSession, store_path: str) -> DataFrame:
-    """Stored results, one row per key (the latest write wins on retries)."""
+def read_store(spark: SparkSession, store_path: str, run_id: str | None = None, dedupe: bool = False) -> DataFrame:
+    """Stored results. ``run_id`` reads one run (partition pruning, no shuffle);
+    ``dedupe`` keeps one row per key across runs (latest write wins; one shuffle)."""
     s = spark.read.parquet(store_path)
+    if run_id is not None:
+        s = s.where(F.col("run_id") == run_id)
+    if not dedupe:
+        return s
     return (
         s.groupBy(*KEY)
         .agg(F.max_by(F.struct(*[c for c in s.columns if c not in KEY]), "extraction_time").alias("r"))

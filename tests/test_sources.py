@@ -97,3 +97,26 @@ def test_stream_ingest_resumes(spark, tmpdir_path):
     _write(src, "two.txt", b"Delta Epsilon")
     stream_ingest(spark, src, out, ck)
     assert sorted(r.document_name for r in read_output(spark, out, "files").collect()) == ["one", "two"]
+
+
+def test_run_batch_increments(spark, tmpdir_path):
+    from graphweave.plans.build import run_batch
+    from graphweave.sources import manifest as msrc
+
+    src = os.path.join(tmpdir_path, "in")
+    _write(src, "a.txt", b"Alpha Beta Gamma")
+    _write(src, "b.md", b"Delta Epsilon")
+    for mode in ("path", "content"):
+        work = os.path.join(tmpdir_path, "work-" + mode)
+        r1 = run_batch(spark, src, work, "r1", incremental=mode)
+        assert r1["nodes"].where(F.col("type") == "Concept").count() == 5
+        _write(src, "c.txt", b"Zeta")
+        _write(src, "a.txt", b"Alpha Beta Gamma Theta")
+        r2 = run_batch(spark, src, work, "r2", incremental=mode)
+        got = sorted(os.path.basename(r.path) for r in r2["documents"].collect())
+        assert got == (["c.txt"] if mode == "path" else ["a.txt", "c.txt"])
+        m = msrc.read(spark, os.path.join(work, "manifest"))
+        assert m.where(F.col("run_id") == "r1").count() == 2
+        # restore the inputs for the next mode
+        os.remove(os.path.join(src, "c.txt"))
+        _write(src, "a.txt", b"Alpha Beta Gamma")
