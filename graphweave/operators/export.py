@@ -95,11 +95,13 @@ def edge_statements(rels: DataFrame) -> DataFrame:
     )
 
 
-def index_statements(nodes: DataFrame, enabled: bool = True, dims: int = 1536, sim: str = "cosine") -> DataFrame:
-    """One vector-index statement per type having a non-empty embedding."""
+def index_statements(nodes: DataFrame, enabled: bool = True, dims: int | None = 1536, sim: str = "cosine") -> DataFrame:
+    """One vector-index statement per type having a non-empty embedding.
+
+    ``dims=None`` takes the dimension from the data (largest embedding of the type)."""
     emb = F.try_element_at(F.col("props"), F.lit("embedding"))
-    has = F.size(F.try_variant_get(emb, "$", "array<variant>")) > 0
-    types = nodes.where(F.coalesce(has, F.lit(False))).select("type").distinct()
+    n = F.size(F.try_variant_get(emb, "$", "array<variant>"))
+    types = nodes.where(F.coalesce(n > 0, F.lit(False))).groupBy("type").agg(F.max(n).alias("__dims"))
     if not enabled:
         types = types.where(F.lit(False))
     return types.select(
@@ -108,7 +110,7 @@ def index_statements(nodes: DataFrame, enabled: bool = True, dims: int = 1536, s
             INDEX_FMT,
             type_lower=F.lower(F.col("type")),
             type=F.col("type"),
-            dims=F.lit(str(dims)),
+            dims=F.col("__dims").cast("string") if dims is None else F.lit(str(dims)),
             sim=F.lit(sim),
         ).alias("statement"),
     )

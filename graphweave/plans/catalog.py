@@ -492,7 +492,6 @@ _VEC_NODES = """WITH vec AS (
 )
 def index_statements_q(spark, sf):
     e = V.table(spark, sf, "embeddings")
-    dims = len(e.select("embedding").where(F.size("embedding") > 0).first()[0])
     emb = F.when(F.col("vec_id") % 10 == 0, F.array().cast("array<float>")).otherwise(F.col("embedding"))
     rows = e.select(
         F.lit("embeddings").alias("path"), F.col("vec_id").alias("seq"), F.lit(0).alias("pos"),
@@ -504,7 +503,7 @@ def index_statements_q(spark, sf):
         F.lit("embeddings").alias("document_name"),
     )
     nodes = merge.merge_entities(rows, ord_cols=STAR_ORD)
-    return export.index_statements(nodes, enabled=True, dims=dims, sim="cosine")
+    return export.index_statements(nodes, enabled=True, dims=None, sim="cosine")
 
 
 @register(
