@@ -890,7 +890,10 @@ def _by_pos(arr):
     return F.array_sort(arr, lambda a, b: F.when(k(a) < k(b), -1).when(k(a) > k(b), 1).otherwise(0))
 
 
-@register("rebuild_from_records")
+@register(
+    "rebuild_from_records",
+    _CONV_ENTS + "SELECT DISTINCT " + O.key("type", "name") + " AS entity_key, type, name FROM all_ents",
+)
 def rebuild_from_records(spark, sf):
     """E2 over extraction records written (JSON lines) from the conversations."""
     from graphweave.plans.build import rebuild_from_store
