@@ -994,3 +994,43 @@ def chunk_recursive(spark, sf):
 
     c = chunking.chunk(V.doc_files(spark, sf), 1500, 500, mode="recursive")
     return c.select("document_name", "chunk_number", "chunk_name", F.char_length("text").cast("bigint").alias("chunk_chars"))
+
+
+@register(
+    "chunk_embedding_index",
+    "SELECT 'Chunk' AS type, 'CREATE VECTOR INDEX chunk_embeddings IF NOT EXISTS' || chr(10) || "
+    "'                FOR (n:Chunk) ON n.embedding' || chr(10) || '                OPTIONS {' || chr(10) || "
+    "'                    indexConfig: {' || chr(10) || '                        `vector.dimensions`: 64,' || chr(10) || "
+    "'                        `vector.similarity_function`: ''cosine''' || chr(10) || '                    }' || chr(10) || "
+    "'                }' AS statement",
+)
+def chunk_embedding_index(spark, sf):
+    """V1 → P9 → P24: chunk embeddings ride on the Chunk nodes into the index statements."""
+    from graphweave.operators import vectors
+    from graphweave.plans.build import materialize
+
+    res = V.doc_results(spark, sf)
+    res = vectors.embed(res, "text", dims=64)
+    e, _ = shape.complete(res, embedding_col="embedding")
+    nodes = materialize(merge.merge_entities(e.where(F.col("type") == "Chunk")), "chunk-nodes")
+    return export.index_statements(nodes, enabled=True, dims=None)
+
+
+@register(
+    "labels_progress",
+    O.with_(O.DOC_FILES)
+    + """SELECT count(*) FILTER (WHERE l.quality = 1)::BIGINT AS processed, count(*)::BIGINT AS total,
+       round((100.0 * count(*) FILTER (WHERE l.quality = 1) / count(*))::DOUBLE, 1) AS progress_pct
+FROM doc_files f JOIN labels l ON f.doc_id = l.doc_id""",
+)
+def labels_progress(spark, sf):
+    """A12 over a manifest taken from ``labels``: a labelled document counts as
+    processed when its quality flag is 1, failed otherwise."""
+    from graphweave.operators import stats
+
+    f = V.doc_files(spark, sf)
+    lab = V.table(spark, sf, "labels")
+    m = f.join(lab, "doc_id").select(
+        "path", F.when(F.col("quality") == 1, F.lit("ok")).otherwise(F.lit("failed")).alias("status")
+    )
+    return stats.progress(m)
