@@ -91,10 +91,27 @@ def run_batch(
     docs = fsrc.read_text(with_bytes.drop("document_name"), readers)
     todo = docs if incremental == "path" else msrc.pending(docs, done, incremental)
     ok_docs = todo.where(F.col("error").isNull())
-    chunks = chunking.chunk(ok_docs.select("path", "document_name", "content_md5", "text"), size, overlap)
+    previous = _read_store_or_none(spark, store_path, exclude_run=run_id)
+    if previous is not None:  # I3: reuse stored extractions of (stem, content) pairs
+        hits, misses = ssrc.split_cached(ok_docs, previous)
+    else:
+        hits, misses = None, ok_docs
+    chunks = chunking.chunk(misses.select("path", "document_name", "content_md5", "text"), size, overlap)
     results = extract.extract(chunks, fn=extractor)
     ssrc.write_store(results, store_path, run_id)
-    stored = ssrc.read_store(spark, store_path, run_id=run_id)
+    stored = ssrc.read_store(spark, store_path, run_id=run_id).drop("run_id")
+    if hits is not None:
+        reused = (
+            previous.join(hits.select("document_name", "content_md5").distinct(), ["document_name", "content_md5"], "left_semi")
+            .groupBy("document_name", "content_md5", "chunk_number")
+            .agg(F.max_by(F.struct(*[c for c in stored.columns if c not in ("document_name", "content_md5", "chunk_number")]),
+                          "extraction_time").alias("r"))
+            .select("document_name", "content_md5", "chunk_number", "r.*")
+            # the reused rows belong to this run's file path
+            .drop("path")
+            .join(hits.select("document_name", "content_md5", "path"), ["document_name", "content_md5"])
+        )
+        stored = stored.unionByName(reused)
     nodes, rels = build_graph(stored)
     counts = stored.groupBy("path").agg(F.count("*").cast("int").alias("n_chunks"))
     if write_outputs:
@@ -107,6 +124,22 @@ def run_batch(
     return {"nodes": nodes, "relationships": rels, "documents": todo, "store": stored}
 
 
+def _read_store_or_none(spark: SparkSession, store_path: str, exclude_run: str | None = None):
+    import os
+
+    from graphweave.session import local_path
+
+    if store_path.startswith(("file:", "/")) and not os.path.exists(local_path(store_path)):
+        return None
+    try:
+        s = spark.read.parquet(store_path)
+    except Exception:  # noqa: BLE001 - no store yet
+        return None
+    if exclude_run is not None and "run_id" in s.columns:
+        s = s.where(F.col("run_id") != exclude_run)
+    return s.drop("run_id") if "run_id" in s.columns else s
+
+
 def rebuild_from_store(spark: SparkSession, records_path: str, latest: bool = False, multiline: bool = True):
     """JSON extraction records → pre-merge repair → merge → in-merge repair.
 

@@ -120,3 +120,25 @@ def test_run_batch_increments(spark, tmpdir_path):
         # restore the inputs for the next mode
         os.remove(os.path.join(src, "c.txt"))
         _write(src, "a.txt", b"Alpha Beta Gamma")
+
+
+def test_run_batch_reuses_cached_extraction(spark, tmpdir_path):
+    from graphweave.plans.build import run_batch
+
+    src = os.path.join(tmpdir_path, "in")
+    _write(src, "a/doc.txt", b"Alpha Beta Gamma")
+    work = os.path.join(tmpdir_path, "work")
+    calls = []
+
+    def extractor(batch):
+        calls.append(len(batch))
+        return [json.dumps({"entities": [{"type": "Concept", "name": "Alpha"}], "relationships": []})] * len(batch)
+
+    run_batch(spark, src, work, "r1", extractor=extractor)
+    # same stem and bytes under a new path: a cache hit, nothing is extracted
+    _write(src, "b/doc.txt", b"Alpha Beta Gamma")
+    r2 = run_batch(spark, src, work, "r2", extractor=extractor)
+    nodes = r2["nodes"]
+    assert nodes.where(F.col("type") == "Concept").count() == 1
+    assert r2["store"].where(F.col("path").endswith("b/doc.txt")).count() == 1
+    assert r2["store"].where(F.col("path").endswith("a/doc.txt")).count() == 0
