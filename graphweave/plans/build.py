@@ -87,7 +87,7 @@ def run_batch(
     found = fsrc.discover(spark, input_dir, formats)
     if incremental == "path":  # skip before any byte is read
         found = msrc.pending(found, done, "path")
-    with_bytes = fsrc.load_content(spark, found, input_dir)
+    with_bytes = fsrc.load_content(spark, found, input_dir, formats)
     docs = fsrc.read_text(with_bytes.drop("document_name"), readers)
     todo = docs if incremental == "path" else msrc.pending(docs, done, incremental)
     ok_docs = todo.where(F.col("error").isNull())

@@ -819,7 +819,8 @@ def _write_doc_files(spark, sf) -> str:
 
     root = scratch_dir(spark, "docs")
     d = V.table(spark, sf, "documents")
-    d.repartition(16, "doc_id").select("lang", "text").write.partitionBy("lang").text(root)
+    n = spark.sparkContext.defaultParallelism  # file count follows the cluster size
+    d.repartition(n, "doc_id").select("lang", "text").write.partitionBy("lang").text(root)
     return root
 
 
