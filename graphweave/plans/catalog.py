@@ -820,7 +820,10 @@ def _write_doc_files(spark, sf) -> str:
     root = scratch_dir(spark, "docs")
     d = V.table(spark, sf, "documents")
     n = spark.sparkContext.defaultParallelism  # file count follows the cluster size
-    d.repartition(n, "doc_id").select("lang", "text").write.partitionBy("lang").text(root)
+    # deterministic file contents: hash-partitioned by id, sorted inside each file
+    d.repartition(n, "doc_id").sortWithinPartitions("lang", "doc_id").select("lang", "text").write.partitionBy(
+        "lang"
+    ).text(root)
     return root
 
 
