@@ -337,7 +337,8 @@ STAR_ORD = ("path", "seq", "pos")
 def _star(spark, sf):
     from graphweave.plans.build import materialize
 
-    return materialize(V.star_nodes(spark, sf), "star-nodes"), V.star_rels_dirty(spark, sf)
+    # graph tables (K5) as a downstream user reads them: written once, then scanned
+    return materialize(V.star_nodes(spark, sf), "star-nodes"), materialize(V.star_rels_dirty(spark, sf), "star-rels")
 
 
 def _star_resolved(spark, sf):

@@ -35,7 +35,10 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8, 8, app="graphweave-plans")
     rows = []
+    only = set(sys.argv[2:])
     for name, fn in E.queries().items():
+        if only and name not in only:
+            continue
         df = fn(spark, sf)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
@@ -61,7 +64,8 @@ def main() -> None:
         out += ["## Pushed filters", ""]
         for n, p in pushed_rows:
             out.append(f"* `{n}`: " + "; ".join(f"`{x}`" for x in p[:4]))
-    with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
+    target = "PLANS.md" if not only else "/tmp/PLANS.partial.md"
+    with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), target), "w") as f:
         f.write("\n".join(out) + "\n")
     print("wrote PLANS.md", len(rows))
 
