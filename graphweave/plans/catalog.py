@@ -1039,3 +1039,25 @@ def labels_progress(spark, sf):
         "path", F.when(F.col("quality") == 1, F.lit("ok")).otherwise(F.lit("failed")).alias("status")
     )
     return stats.progress(m)
+
+
+@register(
+    "stem_collisions",
+    O.with_(O.DOC_FILES)
+    + """, named AS (
+  SELECT source || '/' || lang || '/' || lower(regexp_extract(text, '[A-Za-z]+', 0)) || '.txt' AS path,
+         lower(regexp_extract(text, '[A-Za-z]+', 0)) AS document_name FROM documents)
+SELECT document_name, count(DISTINCT path)::BIGINT AS n_paths, min(path) AS first_path
+FROM named GROUP BY document_name HAVING count(DISTINCT path) > 1""",
+)
+def stem_collisions(spark, sf):
+    """Files named by their first word: the same stem in several folders is one
+    document for the pipeline; this reports such stems."""
+    from graphweave.operators import stats
+
+    d = V.table(spark, sf, "documents")
+    stem = F.lower(F.regexp_extract("text", "[A-Za-z]+", 0))
+    files = d.select(
+        F.concat_ws("/", "source", "lang", F.concat(stem, F.lit(".txt"))).alias("path"), stem.alias("document_name")
+    )
+    return stats.stem_collisions(files)

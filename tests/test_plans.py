@@ -59,3 +59,10 @@ def test_query_matches_oracle(spark, name):
         return sorted((tuple(round(r[i], 6) if isinstance(r[i], float) else r[i] for i in idx) for r in rows), key=repr)
 
     assert norm(df.columns, [tuple(r) for r in df.collect()]) == norm(ocols, orows)
+
+
+def test_no_single_partition_exchange_in_merge_and_edges(spark):
+    for name in ["merge_entities", "strict_edges", "resolved_edges", "name_nodes"]:
+        df = E.queries()[name](spark, SF)
+        df.write.format("noop").mode("overwrite").save()
+        assert "SinglePartition" not in _plan(df), name
