@@ -21,8 +21,9 @@ def ustrip(c) -> Column:
 
 
 def is_all_space(c) -> Column:
-    """True when the string is empty after a Unicode strip."""
-    return ustrip(c) == F.lit("")
+    """True when the string is empty after a Unicode strip (anchored match that
+    stops at the first non-space character instead of rewriting the string)."""
+    return _c(c).rlike(rf"(?U)^{_WS}*$")
 
 
 def fold_newlines(c) -> Column:

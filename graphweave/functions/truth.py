@@ -69,11 +69,11 @@ def truthy(v) -> Column:
 
 def is_blank_string(v) -> Column:
     """A VARIANT string that is empty after a Unicode strip (dropped when rendering)."""
-    from graphweave.functions.text import ustrip
+    from graphweave.functions.text import is_all_space
 
     v = _c(v)
     return F.coalesce(
-        (F.schema_of_variant(v) == "STRING") & (ustrip(F.try_variant_get(v, "$", "string")) == ""), F.lit(False)
+        (F.schema_of_variant(v) == "STRING") & is_all_space(F.try_variant_get(v, "$", "string")), F.lit(False)
     )
 
 

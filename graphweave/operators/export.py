@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphweave.functions.literals import escape_string, literal_tagged
+from graphweave.functions.truth import let
 from graphweave.functions.text import ustrip
 from graphweave.functions.truth import is_blank_string
 from graphweave.operators import repair
@@ -54,45 +55,59 @@ def _fmt(template: str, **cols) -> F.Column:
     return F.concat(*parts)
 
 
-def render(props_col="props") -> F.Column:
-    """P16 + P21: ``k: literal, ...`` after dropping null and blank-string values."""
+def render_body(props_col="props") -> F.Column:
+    """P16 + P21: ``k: literal, ...`` after dropping null and blank-string values
+    (empty string when nothing is left)."""
     p = F.col(props_col) if isinstance(props_col, str) else props_col
     kept = F.map_filter(p, lambda k, v: ~(v.isNull() | F.is_variant_null(v) | is_blank_string(v)))
     tagged = F.transform(
         F.map_entries(kept), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v"), F.schema_of_variant(e["value"]).alias("s"))
     )
-    body = F.array_join(
+    return F.array_join(
         F.transform(tagged, lambda x: F.concat(x["k"], F.lit(": "), literal_tagged(x["v"], x["s"]))), ", "
     )
-    return body, F.size(kept)
+
+
+def render(props_col="props"):
+    """``(body, number of kept properties)``; see ``render_body``."""
+    return let(render_body(props_col), lambda b: b), None
+
+
+def _emit(df: DataFrame, keep: list, stmt: F.Column) -> DataFrame:
+    """Rows with a non-NULL statement. The statement is a generated column, so the
+    NULL test stays above the generator and the statement is built once (a filter
+    on a plain computed column would be pushed below it and duplicate the work)."""
+    return (
+        df.select(*keep, F.explode_outer(F.array(stmt)).alias("statement"))
+        .where(F.col("statement").isNotNull())
+    )
 
 
 def node_statements(nodes: DataFrame) -> DataFrame:
     """``entity_key, type, statement`` for nodes with at least one property."""
     fixed = repair.placeholder(repair.chunk_number(nodes))
-    body, n = render("props")
-    return (
-        fixed.select("entity_key", "type", "first_ord", body.alias("__body"), n.alias("__n"))
-        .where(F.col("__n") > 0)
-        .select("entity_key", "type", "first_ord", _fmt(NODE_FMT, type=F.col("type"), props=F.col("__body")).alias("statement"))
+    stmt = let(
+        render_body("props"),
+        lambda b: F.when(b != "", _fmt(NODE_FMT, type=F.col("type"), props=b)),
     )
+    return _emit(fixed, ["entity_key", "type", "first_ord"], stmt)
 
 
 def edge_statements(rels: DataFrame) -> DataFrame:
     """P18 + P23: one statement per relationship row with truthy endpoints."""
-    body, n = render("props")
     ok = F.coalesce((F.col("source") != "") & (F.col("target") != ""), F.lit(False))
     keep = [c for c in rels.columns if c != "props"]
-    return rels.where(ok).select(
-        *keep,
-        _fmt(
+    stmt = let(
+        render_body("props"),
+        lambda b: _fmt(
             EDGE_FMT,
             source=escape_string(F.col("source")),
             target=escape_string(F.col("target")),
             type=F.col("type"),
-            props=F.when(n > 0, F.concat(F.lit(" {"), body, F.lit("}"))).otherwise(F.lit("")),
-        ).alias("statement"),
+            props=F.when(b != "", F.concat(F.lit(" {"), b, F.lit("}"))).otherwise(F.lit("")),
+        ),
     )
+    return rels.where(ok).select(*keep, stmt.alias("statement"))
 
 
 def index_statements(nodes: DataFrame, enabled: bool = True, dims: int | None = 1536, sim: str = "cosine") -> DataFrame:

@@ -534,8 +534,7 @@ def variant_literals(spark, sf):
         F.lit("blank"), F.lit("  ").cast("variant"),
         F.lit("none"), F.parse_json(F.lit("null")),
     )
-    body, _n = export.render(props)
-    return e.select("event_id", body.alias("rendered"))
+    return e.select("event_id", export.render_body(props).alias("rendered"))
 
 
 # ---------------------------------------------------------------------------
