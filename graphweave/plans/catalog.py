@@ -688,12 +688,18 @@ def similar_pairs(spark, sf):
     return vectors.similar_pairs(V.table(spark, sf, "embeddings"), threshold=0.35, block_rows=256)
 
 
-@register("embed_chunks")
+@register(
+    "embed_chunks",
+    O.with_(O.DOC_FILES, O.DOC_CHUNKS) + "SELECT chunk_name, 256::BIGINT AS dims, 1.0::DOUBLE AS norm FROM doc_chunks",
+)
 def embed_chunks(spark, sf):
+    """V1 default embedding: every chunk gets a unit vector of the requested size."""
     from graphweave.operators import vectors
 
     c = V.doc_chunks(spark, sf)
-    return vectors.embed(c, "text", dims=256).select("chunk_name", F.size("embedding").cast("bigint").alias("dims"))
+    e = vectors.embed(c, "text", dims=256)
+    norm = F.sqrt(F.aggregate(F.col("embedding"), F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double") * x.cast("double")))
+    return e.select("chunk_name", F.size("embedding").cast("bigint").alias("dims"), F.round(norm, 6).alias("norm"))
 
 
 # ---------------------------------------------------------------------------
@@ -837,7 +843,13 @@ def _star_script(spark, sf) -> str:
     )
 
 
-@register("load_statements")
+def _load_statements_sql() -> str:
+    node = "SELECT 'MERGE (n:' || type || ' {' || body || '})' AS statement FROM star_nodes"
+    edge = SQL["edge_statements"].split(_STAR, 1)[1]
+    return _STAR + node + "\nUNION ALL\n" + edge
+
+
+@register("load_statements", _load_statements_sql())
 def load_statements(spark, sf):
     return export.load_statements(spark, _star_script(spark, sf), mode="naive")
 
