@@ -40,15 +40,20 @@ def pre_merge(entities: DataFrame, ord_cols=DEFAULT_ORD) -> DataFrame:
     is_chunk = F.col("type") == "Chunk"
     nkey = _number_key(_prop("chunk_number"))
     text_ok = truthy(_prop("text"))
+    needs = is_chunk & nkey.isNotNull() & ~text_ok
+    fine = entities.where(~needs).withColumn("repaired", F.lit(False))
+    todo = entities.where(needs).withColumn("__nkey", nkey)
+    wanted = todo.select("document_name", "__nkey").distinct()
+    # only chunk rows whose key is wanted feed the aggregate: with few rows to
+    # repair AQE broadcasts ``wanted`` and no chunk text is shuffled at all
     lookup = (
         entities.where(is_chunk & nkey.isNotNull() & text_ok)
         .select("document_name", nkey.alias("__nkey"), o.alias("__ord"), _prop("text").alias("__text"))
+        .join(wanted, ["document_name", "__nkey"], "left_semi")
         .groupBy("document_name", "__nkey")
         .agg(F.max_by("__text", "__ord").alias("__fill"))
     )
-    needs = is_chunk & nkey.isNotNull() & ~text_ok
-    fine = entities.where(~needs).withColumn("repaired", F.lit(False))
-    todo = entities.where(needs).withColumn("__nkey", nkey).join(lookup, ["document_name", "__nkey"], "left")
+    todo = todo.join(lookup, ["document_name", "__nkey"], "left")
     fixed = (
         todo.withColumn("repaired", F.col("__fill").isNotNull())
         .withColumn(
@@ -63,7 +68,7 @@ def post_merge(nodes: DataFrame, entities: DataFrame, ord_cols=DEFAULT_ORD) -> D
     """Merged nodes with Chunk texts recovered by name; adds ``repaired``."""
     o = _ord(ord_cols)
     cn = _prop("chunk_number")
-    lookup = (
+    lookup_rows = (
         entities.where(
             (F.col("type") == "Chunk")
             & cn.isNotNull()
@@ -77,8 +82,6 @@ def post_merge(nodes: DataFrame, entities: DataFrame, ord_cols=DEFAULT_ORD) -> D
             o.alias("__ord"),
             _prop("text").alias("__text"),
         )
-        .groupBy("__doc", "__num")
-        .agg(F.max_by("__text", "__ord").alias("__fill"))
     )
     parts = F.split(F.col("name"), "_chunk_", -1)
     num = F.try_element_at(parts, F.lit(2)).try_cast("int")
@@ -93,6 +96,12 @@ def post_merge(nodes: DataFrame, entities: DataFrame, ord_cols=DEFAULT_ORD) -> D
     todo = nodes.where(F.coalesce(needs, F.lit(False))).select(
         "*", F.try_element_at(parts, F.lit(1)).alias("__doc"), num.cast("string").alias("__num")
     )
+    wanted = todo.select("__doc", "__num").distinct()
+    lookup = (
+        lookup_rows.join(wanted, ["__doc", "__num"], "left_semi")
+        .groupBy("__doc", "__num")
+        .agg(F.max_by("__text", "__ord").alias("__fill"))
+    )
     fixed = (
         todo.join(lookup, ["__doc", "__num"], "left")
         .withColumn("repaired", F.col("__fill").isNotNull())
