@@ -1,9 +1,10 @@
 """Split document text into numbered, overlapping chunks.
 
-``fixed`` is pure SQL: chunk ``i`` is ``substring(text, i*step + 1, size)`` with
+``fixed`` is pure SQL: chunk ``i`` is characters ``[i*step, i*step + size)`` with
 ``step = size - overlap`` and ``max(1, ceil((len - overlap) / step))`` chunks for a
 non-empty text, so consecutive chunks share exactly ``overlap`` characters and every
-chunk has at most ``size`` characters. Empty text gives no chunk rows.
+chunk has at most ``size`` characters. Empty text gives no chunk rows. The work is
+linear in the text length (see ``chunk``).
 
 ``recursive`` prefers paragraph, then line, then word, then character breaks; it
 runs per document inside ``mapInPandas`` (a small per-row helper), still one task
@@ -12,6 +13,7 @@ per partition of documents.
 
 from __future__ import annotations
 
+import math
 from typing import Iterator
 
 import pandas as pd
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphweave.functions.text import chunk_name as _chunk_name
+from graphweave.functions.truth import let
 
 DEFAULT_SIZE = 1500
 DEFAULT_OVERLAP = 500
@@ -51,23 +54,36 @@ def chunk(
     n_chunks = F.when(n <= 0, F.lit(0)).otherwise(
         F.greatest(F.lit(1), F.floor((n - F.lit(overlap) + F.lit(step - 1)) / F.lit(step)).cast("int"))
     )
+    # Linear in the text length: one regex pass cuts the text into blocks of
+    # g = gcd(size, step) characters; chunk i is blocks [i*step/g, (i*step+size)/g)
+    # joined. (``substring`` by character position rescans the text from its start
+    # for every chunk, which is quadratic for long texts.)
+    g = math.gcd(size, step)
+    blocks = F.regexp_extract_all(F.col(text_col), F.lit(f"(?s).{{1,{g}}}"), 0)
+    per_step, per_chunk = step // g, size // g
+    # The block array is bound with ``let``: a plain column referenced inside the
+    # lambda would be inlined by the optimizer and re-split for every chunk.
+    texts = let(
+        blocks,
+        lambda b: F.transform(
+            F.sequence(F.lit(0), F.col("__n") - 1),
+            lambda i: F.array_join(F.slice(b, i * per_step + 1, F.lit(per_chunk)), ""),
+        ),
+    )
     others = [c for c in documents.columns if c != text_col]
-    out = (
-        documents.withColumn("__n", n_chunks)
-        .where(F.col("__n") > 0)
-        .select(
-            *others,
-            F.col(text_col).alias("__t"),
-            F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("chunk_number"),
-        )
+    staged = documents.withColumn("__n", n_chunks).where(F.col("__n") > 0)
+    # posexplode_outer: a plain posexplode lets Spark push an inferred size filter
+    # below this projection and build the chunk array twice
+    return (
+        staged.select(*others, F.posexplode_outer(texts).alias("chunk_number", "__chunk"))
+        .where(F.col("__chunk").isNotNull())
         .select(
             *others,
             F.col("chunk_number").cast("int").alias("chunk_number"),
             _chunk_name(F.col(name_col), F.col("chunk_number")).alias("chunk_name"),
-            F.substring(F.col("__t"), F.col("chunk_number") * step + 1, F.lit(size)).alias(text_col),
+            F.col("__chunk").alias(text_col),
         )
     )
-    return out
 
 
 # ---------------------------------------------------------------------------

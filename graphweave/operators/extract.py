@@ -114,31 +114,19 @@ def apply_rules(chunks: DataFrame, text_col: str = "text") -> DataFrame:
     ).withColumn("error", F.lit(None).cast("string")).drop(*hits)
 
 
-TARGET_TASK_BYTES = 128 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (from file sizes; no data is read)."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable
-        return None
-    return None if size <= 0 or size >= 2**62 else size
-
-
 def spread(chunks: DataFrame, partitions: int | None = None) -> DataFrame:
     """Hash-spread chunks over tasks before CPU-heavy extraction, so one large
-    document or one large input split does not serialise the work. Costs one
-    shuffle of the chunk text. Default task count: at least the session's shuffle
-    partitions / default parallelism, and enough for ~128 MB of estimated input
-    per task, so the count grows with the data."""
-    spark = chunks.sparkSession
-    if not partitions:
-        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-        est = estimated_bytes(chunks)
-        if est is not None:
-            partitions = max(partitions, -(-est // TARGET_TASK_BYTES))
-    return chunks.repartition(int(partitions), "document_name", "chunk_number")
+    document or one large input split does not serialise the work (one shuffle of
+    the chunk text).
+
+    Default: a ``rebalance`` by chunk key, which AQE sizes from the *measured*
+    shuffle bytes at runtime (splitting oversized partitions, coalescing tiny ones
+    while keeping parallelism), so the task count follows the data. Plan-time size
+    estimates are not used: after file scans, joins and explodes they can be off by
+    orders of magnitude. An explicit ``partitions`` gives a fixed hash repartition."""
+    if partitions:
+        return chunks.repartition(int(partitions), "document_name", "chunk_number")
+    return chunks.hint("rebalance", "document_name", "chunk_number")
 
 
 def extract(

@@ -10,7 +10,8 @@ from graphweave.operators import chunking
 
 
 def test_fixed_contract(spark):
-    texts = ["", "a", "x" * 499, "y" * 1500, "z" * 1501, "".join(chr(65 + i % 26) for i in range(4321))]
+    texts = ["", "a", "x" * 499, "y" * 1500, "z" * 1501, "".join(chr(65 + i % 26) for i in range(4321)),
+             "é\n😀" * 1700]  # multi-byte and supplementary-plane characters count as one
     df = spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(texts)], "document_name string, text string")
     out = chunking.chunk(df, 1500, 500).collect()
     by = {}
