@@ -142,6 +142,9 @@ def split_recursive(text: str, size: int, overlap: int, separators=SEPARATORS) -
 
 
 def _recursive(documents: DataFrame, size: int, overlap: int, text_col: str, name_col: str) -> DataFrame:
+    from graphweave.session import ship_package
+
+    ship_package(documents.sparkSession)
     others = [f for f in documents.schema.fields if f.name != text_col]
     schema = T.StructType(
         others

@@ -184,6 +184,9 @@ def apply_statements(
                     rows.append((q[:100], False, f"{type(e).__name__}: {e}"[:500]))
             yield pd.DataFrame(rows, columns=["statement_prefix", "ok", "error"])
 
+    from graphweave.session import ship_package
+
+    ship_package(stmts.sparkSession)
     return stmts.select("statement").mapInPandas(run, schema)
 
 

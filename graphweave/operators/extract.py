@@ -149,6 +149,9 @@ def call_extractor(chunks: DataFrame, fn: Callable[[pd.DataFrame], Sequence], ou
     """Run a user extractor over Arrow batches; adds ``response`` and ``error``.
 
     A failing batch is retried row by row, so one bad chunk only fails itself."""
+    from graphweave.session import ship_package
+
+    ship_package(chunks.sparkSession)
     schema = T.StructType(
         list(chunks.schema.fields)
         + [T.StructField(out_col, T.StringType()), T.StructField("error", T.StringType())]

@@ -35,6 +35,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -68,3 +69,33 @@ def local_path(p: str) -> str:
         while p.startswith("//"):
             p = p[1:]
     return os.path.abspath(p)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``graphweave`` importable in Python workers (once per application).
+
+    Functions run by ``mapInPandas``/``applyInPandas`` are pickled by reference to
+    this package; the package is zipped on the driver and distributed with
+    ``addPyFile``, which is how Spark ships Python code to a cluster's executors."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="graphweave-pkg-"), "graphweave.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(pkg_dir):
+            if "__pycache__" in dirpath:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
