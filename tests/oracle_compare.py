@@ -40,7 +40,16 @@ def rows_of(cols, rows):
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
-    spark = local_session(8, 8)
+    if os.environ.get("PLAIN_SESSION"):  # a bare session like the driver's
+        from pyspark.sql import SparkSession
+
+        spark = (
+            SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+            .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+        )
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = local_session(8, 8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
