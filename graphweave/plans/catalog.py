@@ -416,8 +416,12 @@ def match_typed(spark, sf):
 )
 def document_mentions_q(spark, sf):
     from graphweave.plans.build import build_graph
+    from graphweave.session import scratch_dir
+    from graphweave.sources import store
 
-    nodes, rels = build_graph(V.doc_results(spark, sf))
+    path = scratch_dir(spark, "store")  # extraction written once (durability boundary)
+    store.write_store(V.doc_results(spark, sf), path)
+    nodes, rels = build_graph(spark.read.parquet(path))
     m = graph.document_mentions(edges.resolve(nodes, rels))
     return m.select("document_name", "entity_key", "entity_name", "entity_type")
 
