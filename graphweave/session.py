@@ -49,7 +49,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = sc.getCheckpointDir()
     if d:
         return d
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="graphweave-ckpt-")
     sc.setCheckpointDir(d)
