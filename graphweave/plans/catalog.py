@@ -1076,3 +1076,13 @@ def stem_collisions(spark, sf):
         F.concat_ws("/", "source", "lang", F.concat(stem, F.lit(".txt"))).alias("path"), stem.alias("document_name")
     )
     return stats.stem_collisions(files)
+
+
+@register(
+    "dedup_nodes",
+    _STAR + "SELECT type, count(DISTINCT body)::BIGINT AS n FROM star_nodes GROUP BY type",
+)
+def dedup_nodes(spark, sf):
+    """A4 (nodes): what a MERGE on label + all properties keeps, counted per label."""
+    n, _ = _star(spark, sf)
+    return edges.dedupe_nodes(n).groupBy("type").agg(F.count("*").cast("bigint").alias("n"))
