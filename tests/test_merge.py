@@ -79,3 +79,18 @@ def test_partitioning_does_not_change_result(spark):
     a = merge.merge_entities(df).select("entity_key", F.to_json("props").alias("p")).collect()
     b = merge.merge_entities(df.repartition(7)).select("entity_key", F.to_json("props").alias("p")).collect()
     assert sorted(a) == sorted(b)
+
+
+def test_hot_key_is_pre_aggregated_before_the_shuffle(spark):
+    # one key holds a third of all rows; the fold must combine map-side
+    rows = [row(i, "T", {"name": "hub" if i % 3 == 0 else f"k{i}", "p": i}) for i in range(300)]
+    df = entity_rows(spark, rows).repartition(6)
+    merged = merge.merge_entities(df)
+    merged.write.format("noop").mode("overwrite").save()
+    plan = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    first_exchange = plan.rfind("Exchange hashpartitioning(entity_key")
+    assert first_exchange != -1
+    below = plan[first_exchange:]
+    assert "partial_min_by" in below and "partial_max_by" in below
+    hub = merged.where(F.col("entity_key") == "T_hub").select(F.to_json("props").alias("p")).first().p
+    assert json.loads(hub) == {"name": "hub", "p": 3}  # 0 is falsy: first truthy value wins
