@@ -894,7 +894,6 @@ def file_run(spark, sf):
     work = scratch_dir(spark, "work")
     run_batch(spark, root, work, "run-1")
     second = run_batch(spark, root, work, "run-2", write_outputs=False)
-    first_nodes = run_batch  # noqa: F841 - documentation only
     from graphweave.sources import manifest as msrc
 
     m = msrc.read(spark, f"{work}/manifest")
