@@ -121,7 +121,10 @@ def run_batch(
             f"{work_dir}/output",
         )
     msrc.append(msrc.rows_for(todo, counts, run_id), man_path)
-    return {"nodes": nodes, "relationships": rels, "documents": todo, "store": stored}
+    from graphweave.operators import stats
+
+    summary = stats.batch_summary(todo, hits, nodes, rels)
+    return {"nodes": nodes, "relationships": rels, "documents": todo, "store": stored, "summary": summary}
 
 
 def _read_store_or_none(spark: SparkSession, store_path: str, exclude_run: str | None = None):

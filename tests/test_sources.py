@@ -142,3 +142,5 @@ def test_run_batch_reuses_cached_extraction(spark, tmpdir_path):
     assert nodes.where(F.col("type") == "Concept").count() == 1
     assert r2["store"].where(F.col("path").endswith("b/doc.txt")).count() == 1
     assert r2["store"].where(F.col("path").endswith("a/doc.txt")).count() == 0
+    summary = r2["summary"].first()
+    assert (summary.files, summary.cache_hits, summary.failed_files) == (1, 1, 0)
