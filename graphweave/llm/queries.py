@@ -6,18 +6,48 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import window_dedup
+from . import packing, suffix_dedup, token_files, web_archives, window_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vocabulary() -> str:
+    """The lower-casing word vocabulary; a file every executor has at the same place."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+END_OF_DOCUMENT = 49407  # <|endoftext|> of that vocabulary
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web_archives.archive_round_trip(_table(spark, sf_dir, "pages"))
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), _vocabulary(), with_ids=False)
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes_digest(_table(spark, sf_dir, "documents"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.document_token_counts(_table(spark, sf_dir, "documents"), _vocabulary(), END_OF_DOCUMENT)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.repeated_windows_digest(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_token_counts": op4_token_counts,
     "op5_substring_dedup": op5_substring_dedup,
 }
 

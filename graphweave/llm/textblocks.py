@@ -17,6 +17,12 @@ from pyspark.sql import functions as F
 NULL_ID = np.iinfo(np.int64).min  # a null id sorts first and stands for itself
 BLOCK_BYTES = 4 << 20
 
+# Messages: blocks ask buckets, buckets answer blocks. A negative block number (-1 - block)
+# marks a block's note to its own next pass, which the bucket only hands on.
+ASK = "bucket int, block int, payload binary"
+ANSWER = "block int, kind int, payload binary"
+OWN, REPLY = 0, 1
+
 _MIX1, _MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, dtype=bool)
@@ -194,6 +200,12 @@ def ranges_union(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.nda
     return s[new], e[last]
 
 
+def clipped(start: np.ndarray, end: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+    """The parts of sorted ranges that lie in ``[lo, hi)``."""
+    s, e = np.clip(start, lo, hi), np.clip(end, lo, hi)
+    return s[s < e], e[s < e]
+
+
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays as one value. The bytes of each array are stored plane by plane, so the
     high bytes of sorted or small numbers lie together and shuffle compression works."""
@@ -220,3 +232,76 @@ def unpack(raw: bytes) -> list[np.ndarray]:
 
 def concat(parts: list[np.ndarray], dtype) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, dtype)
+
+
+def runs(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted positions as (first, count) runs."""
+    if not len(at):
+        return at, at
+    cut = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1] + 1]))
+    return at[cut], np.diff(np.append(cut, len(at)))
+
+
+def unruns(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    first, count = first.astype(np.int64), count.astype(np.int64)
+    return np.arange(int(count.sum())) + np.repeat(first - (np.cumsum(count) - count), count)
+
+
+def rows(rows, schema: pa.Schema) -> pa.Table:
+    cols = list(zip(*rows)) if rows else [[] for _ in schema]
+    return pa.table([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+
+
+ASK_ARROW = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("payload", pa.binary())])
+ANSWER_ARROW = pa.schema([("block", pa.int32()), ("kind", pa.int32()), ("payload", pa.binary())])
+
+
+def notes(msgs: pa.Table, kind: int) -> list[list[np.ndarray]]:
+    kinds, raws = msgs.column("kind").to_pylist(), msgs.column("payload")
+    return [unpack(raws[i].as_py()) for i, k in enumerate(kinds) if k == kind]
+
+
+def small(*arrays):
+    """Counts and block positions in 32 bits where they fit."""
+    return [a.astype(np.int32) if not len(a) or a.max() < 2**31 else a for a in arrays]
+
+
+def meet(table: pa.Table) -> pa.Table:
+    """In a bucket: each block hears which of its values others hold too."""
+    out, blocks, vals, many = [], [], [], []
+    raws = table.column("payload")
+    for i, blk in enumerate(table.column("block").to_pylist()):
+        raw = raws[i].as_py()
+        if blk < 0:  # a note on its way to the next pass
+            out.append((-1 - blk, OWN, raw))
+            continue
+        v, c = unpack(raw)
+        blocks.append(np.full(len(v), blk, np.int64))
+        vals.append(v)
+        many.append(c)
+    if vals:
+        v, blk = np.concatenate(vals), np.concatenate(blocks)
+        _, inv, n = np.unique(v, return_inverse=True, return_counts=True)
+        others = n[inv] > 1  # a block sends a value once, so another row is another block
+        for b, (x,) in split_by(blk[others], v[others]):
+            out.append((b, REPLY, pack(x)))
+    return rows(out, ANSWER_ARROW)
+
+
+def ask_buckets(asked: DataFrame, n_buckets: int, answer) -> DataFrame:
+    """Deal the questions of the blocks to buckets and let ``answer`` work on each."""
+    return asked.repartition(n_buckets, "bucket").groupBy("bucket").applyInArrow(answer, ANSWER)
+
+
+def home(answers: DataFrame, n_blocks: int):
+    """The answers, grouped like the blocks that asked."""
+    return answers.repartition(n_blocks, "block").groupBy("block")
+
+
+def alone(step):
+    """A pass that has no answers to read yet."""
+
+    def run(table: pa.Table) -> pa.Table:
+        return step(table, None)
+
+    return run

@@ -35,25 +35,38 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .textblocks import (
+    ANSWER,
+    ANSWER_ARROW,
+    ASK,
+    ASK_ARROW,
     NULL_ID,
+    OWN,
+    REPLY,
     Block,
     Words,
+    alone,
+    ask_buckets,
     block_count,
+    clipped,
     concat,
+    home,
+    meet,
     mix,
+    notes,
     pack,
     ranges_union,
+    rows,
+    runs,
+    small,
     split_by,
     to_blocks,
     unpack,
+    unruns,
     window_minimum,
 )
 
-_ASK = "bucket int, block int, payload binary"
-_ANSWER = "block int, kind int, payload binary"
 _RESULT = "doc_id long, n_words long, n_removed long, removed_starts array<long>, removed_ends array<long>, kept_text string"
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-_OWN, _REPLY = 0, 1  # a block's note to its next pass; the answer of a bucket
 
 
 def level_lengths(window: int, levels: int = 3) -> list[int]:
@@ -81,19 +94,6 @@ def _whole_windows(words: Words, window: int) -> np.ndarray:
     return np.arange(int(n.sum())) + np.repeat(words.edge[:-1] - (np.cumsum(n) - n), n)
 
 
-def _runs(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted positions as (first, count) runs."""
-    if not len(at):
-        return at, at
-    cut = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1] + 1]))
-    return at[cut], np.diff(np.append(cut, len(at)))
-
-
-def _unruns(first: np.ndarray, count: np.ndarray) -> np.ndarray:
-    first, count = first.astype(np.int64), count.astype(np.int64)
-    return np.arange(int(count.sum())) + np.repeat(first - (np.cumsum(count) - count), count)
-
-
 def _id_base(b: Block, words: Words) -> np.ndarray:
     """Per document the word index where the documents of its id begin."""
     if not b.n:
@@ -102,28 +102,14 @@ def _id_base(b: Block, words: Words) -> np.ndarray:
     return words.edge[:-1][np.flatnonzero(new)][np.cumsum(new) - 1]
 
 
-def _rows(rows, schema: pa.Schema) -> pa.Table:
-    cols = list(zip(*rows)) if rows else [[] for _ in schema]
-    return pa.table([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
-
-
-_ASK_ARROW = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("payload", pa.binary())])
-_ANSWER_ARROW = pa.schema([("block", pa.int32()), ("kind", pa.int32()), ("payload", pa.binary())])
-
-
-def _notes(msgs: pa.Table, kind: int) -> list[list[np.ndarray]]:
-    kinds, raws = msgs.column("kind").to_pylist(), msgs.column("payload")
-    return [unpack(raws[i].as_py()) for i, k in enumerate(kinds) if k == kind]
-
-
 def _surviving(words: Words, msgs: pa.Table, lengths: list[int], level: int) -> np.ndarray:
     """Candidates of ``level``: those of the level before whose representative repeats."""
     window = lengths[-1]
-    own = _notes(msgs, _OWN)
-    starts = _unruns(*own[0]) if own else _whole_windows(words, window)
+    own = notes(msgs, OWN)
+    starts = unruns(*own[0]) if own else _whole_windows(words, window)
     if not len(starts):
         return starts
-    reply = concat([r[0] for r in _notes(msgs, _REPLY)], np.uint64)
+    reply = concat([r[0] for r in notes(msgs, REPLY)], np.uint64)
     h = _window_hashes(words.hash, lengths[:level])
     at = window_minimum(h, window - lengths[level - 1] + 1)[starts]
     uniq, back = np.unique(at, return_inverse=True)
@@ -151,39 +137,12 @@ def _ask(level: int, lengths: list[int], n_buckets: int):
                 for bk, (v, c) in split_by(bucket, vals, (cnt > 1).astype(np.uint8)):
                     out.append((bk, block_no, pack(v, c)))
             if level:
-                out.append((block_no % n_buckets, -1 - block_no, pack(*_small(*_runs(starts)))))
-        return _rows(out, _ASK_ARROW)
+                out.append((block_no % n_buckets, -1 - block_no, pack(*small(*runs(starts)))))
+        return rows(out, ASK_ARROW)
 
     return run
 
 
-def _small(*arrays):
-    """Counts and block positions in 32 bits where they fit."""
-    return [a.astype(np.int32) if not len(a) or a.max() < 2**31 else a for a in arrays]
-
-
-def _meet(table: pa.Table) -> pa.Table:
-    """In a bucket: each block hears which of its values others hold too."""
-    out, blocks, vals, many = [], [], [], []
-    raws = table.column("payload")
-    for i, blk in enumerate(table.column("block").to_pylist()):
-        raw = raws[i].as_py()
-        if blk < 0:  # a note on its way to the next pass
-            out.append((-1 - blk, _OWN, raw))
-            continue
-        v, c = unpack(raw)
-        blocks.append(np.full(len(v), blk, np.int64))
-        vals.append(v)
-        many.append(c)
-    if vals:
-        v, blk = np.concatenate(vals), np.concatenate(blocks)
-        _, inv, n = np.unique(v, return_inverse=True, return_counts=True)
-        others = n[inv] > 1  # a block sends a value once, so another row is another block
-        for b, (x,) in split_by(blk[others], v[others]):
-            out.append((b, _REPLY, pack(x)))
-    return _rows(out, _ANSWER_ARROW)
-
-
 def _ask_full(lengths: list[int], n_buckets: int):
     """Pass over blocks at the full length: the first place of each distinct surviving
     window goes to a bucket; later places in the block are removed without asking."""
@@ -203,7 +162,7 @@ def _ask_full(lengths: list[int], n_buckets: int):
                 a, c = h[order], h2[order]
                 new = np.concatenate([[True], (a[1:] != a[:-1]) | (c[1:] != c[:-1])])
                 later = np.sort(starts[order[~new]])
-                out.append((block_no % n_buckets, -1 - block_no, pack(*_small(*_runs(later)))))
+                out.append((block_no % n_buckets, -1 - block_no, pack(*small(*runs(later)))))
                 first = np.sort(order[new])
                 h, h2, at = h[first], h2[first], starts[first]
                 doc = np.searchsorted(words.edge, at, side="right") - 1
@@ -216,7 +175,7 @@ def _ask_full(lengths: list[int], n_buckets: int):
                 bucket = (by % np.uint64(n_buckets)).astype(np.int64)
                 for bk, (x, y, d, p) in split_by(bucket, h, h2, b.ids[doc], pos):
                     out.append((bk, block_no, pack(x, y, *_by_id(d, p))))
-        return _rows(out, _ASK_ARROW)
+        return rows(out, ASK_ARROW)
 
     return run
 
@@ -224,7 +183,7 @@ def _ask_full(lengths: list[int], n_buckets: int):
 def _by_id(ids: np.ndarray, pos: np.ndarray) -> list[np.ndarray]:
     """Places in id order as runs of ids and 32-bit positions."""
     cut = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.zeros(0, np.int64)
-    return [ids[cut], *_small(np.diff(np.append(cut, len(ids))), pos)]
+    return [ids[cut], *small(np.diff(np.append(cut, len(ids))), pos)]
 
 
 def _first_place(table: pa.Table) -> pa.Table:
@@ -234,7 +193,7 @@ def _first_place(table: pa.Table) -> pa.Table:
     for i, no in enumerate(table.column("block").to_pylist()):
         raw = raws[i].as_py()
         if no < 0:
-            out.append((-1 - no, _OWN, raw))
+            out.append((-1 - no, OWN, raw))
             continue
         x, y, d, n, p = unpack(raw)
         blk.append(np.full(len(x), no, np.int64))
@@ -249,8 +208,8 @@ def _first_place(table: pa.Table) -> pa.Table:
         again = order[1:][(a[1:] == a[:-1]) & (c[1:] == c[:-1])]
         again = again[np.lexsort((pos[again], ids[again], blk[again]))]
         for no, (d, p) in split_by(blk[again], ids[again], pos[again]):
-            out.append((no, _REPLY, pack(*_by_id(d, p))))
-    return _rows(out, _ANSWER_ARROW)
+            out.append((no, REPLY, pack(*_by_id(d, p))))
+    return rows(out, ANSWER_ARROW)
 
 
 _RESULT_ARROW = pa.schema([
@@ -268,8 +227,8 @@ def _cut(window: int, layout: bool):
             return pa.schema([*_RESULT_ARROW, *carried]).empty_table()
         b = Block(docs)
         words = Words(b.buf, b.offsets, hashes=False)
-        starts = [_unruns(*x) for x in _notes(msgs, _OWN)]
-        for d, n, p in _notes(msgs, _REPLY):
+        starts = [unruns(*x) for x in notes(msgs, OWN)]
+        for d, n, p in notes(msgs, REPLY):
             doc = np.searchsorted(b.ids, np.repeat(d, n), side="left")
             starts.append(words.edge[:-1][doc] + p)
         at = np.sort(concat(starts, np.int64))
@@ -280,7 +239,7 @@ def _cut(window: int, layout: bool):
         hi = np.searchsorted(s, words.edge[1:], side="left")  # runs of neighbours may touch: clipped below
         for i in range(b.n):
             w0, w1 = int(words.edge[i]), int(words.edge[i + 1])
-            rs, re = np.clip(s[lo[i] : hi[i]], w0, w1), np.clip(e[lo[i] : hi[i]], w0, w1)
+            rs, re = clipped(s[lo[i] : hi[i]], e[lo[i] : hi[i]], w0, w1)
             o0, o1 = int(b.offsets[i]), int(b.offsets[i + 1])
             keep_s, keep_e = np.append(w0, re), np.append(rs, w1)
             if layout:
@@ -299,7 +258,7 @@ def _cut(window: int, layout: bool):
                 None if b.ids[i] == NULL_ID else int(b.ids[i]), w1 - w0, int((re - rs).sum()),
                 (rs - w0).tolist(), (re - w0).tolist(), None if kept is None else kept.decode("utf-8"),
             ))
-        res = _rows(out, _RESULT_ARROW)
+        res = rows(out, _RESULT_ARROW)
         return res.append_column(carried[0], docs.column("row").take(pa.array(b.order))) if carried else res
 
     return run
@@ -322,29 +281,16 @@ def remove_repeated_windows(
     if carry:
         result = T.StructType([*result.fields, blocks.schema["row"]])
 
-    def home(answers: DataFrame) -> DataFrame:
-        return answers.repartition(n_blocks, "block").groupBy("block")
-
-    def exchange(asked: DataFrame, meet) -> DataFrame:
-        return asked.repartition(n_buckets, "bucket").groupBy("bucket").applyInArrow(meet, _ANSWER)
-
     msgs = None
     for level in range(len(lengths)):
         last = level == len(lengths) - 1
         step = _ask_full(lengths, n_buckets) if last else _ask(level, lengths, n_buckets)
         if msgs is None:
-            asked = blocks.groupBy("block").applyInArrow(_alone(step), _ASK)
+            asked = blocks.groupBy("block").applyInArrow(alone(step), ASK)
         else:
-            asked = blocks.groupBy("block").cogroup(home(msgs)).applyInArrow(step, _ASK)
-        msgs = exchange(asked, _first_place if last else _meet)
-    return blocks.groupBy("block").cogroup(home(msgs)).applyInArrow(_cut(window, layout), result)
-
-
-def _alone(step):
-    def run(table: pa.Table) -> pa.Table:
-        return step(table, None)
-
-    return run
+            asked = blocks.groupBy("block").cogroup(home(msgs, n_blocks)).applyInArrow(step, ASK)
+        msgs = ask_buckets(asked, n_buckets, _first_place if last else meet)
+    return blocks.groupBy("block").cogroup(home(msgs, n_blocks)).applyInArrow(_cut(window, layout), result)
 
 
 def repeated_windows_digest(docs: DataFrame) -> DataFrame:
