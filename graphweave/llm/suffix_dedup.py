@@ -13,17 +13,19 @@ found on the sorted order.
 Distribution. One suffix array of a whole corpus would be one task, so the corpus is cut
 into many small sorting problems that provably hold all repeats:
 
-1. *Anchors.* In every string of ``length`` bytes the smallest ``gram``-byte hash marks an
-   anchor; equal strings mark the same place. Blocks ask which anchors occur elsewhere.
-2. *Pieces.* The strings over an anchor are split by the place of the anchor in them into
-   ``PARTS`` ranges. All strings of a range share a core of bytes around the anchor, so
-   only pieces with equal cores can hold equal strings. Equal pieces are collapsed to one
-   with a count before any text moves.
+1. *Anchors.* In every string of ``length`` bytes the first smallest hash of ``gram`` bytes
+   marks the string's anchor; equal strings have it at the same place. Blocks ask which
+   anchors occur elsewhere.
+2. *Pieces.* The strings of an anchor are split by its place in them into ranges of
+   ``RANGE`` places. All strings of a range share a core of bytes, so only pieces with equal
+   cores (96 bits) can hold equal strings. Equal pieces are collapsed to one with a count
+   before any text moves.
 3. *Sorting.* Cores under which different pieces meet send these pieces, once each, to the
-   bucket of the core, and the bucket sorts the suffixes of what it got. A core with more
-   than ``HOT`` different pieces (a passage that much of the corpus quotes) is not gathered
-   in one task: the strings of its pieces are dealt out one by one by a 96-bit hash and
-   compared there, which is exact and splits any group.
+   bucket of the core, which sorts the suffixes of what it got. The core itself is known to
+   be equal and stands there as one sign, so a piece is twice ``RANGE`` bytes at most and a
+   string ``RANGE`` bytes. A core with more than ``HOT`` different pieces (a passage that much
+   of the corpus quotes) is not gathered in one task: the strings of its pieces are dealt
+   out one by one by a 96-bit hash and compared there, which is exact and splits any group.
 
 Defined results: null and empty texts have no bytes and keep the digest of nothing; texts
 shorter than ``length`` lose nothing; rows with equal ids count as different documents; a
@@ -63,7 +65,7 @@ from .textblocks import (
     unpack,
 )
 
-PARTS = 3
+RANGE = 38
 HOT = 4096
 _STEP = 1 << 20
 _BASE1, _BASE2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
@@ -163,22 +165,23 @@ def type_b(text: np.ndarray) -> np.ndarray:
     return text[decide] < nxt[decide]
 
 
-def _keys(text: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Eight bytes from every place of ``at`` as one big-endian number, zero-padded."""
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    out = np.zeros(len(at), dtype=np.uint64)
+def _keys(text: np.ndarray) -> np.ndarray:
+    """Eight bytes from every place as one big-endian number, zero-padded."""
+    padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
+    out = np.zeros(len(text) + 1, dtype=np.uint64)
     for k in range(8):
-        out = (out << np.uint64(8)) | padded[np.minimum(at + k, len(text))].astype(np.uint64)
+        out = (out << np.uint64(8)) | padded[k : k + len(out)]
     return out
 
 
-def sort_directly(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes at ``at`` in the order of their first ``depth`` bytes, eight at a time;
-    only groups that are still tied are compared further."""
+def sort_directly(keys: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    """Suffixes at ``at`` in the order of their first ``depth`` bytes, eight at a time
+    (``keys``); only groups that are still tied are compared further."""
     order = at.copy()
     if len(at) < 2:
         return order
-    key = _keys(text, order)
+    end = len(keys) - 1
+    key = keys[order]
     o = np.argsort(key, kind="stable")
     order, key = order[o], key[o]
     tied = np.concatenate([[False], key[1:] == key[:-1]])  # equal to the one before
@@ -188,7 +191,7 @@ def sort_directly(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
         part[:-1] |= tied[1:]
         where = np.flatnonzero(part)
         group = np.cumsum(~tied[where])
-        key = _keys(text, order[where] + done)
+        key = keys[np.minimum(order[where] + done, end)]
         o = np.lexsort((key, group))
         order[where] = order[where][o]
         same = key[o][1:] == key[o][:-1]
@@ -199,14 +202,14 @@ def sort_directly(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
-def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
+def suffix_array(text: np.ndarray, depth: int, keys: np.ndarray | None = None) -> np.ndarray:
     """Suffixes of ``text`` ordered by at least their first ``depth`` bytes: type B sorted
     directly, type A induced bucket by bucket."""
     n = len(text)
     if n < 2:
         return np.arange(n)
     is_b = type_b(text)
-    b_sorted = sort_directly(text, np.flatnonzero(is_b), depth)
+    b_sorted = sort_directly(_keys(text) if keys is None else keys, np.flatnonzero(is_b), depth)
     b_first = text[b_sorted]
     b_cut = np.searchsorted(b_first, np.arange(257))
     queues: list[list[np.ndarray]] = [[] for _ in range(256)]  # type A of each bucket, in order
@@ -236,18 +239,14 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def adjacent_equal(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
+def adjacent_equal(keys: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     """Per neighbour pair of ``order``: is the common prefix at least ``length`` bytes? All
     places must have that many bytes left."""
     live = np.arange(len(order) - 1) if len(order) > 1 else np.zeros(0, np.int64)
-    step = 8
-    for done in range(0, length, step):
-        take = min(step, length - done)
-        a, b = _keys(text, order[live] + done), _keys(text, order[live + 1] + done)
-        drop = np.uint64(8 * (step - take))
+    for done in range(0, length, 8):
+        drop = np.uint64(8 * max(0, done + 8 - length))
+        a, b = keys[order[live] + done], keys[order[live + 1] + done]
         live = live[(a >> drop) == (b >> drop)]
-        if not len(live):
-            break
     out = np.zeros(max(0, len(order) - 1), dtype=bool)
     out[live] = True
     return out
@@ -275,84 +274,112 @@ def _ask_anchors(length: int, gram: int, n_buckets: int):
     return run
 
 
-def _parts(length: int, gram: int):
-    """Ranges ``[r0, r1)`` of the anchor's place in the string."""
+def _own_strings(p: np.ndarray, value: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per anchor the first and last start of the strings that are its own: no anchor with a
+    smaller value, nor an equal one to the left, lies in them."""
+    n = len(p)
+    left, right = np.full(n, -1, np.int64), np.full(n, np.iinfo(np.int64).max, np.int64)
+    stack: list[int] = []
+    places, values = p.tolist(), value.tolist()
+    for i in range(n):
+        while stack and values[stack[-1]] > values[i]:
+            right[stack.pop()] = places[i]
+        if stack:
+            left[i] = places[stack[-1]]
+        stack.append(i)
+    return np.maximum(p - w + 1, left + 1), np.minimum(p, right - w)
+
+
+def _pieces(b: Block, reply: np.ndarray, length: int, gram: int, span: int):
+    """Pieces of the anchors that repeat: ``(part, anchor place, start, end)``, by start."""
+    place, value = [], []
+    for c, _e, _roll, at, h in _anchors(b.buf, b.offsets, length, gram):
+        place.append(at + c)
+        value.append(h)
+    if not place:
+        return None
+    p, first = np.unique(np.concatenate(place), return_index=True)
+    v = np.concatenate(value)[first]
     w = length - gram + 1
-    cut = np.linspace(0, w, PARTS + 1).astype(int)
-    return [(int(a), int(b)) for a, b in zip(cut[:-1], cut[1:]) if b > a]
-
-
-_PIECE = ("core", "id1", "id2", "place", "start", "end")
+    x0, x1 = _own_strings(p, v, w)
+    doc = np.searchsorted(b.offsets, p, side="right") - 1
+    x0, x1 = np.maximum(x0, b.offsets[doc]), np.minimum(x1, b.offsets[doc + 1] - length)
+    _, inv, cnt = np.unique(v, return_inverse=True, return_counts=True)
+    good = ((cnt[inv] > 1) | np.isin(v, reply)) & (x0 <= x1)
+    p, x0, x1 = p[good], x0[good], x1[good]
+    low, high = (p - x1) // span, (p - x0) // span  # parts, by the anchor's place in the string
+    n = high - low + 1
+    i = np.repeat(np.arange(len(p)), n)
+    part = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + low[i]
+    s = np.maximum(x0[i], p[i] - (part + 1) * span + 1)
+    e = np.minimum(x1[i], p[i] - part * span) + length
+    o = np.argsort(s, kind="stable")
+    return part[o], p[i][o], s[o], e[o]
+
+
+def _core(part, p, length, span):
+    """Byte range that all strings of a part share; ``span - 1`` bytes shorter than they."""
+    s = p - part * span
+    return s, s - span + 1 + length
+
+
+class _Named:
+    """Pieces with the 96-bit names of their cores and of themselves, sorted by these."""
+
+    def __init__(self, data: np.ndarray, part, p, s, e, length: int, span: int):
+        n = len(p)
+        core_s, core_e = _core(part, p, length, span)
+        names = [np.zeros(n, np.uint64), np.zeros(n, np.uint32), np.zeros(n, np.uint64), np.zeros(n, np.uint32)]
+        for c, (i,) in split_by(s // _STEP, np.arange(n)):
+            base = c * _STEP
+            stretch = data[base : int(e[i].max())]
+            one, two = _Rolling(stretch, _BASE1), _Rolling(stretch, _BASE2)
+            salt = part[i].astype(np.uint64) + np.uint64(1)
+            cs, ce, ps, pe = core_s[i] - base, core_e[i] - base, s[i] - base, e[i] - base
+            names[0][i] = mix(one.of(cs, ce) + salt)
+            names[1][i] = (mix(two.of(cs, ce) + salt) >> np.uint64(32)).astype(np.uint32)
+            salt = mix(salt * np.uint64(1 << 32) + (p[i] - s[i]).astype(np.uint64))
+            names[2][i] = mix(one.of(ps, pe) + salt)
+            names[3][i] = (mix(two.of(ps, pe) + salt) >> np.uint64(32)).astype(np.uint32)
+        o = np.lexsort(names[::-1])
+        self.names = [x[o] for x in names]
+        self.p, self.s, self.e = p[o], s[o], e[o]
+        self.core_s, self.core_e = core_s[o], core_e[o]
+        self.first = _changes(*self.names)
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """True where a row of sorted columns differs from the row before."""
+    out = np.ones(len(columns[0]), dtype=bool)
+    if len(out):
+        out[1:] = False
+        for c in columns:
+            out[1:] |= c[1:] != c[:-1]
+    return out
 
 
-def _ask_pieces(length: int, gram: int, n_buckets: int):
-    """Around anchors that repeat: per range the hash of the core and of the piece."""
+def _ask_pieces(length: int, gram: int, span: int, n_buckets: int):
+    """Around anchors that repeat: the distinct pieces of the block by name."""
 
     def run(docs: pa.Table, msgs: pa.Table) -> pa.Table:
         out = []
-        if not docs.num_rows:
-            return rows(out, ASK_ARROW)
-        no, b = docs.column("block")[0].as_py(), Block(docs)
-        reply = concat([r[0] for r in notes(msgs, REPLY)], np.uint64)
-        stretches, place, value = [], [], []
-        for c, e, _roll, at, h in _anchors(b.buf, b.offsets, length, gram):
-            stretches.append((c, e))
-            place.append(at + c)
-            value.append(h)
-        found = []
-        if place:
-            p, first = np.unique(np.concatenate(place), return_index=True)
-            v = np.concatenate(value)[first]
-            vals, inv, cnt = np.unique(v, return_inverse=True, return_counts=True)
-            good = (cnt[inv] > 1) | np.isin(v, reply)
-            p, v = p[good], v[good]
-            doc = np.searchsorted(b.offsets, p, side="right") - 1
-            lo, hi = b.offsets[doc], b.offsets[doc + 1]
-            for k, (r0, r1) in enumerate(_parts(length, gram)):
-                # strings of the range start in [p - r1 + 1, p - r0], within the document
-                s0 = np.maximum(p - r1 + 1, lo)
-                s1 = np.minimum(p - r0, hi - length)
-                some = s0 <= s1
-                found.append((np.full(some.sum(), k), p[some], v[some], s0[some], s1[some] + length, p[some] - r0, p[some] - r1 + 1 + length))
-        if sum(len(f[0]) for f in found):
-            part, p, v, s, e, core_s, core_e = map(np.concatenate, zip(*found))
-            core, id1, id2 = _piece_hashes(b.buf, part, p, s, e, core_s, core_e)
-            o = np.lexsort((id2, id1, core))
-            core, id1, id2, p, s, e = (x[o] for x in (core, id1, id2, p, s, e))
-            new = np.concatenate([[True], (core[1:] != core[:-1]) | (id1[1:] != id1[:-1]) | (id2[1:] != id2[:-1])])
-            first = np.flatnonzero(new)
-            many = np.diff(np.append(first, len(core))) > 1
-            bk = (core[first] % np.uint64(n_buckets)).astype(np.int64)
-            for k, (c, x, y, m) in split_by(bk, core[first], id1[first], id2[first], many.astype(np.uint8)):
-                out.append((k, no, pack(c, x, y, m)))
-            out.append((no % n_buckets, -1 - no, pack(core, id1, id2, *small(p, s, e))))
+        if docs.num_rows:
+            no, b = docs.column("block")[0].as_py(), Block(docs)
+            got = _pieces(b, concat([r[0] for r in notes(msgs, REPLY)], np.uint64), length, gram, span)
+            if got is not None and len(got[0]):
+                named = _Named(b.buf, *got, length, span)
+                at = np.flatnonzero(named.first)
+                many = np.diff(np.append(at, len(named.p))) > 1
+                names = [x[at] for x in named.names]
+                for k, (*x, m) in split_by((names[0] % np.uint64(n_buckets)).astype(np.int64), *names, many.astype(np.uint8)):
+                    out.append((k, no, pack(*x, m)))
+                part, p, s, e = got
+                out.append((no % n_buckets, -1 - no, pack(part.astype(np.uint16), *small(p - s, s, e - s))))
         return rows(out, ASK_ARROW)
 
     return run
 
 
-def _piece_hashes(data, part, p, s, e, core_s, core_e):
-    """Hashes of cores (64 bits, with the range) and pieces (96 bits, with the anchor's
-    place). The core of a range is what all its strings share, whether or not the
-    document's edge cuts some of them off."""
-    core = np.zeros(len(p), np.uint64)
-    id1 = np.zeros(len(p), np.uint64)
-    id2 = np.zeros(len(p), np.uint32)
-    if not len(p):
-        return core, id1, id2
-    home_of = np.minimum(s, core_s) // _STEP
-    for c, (i,) in split_by(home_of, np.arange(len(p))):
-        base = c * _STEP
-        end = int(max(e[i].max(), core_e[i].max()))
-        one, two = (_Rolling(data[base:end], x) for x in (_BASE1, _BASE2))
-        ps, pe = s[i] - base, e[i] - base
-        salt = mix((p[i] - s[i]).astype(np.uint64) * np.uint64(2 * PARTS + 1) + part[i].astype(np.uint64) + np.uint64(1))
-        core[i] = mix(one.of(core_s[i] - base, core_e[i] - base) + part[i].astype(np.uint64))
-        id1[i] = mix(one.of(ps, pe) ^ salt)
-        id2[i] = (mix(two.of(ps, pe) ^ salt) >> np.uint64(32)).astype(np.uint32)
-    return core, id1, id2
-
-
 _ALL, _TEXT, _DEAL = 1, 2, 4  # all strings repeat; send the text; send the strings one by one
 
 
@@ -360,38 +387,34 @@ def _judge_pieces(hot: int):
     """In a bucket of cores: what is each piece to do?"""
 
     def run(table: pa.Table) -> pa.Table:
-        out, blk, core, id1, id2, many = [], [], [], [], [], []
+        out, blk, got = [], [], []
         raws = table.column("payload")
         for i, no in enumerate(table.column("block").to_pylist()):
             raw = raws[i].as_py()
             if no < 0:
                 out.append((-1 - no, OWN, raw))
                 continue
-            c, x, y, m = unpack(raw)
-            blk.append(np.full(len(c), no, np.int64))
-            core.append(c), id1.append(x), id2.append(y), many.append(m)
+            got.append(unpack(raw))
+            blk.append(np.full(len(got[-1][0]), no, np.int64))
         if blk:
-            blk, core, id1, id2, many = map(np.concatenate, (blk, core, id1, id2, many))
-            o = np.lexsort((blk, id2, id1, core))
-            blk, core, id1, id2, many = (x[o] for x in (blk, core, id1, id2, many))
-            new_core = np.concatenate([[True], core[1:] != core[:-1]])
-            new = new_core | np.concatenate([[True], (id1[1:] != id1[:-1]) | (id2[1:] != id2[:-1])])
-            piece = np.cumsum(new) - 1
-            of_core = np.cumsum(new_core) - 1
+            blk, names = np.concatenate(blk), [np.concatenate(x) for x in zip(*got)]
+            o = np.lexsort([blk, *names[3::-1]])
+            blk, (*names, many) = blk[o], (x[o] for x in names)
+            new = _changes(*names)
+            piece, core = np.cumsum(new) - 1, np.cumsum(_changes(*names[:2])) - 1
             repeats = (np.bincount(piece) > 1) | (np.bincount(piece, weights=many) > 0)
-            kinds = np.bincount(of_core[new])
-            n = kinds[of_core]
+            kinds = np.bincount(core[new])[core]
             todo = np.where(repeats[piece], _ALL, 0)
-            todo = np.where((n > 1) & new, todo | np.where(n > hot, _DEAL, _TEXT), todo).astype(np.uint8)
+            todo = np.where((kinds > 1) & new, todo | np.where(kinds > hot, _DEAL, _TEXT), todo).astype(np.uint8)
             tell = todo > 0
-            for no, (c, x, y, t) in split_by(blk[tell], core[tell], id1[tell], id2[tell], todo[tell]):
-                out.append((no, REPLY, pack(c, x, y, t)))
+            for no, x in split_by(blk[tell], *(x[tell] for x in names), todo[tell]):
+                out.append((no, REPLY, pack(*x)))
         return rows(out, ANSWER_ARROW)
 
     return run
 
 
-def _send_pieces(length: int, n_buckets: int):
+def _send_pieces(length: int, span: int, n_buckets: int):
     """Send what was asked for, and note what is known to repeat."""
 
     def run(docs: pa.Table, msgs: pa.Table) -> pa.Table:
@@ -400,46 +423,42 @@ def _send_pieces(length: int, n_buckets: int):
         if not docs.num_rows or not own:
             return rows(out, ASK_ARROW)
         no, b = docs.column("block")[0].as_py(), Block(docs)
-        core, id1, id2, p, s, e = own[0]
-        p, s, e = (x.astype(np.int64) for x in (p, s, e))
-        got = [r for r in notes(msgs, REPLY)]
-        todo = np.zeros(len(core), np.uint8)
+        part, ahead, s, size = (x.astype(np.int64) for x in own[0])
+        named = _Named(b.buf, part, s + ahead, s, s + size, length, span)
+        todo = np.zeros(len(named.p), np.uint8)
+        got = notes(msgs, REPLY)
         if got:
-            c, x, y, t = (np.concatenate(z) for z in zip(*got))
-            o = np.lexsort((y, x, c))
-            mine = _ranks(core, id1, id2, c[o], x[o], y[o])
-            todo = np.where(mine >= 0, t[o][mine], 0).astype(np.uint8)
-        first = np.concatenate([[True], (core[1:] != core[:-1]) | (id1[1:] != id1[:-1]) | (id2[1:] != id2[:-1])])
+            *names, what = (np.concatenate(z) for z in zip(*got))
+            # names of the answers are names of this block: ranks in the union are equal
+            both = [np.concatenate([x, y]) for x, y in zip(named.names, names)]
+            o = np.lexsort(both[::-1])
+            rank = np.empty(len(o), np.int64)
+            rank[o] = np.cumsum(_changes(*(x[o] for x in both)))
+            at_rank = np.zeros(len(o) + 1, np.uint8)
+            at_rank[rank[len(named.p) :]] = what
+            todo = at_rank[rank[: len(named.p)]]
         every = (todo & _ALL) > 0
-        send = first & ((todo & _TEXT) > 0)
+        send = np.flatnonzero(named.first & ((todo & _TEXT) > 0))
         data = b.buf.tobytes()
-        bk = (core % np.uint64(n_buckets)).astype(np.int64)
-        for k, (c, pp, ss, ee, want) in split_by(bk[send], core[send], p[send], s[send], e[send], (~every[send]).astype(np.uint8)):
-            texts = np.frombuffer(b"".join(data[i:j] for i, j in zip(ss, ee)), np.uint8)
-            out.append((k, no, pack(np.zeros(1, np.int8), c, *small(pp, ss, ee - ss), want, texts)))
-        deal = first & ((todo & _DEAL) > 0)
+        bucket = (named.names[0][send] % np.uint64(n_buckets)).astype(np.int64)
+        for k, (i,) in split_by(bucket, send):
+            s, e, cs, ce = (x[i] for x in (named.s, named.e, named.core_s, named.core_e))
+            texts = b"".join(data[x:y] + b"\0" + data[z:u] for x, y, z, u in zip(s, cs, ce, e))
+            out.append((k, no, pack(
+                np.zeros(1, np.int8), named.names[0][i], named.names[1][i], *small(s, cs - s, e - ce),
+                (~every[i]).astype(np.uint8), np.frombuffer(texts, np.uint8),
+            )))
+        deal = named.first & ((todo & _DEAL) > 0)
         if deal.any():
-            out += _deal(no, b.buf, core[deal], p[deal], s[deal], e[deal], every[deal], length, n_buckets)
-        rs, re = ranges_union(s[every], e[every])
+            out += _deal(no, b.buf, named.p[deal], named.s[deal], named.e[deal], every[deal], length, n_buckets)
+        rs, re = ranges_union(named.s[every], named.e[every])
         out.append((no % n_buckets, -1 - no, pack(*small(rs, re - rs))))
         return rows(out, ASK_ARROW)
 
     return run
 
 
-def _ranks(core, id1, id2, c, x, y):
-    """Index of each (core, id1, id2) in the sorted triples (c, x, y), or -1."""
-    key = lambda a, b, d: mix(a + mix(b + mix(d.astype(np.uint64))))
-    have = key(c, x, y)
-    o = np.argsort(have)
-    k = key(core, id1, id2)
-    at = np.minimum(np.searchsorted(have[o], k), len(o) - 1)
-    hit = o[at]
-    same = (c[hit] == core) & (x[hit] == id1) & (y[hit] == id2)
-    return np.where(same, hit, -1)
-
-
-def _deal(no, data, core, p, s, e, every, length, n_buckets):
+def _deal(no, data, p, s, e, every, length, n_buckets):
     """All strings of the pieces of hot cores, dealt out by their own 96-bit hash."""
     n = e - s - length + 1
     which = np.repeat(np.arange(len(p)), n)
@@ -457,13 +476,12 @@ def _deal(no, data, core, p, s, e, every, length, n_buckets):
     return out
 
 
-def _sort_pieces(length: int):
-    """In a bucket: the suffix array of the pieces, and the strings that stand twice."""
+def _sort_pieces(length: int, span: int):
+    """In a bucket: the suffix array of the pieces, and the strings that stand twice. In a
+    piece the core is one sign, so its strings are ``span`` bytes."""
 
     def run(table: pa.Table) -> pa.Table:
-        out, text, texts = [], [], []
-        blk, core, p, s, size, want = [], [], [], [], [], []
-        dealt = []
+        out, blk, got, dealt = [], [], [], []
         raws = table.column("payload")
         for i, no in enumerate(table.column("block").to_pylist()):
             raw = raws[i].as_py()
@@ -473,40 +491,32 @@ def _sort_pieces(length: int):
             kind, *rest = unpack(raw)
             if kind[0]:
                 dealt.append((np.full(len(rest[0]), no, np.int64), *rest))
-                continue
-            c, pp, ss, nn, w, t = rest
-            blk.append(np.full(len(c), no, np.int64))
-            core.append(c), p.append(pp.astype(np.int64)), s.append(ss.astype(np.int64))
-            size.append(nn.astype(np.int64)), want.append(w), texts.append(t)
+            else:
+                blk.append(np.full(len(rest[0]), no, np.int64))
+                got.append(rest)
         if blk:
-            blk, core, p, s, size, want = map(np.concatenate, (blk, core, p, s, size, want))
-            text = np.concatenate(texts)
+            blk, (core, core2, s, before, after, want, text) = np.concatenate(blk), map(np.concatenate, zip(*got))
+            s, before = s.astype(np.int64), before.astype(np.int64)
+            size = before + 1 + after
             begin = np.cumsum(size) - size
-            order = suffix_array(text, length)
+            keys = _keys(text)
+            order = suffix_array(text, span, keys)
             owner = np.repeat(np.arange(len(size)), size)
             inside = order - begin[owner[order]]
-            whole = inside + length <= size[owner[order]]
-            order, inside = order[whole], inside[whole]
-            run_no = np.cumsum(np.concatenate([[0], ~adjacent_equal(text, order, length)]))
             own = owner[order]
-            rel = p[own] - s[own] - inside  # place of the anchor in the string
-            o = np.lexsort((rel, core[own], run_no))
-            r, c, q = run_no[o], core[own][o], rel[o]
-            same = (r[1:] == r[:-1]) & (c[1:] == c[:-1]) & (q[1:] == q[:-1])
-            again = np.zeros(len(o), dtype=bool)
-            again[1:] |= same
-            again[:-1] |= same
-            hit = o[again]
+            whole = (inside <= before[own]) & (inside + span <= size[own])
+            order, inside, own = order[whole], inside[whole], own[whole]
+            run_no = np.cumsum(np.concatenate([[0], ~adjacent_equal(keys, order, span)]))
+            place = before[own] - inside  # of the core in the string
+            _, group = np.unique(core + mix(core2.astype(np.uint64)), return_inverse=True)
+            o = np.lexsort((place, group[own], run_no))
+            hit = o[_twice(run_no[o], group[own][o], place[o])]
             hit = hit[want[own[hit]] > 0]
             _reply(out, blk[own[hit]], s[own[hit]] + inside[hit], length)
         if dealt:
             b, x, y, a, w = map(np.concatenate, zip(*dealt))
             o = np.lexsort((y, x))
-            same = (x[o][1:] == x[o][:-1]) & (y[o][1:] == y[o][:-1])
-            again = np.zeros(len(o), dtype=bool)
-            again[1:] |= same
-            again[:-1] |= same
-            hit = o[again]
+            hit = o[_twice(x[o], y[o])]
             hit = hit[w[hit] > 0]
             _reply(out, b[hit], a[hit].astype(np.int64), length)
         return rows(out, ANSWER_ARROW)
@@ -514,6 +524,12 @@ def _sort_pieces(length: int):
     return run
 
 
+def _twice(*columns: np.ndarray) -> np.ndarray:
+    """True for rows of sorted columns that have an equal neighbour."""
+    new = _changes(*columns)
+    return ~new | ~np.append(new[1:], True) if len(new) else new
+
+
 def _reply(out, blk, start, length):
     for no, (a,) in split_by(blk, start):
         rs, re = ranges_union(np.sort(a), np.sort(a) + length)
@@ -554,7 +570,7 @@ def remove_repeated_bytes(
 ) -> DataFrame:
     """One row per document: ``doc_id, n_bytes, n_removed``, the maximal removed runs
     (half-open byte ranges) and the bytes ``kept``."""
-    gram = max(1, length // 4)
+    gram, span = max(1, length // 4), min(RANGE, max(1, length // 3))
     n_blocks = block_count(docs, text)
     n_buckets = max(1, n_blocks // 3)
     blocks = to_blocks(docs, n_blocks, doc_id, text)
@@ -563,8 +579,8 @@ def remove_repeated_bytes(
         return blocks.groupBy("block").cogroup(home(msgs, n_blocks)).applyInArrow(step, ASK)
 
     msgs = ask_buckets(blocks.groupBy("block").applyInArrow(alone(_ask_anchors(length, gram, n_buckets)), ASK), n_buckets, meet)
-    msgs = ask_buckets(again(msgs, _ask_pieces(length, gram, n_buckets)), n_buckets, _judge_pieces(hot))
-    msgs = ask_buckets(again(msgs, _send_pieces(length, n_buckets)), n_buckets, _sort_pieces(length))
+    msgs = ask_buckets(again(msgs, _ask_pieces(length, gram, span, n_buckets)), n_buckets, _judge_pieces(hot))
+    msgs = ask_buckets(again(msgs, _send_pieces(length, span, n_buckets)), n_buckets, _sort_pieces(length, span))
     return blocks.groupBy("block").cogroup(home(msgs, n_blocks)).applyInArrow(_cut, _RESULT)
 
 

@@ -71,7 +71,7 @@ def test_strings_dealt_one_by_one():
     rnd = random.Random(3)
     data = np.frombuffer(("".join(rnd.choice("ab") for _ in range(300))).encode(), np.uint8)
     p = np.array([40, 120])
-    rows = S._deal(0, data, np.zeros(2, np.uint64), p, p - 10, p + 30, np.zeros(2, bool), 16, 1)
+    rows = S._deal(0, data, p, p - 10, p + 30, np.zeros(2, bool), 16, 1)
     (_, _, raw), = rows
     kind, h1, h2, at, want = S.unpack(raw)
     assert kind[0] == 1 and len(h1) == 2 * (40 - 16 + 1) and want.all()
@@ -97,5 +97,5 @@ def test_suffix_array_is_sorted():
 def test_adjacent_prefixes():
     t = np.frombuffer(b"abcdefghijkabcdefghijxabcdefghijk", np.uint8)
     o = np.array([0, 22, 11])
-    assert S.adjacent_equal(t, o, 11).tolist() == [True, False]
-    assert S.adjacent_equal(t, o, 10).tolist() == [True, True]
+    assert S.adjacent_equal(S._keys(t), o, 11).tolist() == [True, False]
+    assert S.adjacent_equal(S._keys(t), o, 10).tolist() == [True, True]
