@@ -26,9 +26,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graphweave.session import scratch_dir
-
 from .tokens import token_pieces
+from .written import written
 
 BUCKET_ROWS = 50_000
 
@@ -163,8 +162,5 @@ def pack_documents(
 ) -> DataFrame:
     """Tokenize, cut and pack ``docs``: one row per piece with its ids and its place. The
     pieces are written once to the shared scratch folder; tokenizing is never repeated."""
-    spark = docs.sparkSession
-    path = scratch_dir(spark, "pieces")
     pieces = token_pieces(docs, tokenizer, capacity, end_id, with_ids, doc_id, text)
-    (pieces if with_ids else pieces.drop("ids")).write.parquet(path)
-    return pack_pieces(spark.read.parquet(path), capacity)
+    return pack_pieces(written(pieces if with_ids else pieces.drop("ids"), "pieces"), capacity)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, suffix_dedup, token_files, web_archives, window_dedup
+from . import jaccard_join, mixing, packing, suffix_dedup, token_files, web_archives, window_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,12 +43,22 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.repeated_windows_digest(_table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op10_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_substring_dedup": op5_substring_dedup,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op10_mixing_sources": op10_mixing_sources,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op10_mixing_sources": mixing.MIXTURE_SQL}

@@ -21,6 +21,7 @@ from graphweave.session import scratch_dir
 
 from .rangeio import RangeReader, new_file, open_output
 from .tokens import encoder
+from .written import written
 
 BLOCK_TOKENS = 1 << 20
 _FILE = pa.schema([("file", pa.string()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64()))])
@@ -99,10 +100,7 @@ def token_counts(
 ) -> DataFrame:
     """One row per document of ``files(file, n_tokens)``: ``file, ordinal`` (from 0),
     ``start`` (token number), ``n_tokens`` (without the separator), ``complete``."""
-    spark = files.sparkSession
-    path = scratch_dir(spark, "separators")
-    scan_separators(files, separator, dtype, block_tokens).write.parquet(path)
-    found = spark.read.parquet(path)
+    found = written(scan_separators(files, separator, dtype, block_tokens), "separators")
     summary = found.select("file", "block", F.size("separators").alias("n"), F.array_max("separators").alias("last"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(
@@ -132,11 +130,8 @@ def token_counts(
 def document_token_counts(docs: DataFrame, tokenizer: str, separator: int, dtype: str = "<u2") -> DataFrame:
     """Write ``docs`` as flat token files, scan them, and give each count its document:
     ``doc_id, n_tokens``."""
-    spark = docs.sparkSession
-    folder = scratch_dir(spark, "token-files")
-    names = scratch_dir(spark, "token-file-names")
-    write_token_files(docs, folder, tokenizer, separator, dtype).write.parquet(names)
-    files = spark.read.parquet(names)
+    folder = scratch_dir(docs.sparkSession, "token-files")
+    files = written(write_token_files(docs, folder, tokenizer, separator, dtype), "token-file-names")
     counts = token_counts(files.select("file", "n_tokens"), separator, dtype)
     owner = files.select("file", F.posexplode("doc_ids").alias("ordinal", "doc_id"))
     owner = owner.withColumn("ordinal", F.col("ordinal").cast("long"))

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from graphweave.session import scratch_dir
 
 from .rangeio import RangeReader, new_file, open_output
+from .written import written
 
 RANGE_BYTES = 4 << 20
 ARCHIVE_BYTES = 256 << 20  # payload after which a writer starts the next archive
@@ -170,7 +171,8 @@ class _Archive:
     def __init__(self, folder: str):
         self.name = new_file(folder, ".wacz")
         self.sink = open_output(self.name)
-        self.zip = zipfile.ZipFile(io.BufferedWriter(_Raw(self.sink), 1 << 20), "w", zipfile.ZIP_STORED)
+        self.buffer = io.BufferedWriter(_Raw(self.sink), 1 << 20)
+        self.zip = zipfile.ZipFile(self.buffer, "w", zipfile.ZIP_STORED)
         self.data = self.zip.open(zipfile.ZipInfo("archive/data.warc.gz"), "w", force_zip64=True)
         self.at, self.lines = 0, []
 
@@ -189,7 +191,7 @@ class _Archive:
         package = {"profile": "data-package", "resources": [{"name": "data.warc.gz", "path": "archive/data.warc.gz", "records": n}]}
         self.zip.writestr(zipfile.ZipInfo("datapackage.json"), json.dumps(package))
         self.zip.close()
-        self.zip_fp_closed = True
+        self.buffer.flush()
         self.sink.close()
         return self.name, n
 
@@ -374,7 +376,6 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
 
 def archive_round_trip(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     """Write ``pages`` to archives in the shared scratch folder and read them back."""
-    spark = pages.sparkSession
-    folder, names = scratch_dir(spark, "archives"), scratch_dir(spark, "archive-names")
-    write_archives(pages, folder, min_revisit_bytes).write.parquet(names)
-    return resolve_revisits(read_records(spark.read.parquet(names)))
+    folder = scratch_dir(pages.sparkSession, "archives")
+    archives = written(write_archives(pages, folder, min_revisit_bytes), "archive-names")
+    return resolve_revisits(read_records(archives))
