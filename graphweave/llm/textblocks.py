@@ -109,11 +109,16 @@ def utf8(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a block: byte ranges, owner document, 64-bit hash."""
 
-    def __init__(self, buf: np.ndarray, offsets: np.ndarray, lower: bool = False, hashes: bool = True):
+    def __init__(
+        self, buf: np.ndarray, offsets: np.ndarray, lower: bool = False, hashes: bool = True, cuts: np.ndarray | None = None
+    ):
+        """``cuts`` marks bytes at which a word is to end and the next to start."""
         n = len(buf)
         inside = ~_SPACE[buf]
         first = np.zeros(n + 1, dtype=bool)
         first[offsets] = True
+        if cuts is not None:
+            first[:n] |= cuts
         start = inside.copy()
         start[1:] &= ~inside[:-1] | first[1:n]
         stop = inside.copy()
