@@ -35,6 +35,7 @@ SAMPLE_DOCUMENTS = 4000
 CONTENT_SHARE = 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 10, 20, 5
 _STRETCH = 4 << 20
+N_FEATURES = 23
 _A = np.uint64(0x9E3779B97F4A7C15)
 
 # The signs that count as symbols, and ends of sentences.
@@ -63,8 +64,8 @@ class Lines:
         breaks = np.flatnonzero(buf == 10)
         starts = np.union1d(offsets[:-1][np.diff(offsets) > 0], breaks + 1)
         starts = starts[starts < len(buf)]
-        ends = np.append(starts[1:], len(buf))
-        ends = ends - (buf[ends - 1] == 10) if len(ends) else ends
+        ends = np.append(starts[1:], len(buf))[: len(starts)]
+        ends = ends - (buf[ends - 1] == 10)
         doc = np.searchsorted(offsets, starts, side="right") - 1
         first, last = np.searchsorted(w.start, starts), np.searchsorted(w.start, ends)
         full = last > first
@@ -72,7 +73,7 @@ class Lines:
         self.first, self.last = first[full], last[full]
         self.n_words = self.last - self.first
         self.edge = np.searchsorted(self.doc, np.arange(n_docs + 1))
-        self.buf, self.n_docs = buf, n_docs
+        self.buf, self.offsets, self.n_docs = buf, offsets, n_docs
         self._sums = {}
         self.key = self._line_keys()
 
@@ -134,11 +135,14 @@ class Lines:
         head = self.buf[self.words.start[self.first]] if len(s) else np.zeros(0, np.uint8)
         size = self.count(_FIRST, s, e) / n
         _, other = self.copies()
+        h = self.words.hash
+        same = np.concatenate([[0], np.cumsum(np.concatenate([[False], h[1:] == h[:-1]]))]) if len(h) else np.zeros(1, np.int64)
+        stutter = (same[self.last] - same[np.minimum(self.first + 1, self.last)]) / n
         cols = [
             np.ones(len(s)), n <= 3, (n > 3) & (n < 10), (n >= 10) & (n < 30), n >= 30,
             symbols == 0, (symbols > 0) & (symbols <= 0.1), (symbols > 0.1) & (symbols <= 0.5), symbols > 0.5,
             shouts > 0.2, upper < 0.1, (upper >= 0.1) & (upper <= 0.5), upper > 0.5, _END[tail], other, digits > 0.2,
-            marks == 0, marks > 0.4, self.count(_flags_of("|"), s, e) > 0, size < 3.5, size > 10, _UPPER[head],
+            marks == 0, marks > 0.4, self.count(_flags_of("|"), s, e) > 0, size < 3.5, size > 10, _UPPER[head], stutter > 0.2,
         ]
         return np.stack([np.asarray(c, np.float64) for c in cols], axis=1)
 
@@ -252,13 +256,12 @@ def train(texts: list[str | None], good: list[int]) -> Field:
     mark = np.array(good, np.int64)
     line_good = np.repeat(mark, np.diff(lines.edge))
     if not len(x) or line_good.min() == line_good.max():
-        return Field(np.eye(1, x.shape[1] if len(x) else 22)[0], np.zeros(2), np.zeros((2, 2)))
+        return Field(np.eye(1, x.shape[1] if len(x) else N_FEATURES)[0], np.zeros(2), np.zeros((2, 2)))
     # both kinds of documents weigh the same in the first fit
-    alone = np.arange(len(x) + 1)
     bad = np.flatnonzero(line_good == 0)
     often = max(1, int(len(x) - len(bad)) // len(bad))
     rows = np.concatenate([np.flatnonzero(line_good == 1), *[bad] * min(often, 50)])
-    first = fit(x[rows], alone[: len(rows) + 1], line_good[rows], chain=False)
+    first = fit(x[rows], np.arange(len(rows) + 1), line_good[rows], chain=False)
     label = np.where((line_good == 0) & (x @ first.weights < 0), 0, 1)
     return fit(x, lines.edge, label, chain=True)
 
