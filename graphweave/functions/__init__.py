@@ -1,7 +1,7 @@
 """Column-level helpers. Everything here returns a ``pyspark.sql.Column`` built from
 built-in expressions, so it stays inside whole-stage code generation."""
 
-from graphweave.functions.keys import document_name_norm, entity_key, key_name
+from graphweave.functions.keys import entity_key, key_name
 from graphweave.functions.text import (
     chunk_name,
     fold_newlines,
@@ -14,7 +14,6 @@ from graphweave.functions.literals import literal, string_literal
 
 __all__ = [
     "chunk_name",
-    "document_name_norm",
     "entity_key",
     "fold_newlines",
     "is_blank_string",

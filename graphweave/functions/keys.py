@@ -22,8 +22,3 @@ def key_name(name) -> Column:
 def entity_key(type_col, name) -> Column:
     """``<type>_<normalised name>``; the type keeps its case; a missing name is ``unknown``."""
     return F.concat(_c(type_col), F.lit("_"), key_name(F.coalesce(_c(name), F.lit("unknown"))))
-
-
-def document_name_norm(name) -> Column:
-    """Document names are only stripped; their case is kept."""
-    return ustrip(name)

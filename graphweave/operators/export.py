@@ -39,6 +39,7 @@ INDEX_FMT = (
 )
 STATEMENT_SEP = ";\n\n"
 SCRIPT_PREFIX = "knowledge_graph_"
+ROWS = "_rows"  # our own folder; a leading underscore hides it from readers of the text
 STATEMENT_RE = r"(?i)^(MERGE|MATCH|CREATE|CALL|WITH)"
 
 
@@ -55,7 +56,7 @@ def _fmt(template: str, **cols) -> F.Column:
     return F.concat(*parts)
 
 
-def render_body(props_col="props") -> F.Column:
+def render_body(props_col="props", max_chars: int | None = None) -> F.Column:
     """P16 + P21: ``k: literal, ...`` after dropping null and blank-string values
     (empty string when nothing is left)."""
     p = F.col(props_col) if isinstance(props_col, str) else props_col
@@ -64,15 +65,10 @@ def render_body(props_col="props") -> F.Column:
         F.map_entries(kept), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v"), F.schema_of_variant(e["value"]).alias("s"))
     )
     return F.array_join(
-        F.transform(tagged, lambda x: F.concat(x["k"], F.lit(": "), literal_tagged(x["v"], x["s"]))), ", "
+        F.transform(tagged, lambda x: F.concat(x["k"], F.lit(": "), literal_tagged(x["v"], x["s"], max_chars))), ", "
     )
 
 
-def render(props_col="props"):
-    """``(body, number of kept properties)``; see ``render_body``."""
-    return let(render_body(props_col), lambda b: b), None
-
-
 def _emit(df: DataFrame, keep: list, stmt: F.Column) -> DataFrame:
     """Rows with a non-NULL statement. The statement is a generated column, so the
     NULL test stays above the generator and the statement is built once (a filter
@@ -83,26 +79,27 @@ def _emit(df: DataFrame, keep: list, stmt: F.Column) -> DataFrame:
     )
 
 
-def node_statements(nodes: DataFrame) -> DataFrame:
-    """``entity_key, type, statement`` for nodes with at least one property."""
+def node_statements(nodes: DataFrame, max_chars: int | None = None) -> DataFrame:
+    """``entity_key, type, statement`` for nodes with at least one property.
+    ``max_chars`` cuts long strings as the load format does (T2); by default none is cut."""
     fixed = repair.placeholder(repair.chunk_number(nodes))
     stmt = let(
-        render_body("props"),
+        render_body("props", max_chars),
         lambda b: F.when(b != "", _fmt(NODE_FMT, type=F.col("type"), props=b)),
     )
     return _emit(fixed, ["entity_key", "type", "first_ord"], stmt)
 
 
-def edge_statements(rels: DataFrame) -> DataFrame:
+def edge_statements(rels: DataFrame, max_chars: int | None = None) -> DataFrame:
     """P18 + P23: one statement per relationship row with truthy endpoints."""
     ok = F.coalesce((F.col("source") != "") & (F.col("target") != ""), F.lit(False))
     keep = [c for c in rels.columns if c != "props"]
     stmt = let(
-        render_body("props"),
+        render_body("props", max_chars),
         lambda b: _fmt(
             EDGE_FMT,
-            source=escape_string(F.col("source")),
-            target=escape_string(F.col("target")),
+            source=escape_string(F.col("source"), max_chars),
+            target=escape_string(F.col("target"), max_chars),
             type=F.col("type"),
             props=F.when(b != "", F.concat(F.lit(" {"), b, F.lit("}"))).otherwise(F.lit("")),
         ),
@@ -135,11 +132,16 @@ def write_script(
     node_stmts: DataFrame, edge_stmts: DataFrame, index_stmts: DataFrame, out_dir: str, when: _dt.datetime | None = None
 ) -> str:
     """K2: write ``<out_dir>/knowledge_graph_<yyyyMMdd_HHmmss>/{1_nodes,2_edges,3_indexes}``,
-    one statement per line record ending in ``;\\n\\n``. Returns the script folder."""
+    one statement per line record ending in ``;\\n\\n``, and the same statements as Parquet rows
+    in the hidden folder ``_rows``. Returns the script folder."""
     ts = (when or _dt.datetime.now()).strftime("%Y%m%d_%H%M%S")
     root = f"{out_dir.rstrip('/')}/{SCRIPT_PREFIX}{ts}"
     for sub, df in (("1_nodes", node_stmts), ("2_edges", edge_stmts), ("3_indexes", index_stmts)):
-        df.select("statement").write.mode("overwrite").option("lineSep", STATEMENT_SEP).text(f"{root}/{sub}")
+        rows = f"{root}/{ROWS}/{sub}"
+        df.select("statement").write.mode("overwrite").parquet(rows)
+        df.sparkSession.read.schema("statement string").parquet(rows).write.mode("overwrite").option(
+            "lineSep", STATEMENT_SEP
+        ).text(f"{root}/{sub}")
     return root
 
 
@@ -147,12 +149,13 @@ def load_statements(spark: SparkSession, path: str, mode: str = "naive") -> Data
     """Statements of a script folder.
 
     ``naive`` cuts at every ``;`` (also inside quoted text), strips and keeps pieces
-    that start with MERGE/MATCH/CREATE/CALL/WITH in any case. ``rows`` reads whole
-    statements back (cut only at the ``;\\n\\n`` record separator)."""
-    sep = ";" if mode == "naive" else STATEMENT_SEP
-    if mode not in ("naive", "rows"):
+    that start with MERGE/MATCH/CREATE/CALL/WITH in any case. ``rows`` reads the statements
+    that ``write_script`` kept as rows beside the text: lossless, whatever they contain."""
+    if mode == "rows":
+        return spark.read.schema("statement string").option("recursiveFileLookup", "true").parquet(f"{path.rstrip('/')}/{ROWS}")
+    if mode != "naive":
         raise ValueError(f"unknown mode {mode!r}")
-    raw = spark.read.option("lineSep", sep).option("recursiveFileLookup", "true").text(path)
+    raw = spark.read.option("lineSep", ";").option("recursiveFileLookup", "true").text(path)
     s = ustrip(F.col("value"))
     return raw.select(s.alias("statement")).where((F.col("statement") != "") & F.col("statement").rlike(STATEMENT_RE))
 
@@ -162,10 +165,11 @@ def apply_statements(
 ) -> DataFrame:
     """K3: run every statement alone through a writer built once per task.
 
-    Returns ``statement_prefix, ok, error``; the default writer is a dry run that
+    Returns ``statement, statement_prefix, ok, error``; the default writer is a dry run that
     accepts every statement. Count with ``count_if(ok)`` / ``count_if(not ok)``."""
     schema = T.StructType(
         [
+            T.StructField("statement", T.StringType()),
             T.StructField("statement_prefix", T.StringType()),
             T.StructField("ok", T.BooleanType()),
             T.StructField("error", T.StringType()),
@@ -179,10 +183,10 @@ def apply_statements(
             for q in pdf["statement"]:
                 try:
                     write(q)
-                    rows.append((q[:100], True, None))
+                    rows.append((q, q[:100], True, None))
                 except Exception as e:  # noqa: BLE001 - counted as a failure
-                    rows.append((q[:100], False, f"{type(e).__name__}: {e}"[:500]))
-            yield pd.DataFrame(rows, columns=["statement_prefix", "ok", "error"])
+                    rows.append((q, q[:100], False, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=["statement", "statement_prefix", "ok", "error"])
 
     from graphweave.session import ship_package
 

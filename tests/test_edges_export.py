@@ -56,7 +56,7 @@ def test_literals(spark):
 
 
 def test_long_text_cut_after_escaping(spark):
-    df = spark.createDataFrame([("a" * 32001,), ("'" * 20000,)], "t string").select(string_literal("t").alias("l"))
+    df = spark.createDataFrame([("a" * 32001,), ("'" * 20000,)], "t string").select(string_literal("t", 32000).alias("l"))
     a, b = [r.l for r in df.collect()]
     assert a == "'" + "a" * 32000 + "...'"
     assert b == "'" + "\\'" * 16000 + "...'"
