@@ -1,87 +1,99 @@
-"""Completion rules (P6-P12) against a small Python model written from the rules,
-on hypothesis-generated extractor responses."""
+"""Completion rules P6-P12 as a table: response of one chunk -> expected rows.
+
+Chunk number 4 of document ``d`` throughout; ``C`` is its chunk name. Entities are written
+``Type:name``, relationships ``source>TYPE>target``, in output order."""
 
 import json
 
-from hypothesis import given, settings
-from hypothesis import strategies as st
+import pytest
 from pyspark.sql import functions as F
 
 from graphweave.operators import extract, shape
 
-DOC = "d"
-
-
-def model(n, resp):
-    cname = f"{DOC}_chunk_{n}"
-    if resp is None:
-        return [("Chunk", cname), ("Document", DOC)], [(cname, DOC, "BELONGS_TO")]
-    ents, has_doc, has_chunk = [], False, False
-    for e in resp["entities"]:
-        props = e.get("properties", {})
-        name = props["name"] if "name" in props else e["name"]
-        if e["type"] == "Document":
-            has_doc = True
-            if not name or name == "unknown":
-                name = DOC
-        if e["type"] == "Chunk" and e["name"] == cname:
-            has_chunk = True
-        ents.append((e["type"], name))
-    if not has_doc:
-        ents.append(("Document", DOC))
-    if not has_chunk:
-        ents.append(("Chunk", cname))
-    rels = [(r["source"], r["target"], r["type"]) for r in resp["relationships"]]
-    linked = any(
-        (s == cname and t == DOC and ty == "BELONGS_TO") or (s == DOC and t == cname and ty == "CONTAINS")
-        for s, t, ty in rels
-    )
-    if not linked:
-        rels.append((cname, DOC, "BELONGS_TO"))
-    rels += [(cname, nm, "MENTIONS") for ty, nm in ents if ty not in ("Chunk", "Document")]
-    return ents, rels
-
-
-def names(n):
-    return st.sampled_from(["Ann", "", "unknown", DOC, f"{DOC}_chunk_{n}", "Bob"])
-
-
-def entity(n):
-    return st.fixed_dictionaries(
-        {"type": st.sampled_from(["Person", "Document", "Chunk", "Concept"]), "name": names(n)},
-        optional={"properties": st.fixed_dictionaries({}, optional={"name": names(n)})},
-    )
-
-
-def relationship(n):
-    return st.fixed_dictionaries(
-        {"source": names(n), "target": names(n), "type": st.sampled_from(["BELONGS_TO", "CONTAINS", "KNOWS"])}
-    )
-
-
-def response(n):
-    return st.none() | st.fixed_dictionaries(
-        {"entities": st.lists(entity(n), max_size=4), "relationships": st.lists(relationship(n), max_size=3)}
-    )
-
-
-@settings(max_examples=6, deadline=None)
-@given(st.lists(st.integers(0, 3).flatmap(lambda k: response(k).map(lambda r: (k, r))), min_size=1, max_size=8))
-def test_completion_matches_model(spark, chunks):
-    # one row per generated chunk; chunk numbers made unique by position
-    rows, want_e, want_r = [], set(), set()
-    for i, (k, resp) in enumerate(chunks):
-        n = i * 10 + k
-        # names in the strategy refer to chunk k; rebase them onto chunk n
-        text = json.dumps(resp).replace(f"{DOC}_chunk_{k}", f"{DOC}_chunk_{n}") if resp is not None else None
-        rows.append(("p", DOC, n, "t", text))
-        ents, rels = model(n, json.loads(text) if text else None)
-        want_e |= {(n, p, t, nm) for p, (t, nm) in enumerate(ents)}
-        want_r |= {(n, p, s, t, ty) for p, (s, t, ty) in enumerate(rels)}
+C = "d_chunk_4"
+LINK = f"{C}>BELONGS_TO>d"
+
+
+def ent(spec, **props):
+    kind, name = spec.split(":", 1)
+    return {"type": kind, "name": name, **({"properties": props} if props else {})}
+
+
+def rel(spec):
+    s, t, o = spec.split(">")
+    return {"source": s, "type": t, "target": o}
+
+
+CASES = {
+    # rule: (entities, relationships, expected entities, expected relationships)
+    "P12 failed chunk": (None, None, [f"Chunk:{C}", "Document:d"], [LINK]),
+    "P8 P9 P10 all added": ([], [], ["Document:d", f"Chunk:{C}"], [LINK]),
+    "P11 a mention per entity": (
+        [ent("Person:Ann"), ent("Concept:Bob")], [],
+        ["Person:Ann", "Concept:Bob", "Document:d", f"Chunk:{C}"], [LINK, f"{C}>MENTIONS>Ann", f"{C}>MENTIONS>Bob"],
+    ),
+    "P11 same name twice": (
+        [ent("Person:Ann"), ent("Concept:Ann")], [],
+        ["Person:Ann", "Concept:Ann", "Document:d", f"Chunk:{C}"], [LINK, f"{C}>MENTIONS>Ann", f"{C}>MENTIONS>Ann"],
+    ),
+    "P11 empty name": ([ent("Person:")], [], ["Person:", "Document:d", f"Chunk:{C}"], [LINK, f"{C}>MENTIONS>"]),
+    "P6 a name property goes before the name": (
+        [ent("Person:Ann", name="Eve")], [], ["Person:Eve", "Document:d", f"Chunk:{C}"], [LINK, f"{C}>MENTIONS>Eve"],
+    ),
+    "P6 an empty name property too": (
+        [ent("Person:Ann", name="")], [], ["Person:", "Document:d", f"Chunk:{C}"], [LINK, f"{C}>MENTIONS>"],
+    ),
+    "P7 unknown document is renamed": ([ent("Document:unknown")], [], ["Document:d", f"Chunk:{C}"], [LINK]),
+    "P7 empty document is renamed": ([ent("Document:")], [], ["Document:d", f"Chunk:{C}"], [LINK]),
+    "P7 other documents keep their name": ([ent("Document:report")], [], ["Document:report", f"Chunk:{C}"], [LINK]),
+    "P7 by name property": ([ent("Document:report", name="unknown")], [], ["Document:d", f"Chunk:{C}"], [LINK]),
+    "P8 a returned document is not added again": (
+        [ent("Document:a"), ent("Document:b")], [], ["Document:a", "Document:b", f"Chunk:{C}"], [LINK],
+    ),
+    "P9 the chunk itself is not added again": ([ent(f"Chunk:{C}")], [], [f"Chunk:{C}", "Document:d"], [LINK]),
+    "P9 another chunk does not count": (
+        [ent("Chunk:d_chunk_5")], [], ["Chunk:d_chunk_5", "Document:d", f"Chunk:{C}"], [LINK],
+    ),
+    "P9 the entity's own name decides, not its property": (
+        [ent(f"Chunk:{C}", name="other")], [], ["Chunk:other", "Document:d"], [LINK],
+    ),
+    "P10 a returned link is not added again": ([], [rel(LINK)], ["Document:d", f"Chunk:{C}"], [LINK]),
+    "P10 CONTAINS from the document is a link": (
+        [], [rel(f"d>CONTAINS>{C}")], ["Document:d", f"Chunk:{C}"], [f"d>CONTAINS>{C}"],
+    ),
+    "P10 BELONGS_TO the wrong way is none": (
+        [], [rel(f"d>BELONGS_TO>{C}")], ["Document:d", f"Chunk:{C}"], [f"d>BELONGS_TO>{C}", LINK],
+    ),
+    "P10 CONTAINS the wrong way is none": (
+        [], [rel(f"{C}>CONTAINS>d")], ["Document:d", f"Chunk:{C}"], [f"{C}>CONTAINS>d", LINK],
+    ),
+    "P10 another document is none": (
+        [], [rel(f"{C}>BELONGS_TO>e")], ["Document:d", f"Chunk:{C}"], [f"{C}>BELONGS_TO>e", LINK],
+    ),
+    "order: given, link, mentions": (
+        [ent("Person:Ann")], [rel("Ann>KNOWS>Bob")],
+        ["Person:Ann", "Document:d", f"Chunk:{C}"], ["Ann>KNOWS>Bob", LINK, f"{C}>MENTIONS>Ann"],
+    ),
+}
+
+
+@pytest.fixture(scope="module")
+def completed(spark):
+    rows = []
+    for k, (ents, rels, _, _) in enumerate(CASES.values()):
+        text = None if ents is None else json.dumps({"entities": ents, "relationships": rels})
+        rows.append((f"case{k}", "d", 4, "t", text))
     df = spark.createDataFrame(rows, "path string, document_name string, chunk_number int, text string, response string")
     df = df.withColumn("error", F.when(F.col("response").isNull(), F.lit("failed")))
     e, r = shape.complete(extract.parse_results(df, "response"))
-    got_e = {(x.chunk_number, x.pos, x.type, x.name) for x in e.collect()}
-    got_r = {(x.chunk_number, x.pos, x.source, x.target, x.type) for x in r.collect()}
-    assert got_e == want_e
-    assert got_r == want_r
+    return e.collect(), r.collect()
+
+
+@pytest.mark.parametrize("k,name", list(enumerate(CASES)))
+def test_completion(completed, k, name):
+    ents, rels = completed
+    mine = sorted((x for x in ents if x.path == f"case{k}"), key=lambda x: x.pos)
+    assert [f"{x.type}:{x.name}" for x in mine] == CASES[name][2]
+    links = sorted((x for x in rels if x.path == f"case{k}"), key=lambda x: x.pos)
+    assert [f"{x.source}>{x.type}>{x.target}" for x in links] == CASES[name][3]
+    assert [x.pos for x in mine] == list(range(len(mine))) and [x.pos for x in links] == list(range(len(links)))
