@@ -13,7 +13,6 @@ per partition of documents.
 
 from __future__ import annotations
 
-import math
 from typing import Iterator
 
 import pandas as pd
@@ -54,20 +53,19 @@ def chunk(
     n_chunks = F.when(n <= 0, F.lit(0)).otherwise(
         F.greatest(F.lit(1), F.floor((n - F.lit(overlap) + F.lit(step - 1)) / F.lit(step)).cast("int"))
     )
-    # Linear in the text length: one regex pass cuts the text into blocks of
-    # g = gcd(size, step) characters; chunk i is blocks [i*step/g, (i*step+size)/g)
-    # joined. (``substring`` by character position rescans the text from its start
-    # for every chunk, which is quadratic for long texts.)
-    g = math.gcd(size, step)
-    blocks = F.regexp_extract_all(F.col(text_col), F.lit(f"(?s).{{1,{g}}}"), 0)
-    per_step, per_chunk = step // g, size // g
+    # Linear in the text length: one regex pass cuts the text into blocks of ``step``
+    # characters; chunk i is the first ``size`` characters from block i on. (``substring`` by
+    # character position rescans the text from its start for every chunk, which is
+    # quadratic for long texts.)
+    blocks = F.regexp_extract_all(F.col(text_col), F.lit(f"(?s).{{1,{step}}}"), 0)
+    per_chunk = -(-size // step)
     # The block array is bound with ``let``: a plain column referenced inside the
     # lambda would be inlined by the optimizer and re-split for every chunk.
     texts = let(
         blocks,
         lambda b: F.transform(
             F.sequence(F.lit(0), F.col("__n") - 1),
-            lambda i: F.array_join(F.slice(b, i * per_step + 1, F.lit(per_chunk)), ""),
+            lambda i: F.substring(F.array_join(F.slice(b, i + 1, F.lit(per_chunk)), ""), 1, size),
         ),
     )
     others = [c for c in documents.columns if c != text_col]

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from graphweave import schemas
 
 # Default rule patterns (no \b, same meaning in Java regex and RE2).
-CONCEPT_RE = r"[A-Z][a-z]{3,}"
+CONCEPT_RE = r"(?:^|[^\p{L}])(\p{Lu}\p{Ll}+\p{L}{2,})"  # group 1: a whole word of 4+ letters, capital first
 LICENSE_RE = r"(?:Apache|MIT|GNU General Public) License"
 EMAIL_RE = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}"
 IPV4_RE = r"[0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}"
@@ -42,6 +42,9 @@ RELATIONSHIP_TYPES = (
     "AUTHORED_BY", "REFERENCES", "CITES", "DISCUSSES",
 )
 
+LOOSE_PROPERTIES = "struct<entities:array<struct<properties:variant>>,relationships:array<struct<properties:variant>>>"
+
+
 def empty_props() -> Column:
     return F.expr(f"cast(map() as {schemas.PROPS})")
 
@@ -67,7 +70,7 @@ def _rel(source: Column, target: Column, type_: str) -> Column:
 def rule_hits(text: Column) -> dict[str, Column]:
     """The four match lists (distinct, in order of first occurrence)."""
     return {
-        "__concepts": F.array_distinct(F.regexp_extract_all(text, F.lit(CONCEPT_RE), 0)),
+        "__concepts": F.array_distinct(F.regexp_extract_all(text, F.lit(CONCEPT_RE), 1)),
         "__licences": F.array_distinct(F.regexp_extract_all(text, F.lit(LICENSE_RE), 0)),
         "__emails": F.array_distinct(F.regexp_extract_all(text, F.lit(EMAIL_RE), 0)),
         "__ips": F.array_distinct(F.regexp_extract_all(text, F.lit(IPV4_RE), 0)),
@@ -77,7 +80,7 @@ def rule_hits(text: Column) -> dict[str, Column]:
 def rule_response(concepts: Column, licences: Column, emails: Column, ips: Column) -> Column:
     """RESPONSE struct from the default rules, given the four match lists.
 
-    Entities: Concept for every capitalised word of 4+ letters, Technology for
+    Entities: Concept for every capitalised word of 4+ letters (any script), Technology for
     licence names, Person for each mail address and Organization for its
     lower-cased domain, Location for dotted IPv4-like addresses. Relationships:
     consecutive Concepts RELATED_TO, each Person WORKS_FOR its Organization."""
@@ -134,21 +137,27 @@ def extract(
     fn: Callable[[pd.DataFrame], Sequence] | None = None,
     text_col: str = "text",
     partitions: int | None = None,
+    factory: Callable[[], Callable[[pd.DataFrame], Sequence]] | None = None,
 ) -> DataFrame:
     """Add ``result`` (RESPONSE struct, NULL on failure) and ``error`` (STRING).
 
-    ``partitions``: spread chunks over that many tasks first (0 = keep as is)."""
+    ``factory`` is called once per task and returns the extractor. ``partitions``: spread chunks over that many tasks first (0 = keep as is)."""
     if partitions != 0:
         chunks = spread(chunks, partitions)
-    if fn is None:
+    if fn is None and factory is None:
         return apply_rules(chunks, text_col)
-    return parse_results(call_extractor(chunks, fn), "response")
+    return parse_results(call_extractor(chunks, fn, factory=factory), "response")
 
 
-def call_extractor(chunks: DataFrame, fn: Callable[[pd.DataFrame], Sequence], out_col: str = "response") -> DataFrame:
+def call_extractor(
+    chunks: DataFrame, fn: Callable[[pd.DataFrame], Sequence] | None, out_col: str = "response",
+    factory: Callable[[], Callable[[pd.DataFrame], Sequence]] | None = None,
+) -> DataFrame:
     """Run a user extractor over Arrow batches; adds ``response`` and ``error``.
 
-    A failing batch is retried row by row, so one bad chunk only fails itself."""
+    ``factory`` builds the extractor once per task (a client, a model) instead of ``fn``. A
+    batch that fails, or gives another number of results than it has chunks, is retried row
+    by row, so one bad chunk only fails itself."""
     from graphweave.session import ship_package
 
     ship_package(chunks.sparkSession)
@@ -163,20 +172,23 @@ def call_extractor(chunks: DataFrame, fn: Callable[[pd.DataFrame], Sequence], ou
         return x if isinstance(x, str) else json.dumps(x)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        call = factory() if factory is not None else fn
         for pdf in batches:
             try:
-                out = [to_text(x) for x in fn(pdf)]
+                out = [to_text(x) for x in call(pdf)]
+                if len(out) != len(pdf):
+                    raise ValueError(f"{len(out)} results for {len(pdf)} chunks")
                 err = [None if x is not None else "empty response" for x in out]
             except Exception:  # isolate the failing rows
                 out, err = [], []
                 for i in range(len(pdf)):
                     try:
-                        (x,) = list(fn(pdf.iloc[i : i + 1]))
+                        (x,) = list(call(pdf.iloc[i : i + 1]))
                         out.append(to_text(x))
                         err.append(None if x is not None else "empty response")
                     except Exception as e:  # noqa: BLE001 - recorded per chunk
                         out.append(None)
-                        err.append(f"{type(e).__name__}: {e}"[:1000])
+                        err.append(f"{type(e).__name__}: {e}")
             pdf = pdf.copy()
             pdf[out_col] = out
             pdf["error"] = err
@@ -188,13 +200,27 @@ def call_extractor(chunks: DataFrame, fn: Callable[[pd.DataFrame], Sequence], ou
 def parse_results(df: DataFrame, response_col: str = "response") -> DataFrame:
     """P5: parse and validate a JSON response into ``result``.
 
-    Required: both lists, entity ``type`` and ``name``, relationship ``source``,
+    Required: ``properties``, where given, are a map; both lists, entity ``type`` and ``name``, relationship ``source``,
     ``target`` and ``type``; properties default to an empty map. An invalid
     response makes the chunk a failure (``error`` set, ``result`` NULL)."""
     parsed = F.from_json(F.col(response_col), schemas.RESPONSE)
+    # properties that are given must be a map: read once more with loose types
+    loose = F.from_json(F.col(response_col), LOOSE_PROPERTIES)
+
+    def maps(items: Column) -> Column:
+        return F.forall(
+            F.coalesce(items, F.array().cast("array<struct<properties:variant>>")),
+            lambda x: F.coalesce(
+                x["properties"].isNull() | F.is_variant_null(x["properties"])
+                | F.schema_of_variant(x["properties"]).startswith("OBJECT"), F.lit(True),
+            ),
+        )
+
     ents, rels = parsed["entities"], parsed["relationships"]
     valid = (
-        parsed.isNotNull()
+        maps(loose["entities"])
+        & maps(loose["relationships"])
+        & parsed.isNotNull()
         & ents.isNotNull()
         & rels.isNotNull()
         & F.forall(ents, lambda e: e.isNotNull() & e["type"].isNotNull() & e["name"].isNotNull())

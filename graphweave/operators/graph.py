@@ -68,7 +68,7 @@ def document_mentions(resolved: DataFrame, name: str | None = None, entity_type:
     """Distinct ``(document_key, entity_key)`` where a chunk of the document
     MENTIONS the entity. Optional filters on the entity name and type."""
     m = resolved.where(F.col("type") == "MENTIONS").select(
-        F.col("src_key").alias("chunk_key"), F.col("dst_key").alias("entity_key"), F.col("target").alias("entity_name"),
+        F.col("src_key").alias("chunk_key"), F.col("dst_key").alias("entity_key"), F.col("dst_name").alias("entity_name"),
         F.col("dst_type").alias("entity_type"),
     )
     if name is not None:
@@ -76,16 +76,19 @@ def document_mentions(resolved: DataFrame, name: str | None = None, entity_type:
     if entity_type is not None:
         m = m.where(F.col("entity_type") == entity_type)
     b = resolved.where((F.col("type") == "BELONGS_TO") & (F.col("dst_type") == "Document")).select(
-        F.col("src_key").alias("chunk_key"), F.col("dst_key").alias("document_key"), F.col("target").alias("document_name")
+        F.col("src_key").alias("chunk_key"), F.col("dst_key").alias("document_key"), F.col("dst_name").alias("document_name")
     )
     return m.join(b, "chunk_key").select("document_key", "document_name", "entity_key", "entity_name", "entity_type").distinct()
 
 
 def edge_id(resolved: DataFrame) -> DataFrame:
-    """Deduplicated resolved edges with a stable text id."""
+    """Deduplicated resolved edges with an id: the digest of their fields as JSON, which keeps
+    fields apart whatever characters they hold."""
     return resolved.select(
         "src_key", "dst_key", "type", F.to_json("props").alias("props_json")
-    ).distinct().withColumn("eid", F.concat_ws("|", "src_key", "type", "dst_key", "props_json"))
+    ).distinct().withColumn(
+        "eid", F.md5(F.to_json(F.struct("src_key", "type", "dst_key", "props_json")))
+    )
 
 
 def paths(

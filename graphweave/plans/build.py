@@ -36,6 +36,8 @@ def build_graph(results: DataFrame, pre_repair: bool = False, persist_nodes: boo
         ents = repair.pre_merge(ents).drop("repaired")
     rows, _quarantine = merge.prepare(ents)
     nodes = merge.merge_entities(rows, prepared=True)
+    if persist_nodes:  # the repair reads the merged nodes three times
+        nodes = materialize(nodes, "merged")
     nodes = repair.post_merge(nodes, rows).drop("repaired")
     if persist_nodes:
         nodes = materialize(nodes, "nodes")
@@ -128,19 +130,12 @@ def run_batch(
 
 
 def _read_store_or_none(spark: SparkSession, store_path: str, exclude_run: str | None = None):
-    import os
+    from graphweave.sources.store import read_if_exists
 
-    from graphweave.session import local_path
-
-    if store_path.startswith(("file:", "/")) and not os.path.exists(local_path(store_path)):
-        return None
-    try:
-        s = spark.read.parquet(store_path)
-    except Exception:  # noqa: BLE001 - no store yet
-        return None
-    if exclude_run is not None and "run_id" in s.columns:
+    s = read_if_exists(spark, store_path)
+    if s is not None and exclude_run is not None and "run_id" in s.columns:
         s = s.where(F.col("run_id") != exclude_run)
-    return s.drop("run_id") if "run_id" in s.columns else s
+    return s.drop("run_id") if s is not None and "run_id" in s.columns else s
 
 
 def rebuild_from_store(spark: SparkSession, records_path: str, latest: bool = False, multiline: bool = True):
@@ -150,8 +145,8 @@ def rebuild_from_store(spark: SparkSession, records_path: str, latest: bool = Fa
     from graphweave.sources import store as ssrc
 
     records, bad = ssrc.read_records(spark, records_path, multiline)
-    if latest and "content_md5" in records.columns:
-        records = ssrc.latest_only(records)
+    if latest:  # a record file is a version of its document
+        records = ssrc.latest_only(records, version="source_file")
     ents, rels = ssrc.record_rows(records)
     ents = repair.pre_merge(ents).drop("repaired")
     rows, quarantine = merge.prepare(ents)

@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphweave.functions.literals import literal, string_literal
+from graphweave.functions.literals import MAX_LITERAL_CHARS, literal, string_literal
 from graphweave.operators import edges, export, extract, graph, merge, repair, shape
 from graphweave.plans import oracle as O
 from graphweave.plans import views as V
@@ -518,7 +518,7 @@ def index_statements_q(spark, sf):
 )
 def escape_literals(spark, sf):
     d = V.table(spark, sf, "documents")
-    lit_ = string_literal(F.col("text"))
+    lit_ = string_literal(F.col("text"), MAX_LITERAL_CHARS)
     return d.select("doc_id", F.md5(lit_).alias("literal_md5"), F.char_length(lit_).cast("bigint").alias("literal_chars"))
 
 
@@ -646,7 +646,8 @@ _HTML = r"""SELECT page_id, md5(t) AS text_md5, length(t)::BIGINT AS text_chars
   SELECT page_id, trim(regexp_replace(
     replace(replace(replace(replace(replace(
       regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g'),
-        '(?is)<(script|style|head)[^>]*>.*?</(script|style|head)\s*>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'),
+        '(?is)<script(\s[^>]*)?>.*?</script\s*>|<style(\s[^>]*)?>.*?</style\s*>|<head(\s[^>]*)?>.*?</head\s*>', ' ', 'g'),
+        '(?s)<[^>]*>', ' ', 'g'),
       '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'),
     '[ \t\r\n]+', ' ', 'g'), ' ') AS t FROM pages)"""
 
@@ -981,11 +982,12 @@ def concept_extractor(batch):
     """A user extractor for the P4 slot: capitalised words of 4+ letters as Concept
     entities (distinct, in order), consecutive ones RELATED_TO. Returns JSON text."""
     import json
-    import re
+
+    import regex
 
     out = []
     for text in batch["text"]:
-        words = list(dict.fromkeys(re.findall(r"[A-Z][a-z]{3,}", text or "")))
+        words = list(dict.fromkeys(regex.findall(r"(?:^|[^\p{L}])(\p{Lu}\p{Ll}+\p{L}{2,})", text or "")))
         out.append(json.dumps({
             "entities": [{"type": "Concept", "name": w} for w in words],
             "relationships": [{"source": a, "target": b, "type": "RELATED_TO"} for a, b in zip(words, words[1:])],
@@ -1040,16 +1042,16 @@ def chunk_embedding_index(spark, sf):
     O.with_(O.DOC_FILES)
     + """SELECT count(*) FILTER (WHERE l.quality = 1)::BIGINT AS processed, count(*)::BIGINT AS total,
        round((100.0 * count(*) FILTER (WHERE l.quality = 1) / count(*))::DOUBLE, 1) AS progress_pct
-FROM doc_files f JOIN labels l ON f.doc_id = l.doc_id""",
+FROM doc_files f LEFT JOIN labels l ON f.doc_id = l.doc_id""",
 )
 def labels_progress(spark, sf):
     """A12 over a manifest taken from ``labels``: a labelled document counts as
-    processed when its quality flag is 1, failed otherwise."""
+    processed when its quality flag is 1; others, unlabelled ones included, are not."""
     from graphweave.operators import stats
 
     f = V.doc_files(spark, sf)
     lab = V.table(spark, sf, "labels")
-    m = f.join(lab, "doc_id").select(
+    m = f.join(lab, "doc_id", "left").select(
         "path", F.when(F.col("quality") == 1, F.lit("ok")).otherwise(F.lit("failed")).alias("status")
     )
     return stats.progress(m)

@@ -4,7 +4,10 @@ They restate the view definitions of ``plans.views`` and the default extraction
 rules in plain SQL over the driver's tables; no Spark code is involved.
 """
 
-from graphweave.operators.extract import CONCEPT_RE, EMAIL_RE, IPV4_RE, LICENSE_RE
+from graphweave.operators.extract import EMAIL_RE, IPV4_RE, LICENSE_RE
+
+# spelled here on its own: words of four letters or more, a capital and a small letter first
+CONCEPT_SQL = r"(?:^|[^\p{L}])(\p{Lu}\p{Ll}+\p{L}{2,})"
 
 DOC_FILES = """doc_files AS (
   SELECT doc_id, source || '/' || lang || '/doc_' || doc_id || '.txt' AS path,
@@ -29,14 +32,14 @@ def hits(src: str) -> str:
     """Rule entities of chunk table ``src`` (needs chunk_name, text): ``ents`` with
     chunk_name, grp, type, name, o (first offset), pos; plus ``rule_rels``."""
 
-    def part(grp: int, type_: str, pattern: str) -> str:
+    def part(grp: int, type_: str, pattern: str, group: int = 0) -> str:
         return (
             f"SELECT chunk_name, {grp} AS grp, '{type_}' AS type, unnest(l) AS name, unnest(range(len(l))) AS o "
-            f"FROM (SELECT chunk_name, regexp_extract_all(text, '{pattern}') AS l FROM {src})"
+            f"FROM (SELECT chunk_name, regexp_extract_all(text, '{pattern}', {group}) AS l FROM {src})"
         )
 
     return f"""raw_hits AS (
-  {part(0, 'Concept', CONCEPT_RE)}
+  {part(0, 'Concept', CONCEPT_SQL, 1)}
   UNION ALL {part(1, 'Technology', LICENSE_RE)}
   UNION ALL {part(2, 'Person', EMAIL_RE)}
   UNION ALL {part(4, 'Location', IPV4_RE)}),

@@ -43,7 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when it is unset (tests, local runs) a private folder is created here.
+    Only when it is unset on a local master (tests) a private folder is created here;
+    on a cluster a missing setting is an error, never a folder of one machine.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -51,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="graphweave-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

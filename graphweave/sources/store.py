@@ -12,14 +12,28 @@ unreadable files become quarantine rows instead of stopping the run.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphweave import schemas
 
+UNKNOWN_DOCUMENT = "unknown"  # a record without a document name
 KEY = ["document_name", "content_md5", "chunk_number"]
 
 
+def read_if_exists(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """A Parquet table, or None if its path does not exist. Spark is asked, so any store
+    and a scheme-less path on a cluster's default store work; other faults are raised."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    try:
+        return reader.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def write_store(results: DataFrame, store_path: str, run_id: str | None = None) -> None:
     """Write per-chunk results (``result`` struct + ``error``) with a timestamp.
 
@@ -65,8 +79,9 @@ def read_records(spark: SparkSession, path: str, multiline: bool = True) -> tupl
         .json(path)
         .withColumn("source_file", F.input_file_name())
     )
-    bad = raw.where(F.col("_corrupt_record").isNotNull() | F.col("document_name").isNull())
-    good = raw.where(F.col("_corrupt_record").isNull() & F.col("document_name").isNotNull()).drop("_corrupt_record")
+    bad = raw.where(F.col("_corrupt_record").isNotNull())
+    good = raw.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    good = good.withColumn("document_name", F.coalesce("document_name", F.lit(UNKNOWN_DOCUMENT)))
     return good, bad.select("source_file", "_corrupt_record")
 
 
@@ -111,10 +126,13 @@ def split_cached(documents: DataFrame, store: DataFrame) -> tuple[DataFrame, Dat
     )
 
 
-def latest_only(store: DataFrame, time_col: str = "extraction_time", by: str = "document_name") -> DataFrame:
-    """I4: keep only the newest content version of every document."""
-    newest = store.groupBy(by).agg(F.max_by("content_md5", time_col).alias("content_md5"))
-    return store.join(newest, [by, "content_md5"], "left_semi")
+def latest_only(
+    store: DataFrame, time_col: str = "extraction_time", by: str = "document_name", version: str = "content_md5"
+) -> DataFrame:
+    """I4: keep only the newest version of every document (or path, with ``by``). Of versions
+    with equal times the one that sorts last stays, so a rerun keeps the same."""
+    newest = store.groupBy(by).agg(F.max_by(version, F.struct(time_col, version)).alias(version))
+    return store.join(newest, [by, version], "left_semi")
 
 
 def envelope(results: DataFrame) -> DataFrame:
