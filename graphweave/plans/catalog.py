@@ -196,7 +196,7 @@ _CONCEPTS = (
     O.with_(O.DOC_FILES, O.DOC_CHUNKS, O.hits("doc_chunks"))
     + """, concept_rows AS (
   SELECT c.path, c.chunk_number, e.pos, c.document_name,
-         CASE c.doc_id % 3 WHEN 0 THEN upper(e.name) WHEN 1 THEN lower(e.name) ELSE e.name END AS name
+         CASE c.doc_id % 3 WHEN 0 THEN replace(upper(replace(e.name, 'ß', '¤')), '¤', 'ß') WHEN 1 THEN lower(e.name) ELSE e.name END AS name
   FROM ents e JOIN doc_chunks c USING (chunk_name) WHERE e.type = 'Concept'),
 keyed AS (SELECT *, """
     + O.key("'Concept'", "name")
