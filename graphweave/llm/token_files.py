@@ -79,7 +79,9 @@ def scan_separators(files: DataFrame, separator: int, dtype: str = "<u2", block_
         "file", "n_tokens",
         F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_tokens") - 1) / block_tokens))).alias("block"),
     )
-    blocks = blocks.repartition(F.col("file"), F.col("block"))
+    # as many tasks as the tokens ask for: rows of blocks are few and small
+    total = files.agg(F.sum(F.ceil(F.col("n_tokens") / block_tokens))).first()[0] or 0
+    blocks = blocks.repartition(max(1, -(-int(total) // 4)), F.col("file"), F.col("block"))
 
     def run(batches):
         for batch in batches:
@@ -135,4 +137,4 @@ def document_token_counts(docs: DataFrame, tokenizer: str, separator: int, dtype
     counts = token_counts(files.select("file", "n_tokens"), separator, dtype)
     owner = files.select("file", F.posexplode("doc_ids").alias("ordinal", "doc_id"))
     owner = owner.withColumn("ordinal", F.col("ordinal").cast("long"))
-    return counts.join(owner, ["file", "ordinal"]).select("doc_id", "n_tokens")
+    return counts.join(owner.hint("merge"), ["file", "ordinal"]).select("doc_id", "n_tokens")

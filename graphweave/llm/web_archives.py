@@ -151,14 +151,16 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
 
 def _gunzip_members(raw: bytes) -> Iterator[tuple[int, bytes]]:
     """``(packed length, content)`` of the gzip members that stand end to end in ``raw``."""
-    at = 0
+    view, at, step = memoryview(raw), 0, 1 << 14
     while at < len(raw):
-        z = zlib.decompressobj(31)
-        content = z.decompress(memoryview(raw)[at:]) + z.flush()
+        z, parts, end = zlib.decompressobj(31), [], at
+        while not z.eof and end < len(raw):  # small bites: what a bite holds beyond the member is copied
+            parts.append(z.decompress(view[end : end + step]))
+            end = min(end + step, len(raw))
         if not z.eof:
             return
-        size = len(raw) - at - len(z.unused_data)
-        yield size, content
+        size = end - at - len(z.unused_data)
+        yield size, b"".join(parts)
         at += size
 
 
@@ -183,7 +185,7 @@ class _Archive:
         self.lines.append(json.dumps({"offset": self.at, "length": len(raw), "filename": "data.warc.gz", "url": url, "digest": f"sha1:{digest}"}))
         self.at += len(raw)
 
-    def close(self) -> tuple[str, int]:
+    def close(self) -> tuple[str, int, int]:
         self.data.close()
         n = len(self.lines)
         index = "".join(f"{k:012d} {WRITTEN_AT} {x}\n" for k, x in enumerate(self.lines))
@@ -193,7 +195,7 @@ class _Archive:
         self.zip.close()
         self.buffer.flush()
         self.sink.close()
-        return self.name, n
+        return self.name, n, self.at
 
 
 class _Raw(io.RawIOBase):
@@ -214,11 +216,17 @@ class _Raw(io.RawIOBase):
         return self.n
 
 
+def _rows(batch: pa.RecordBatch, step: int = 64):
+    """Rows of a batch as Python values, a few at a time."""
+    for k in range(0, batch.num_rows, step):
+        yield from zip(*(c.to_pylist() for c in batch.slice(k, step).columns))
+
+
 def write_archives(
     pages: DataFrame, folder: str, min_revisit_bytes: int = 0, page_id: str = "page_id", url: str = "url", html: str = "html"
 ) -> DataFrame:
     """Write a record per row of ``pages`` into archives below ``folder``. Lazy: one row per
-    archive, ``archive, n_records``; write that table before use.
+    archive, ``archive, n_records, n_bytes``; write that table before use.
 
     Equal payloads are found by one aggregate over (digest, length); the pages then meet
     the smallest id of their payload in a join that Spark splits where a payload is hot,
@@ -237,28 +245,30 @@ def write_archives(
         archive, size = None, 0
 
         def row():
-            name, n = archive.close()
-            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], names=["archive", "n_records"])
-
-        for batch in batches:
-            for i, u, payload, first in zip(*(c.to_pylist() for c in batch.columns)):
-                archive = archive or _Archive(folder)
-                archive.add(i, u, payload, payload_digest(payload), first if first is not None and first != i else None)
-                size += len(payload)
-                if size >= ARCHIVE_BYTES:
-                    yield row()
-                    archive, size = None, 0
+            name, n, size = archive.close()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([name]), pa.array([n], pa.int64()), pa.array([size], pa.int64())], names=["archive", "n_records", "n_bytes"]
+            )
+
+        for i, u, payload, first in (r for batch in batches for r in _rows(batch)):
+            archive = archive or _Archive(folder)
+            archive.add(i, u, payload, payload_digest(payload), first if first is not None and first != i else None)
+            size += len(payload)
+            if size >= ARCHIVE_BYTES:
+                yield row()
+                archive, size = None, 0
         if archive is not None:
             yield row()
 
-    return p.mapInArrow(run, "archive string, n_records long")
+    return p.mapInArrow(run, "archive string, n_records long, n_bytes long")
 
 
 # ---------------------------------------------------------------- reading
 
 _RECORD = pa.schema([
     ("archive", pa.string()), ("offset", pa.int64()), ("record_type", pa.string()), ("record_id", pa.string()),
-    ("target_uri", pa.string()), ("payload_digest", pa.string()), ("refers_to", pa.string()), ("payload", pa.binary()),
+    ("target_uri", pa.string()), ("payload_digest", pa.string()), ("refers_to", pa.string()),
+    ("payload_bytes", pa.int64()), ("payload", pa.binary()),
 ])
 
 
@@ -326,10 +336,16 @@ def _join(spots: list[tuple[int, int]], range_bytes: int) -> list[tuple[int, int
     return [(o, n) for o, n in out]
 
 
-def read_records(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """All records of ``archives(archive)``. Payload digests are computed anew and compared
-    with the records' own; a revisit has no payload."""
-    ranges = record_ranges(archives, range_bytes).repartition("archive", "offset")
+def read_records(archives: DataFrame, range_bytes: int = RANGE_BYTES, payloads: bool = True) -> DataFrame:
+    """All records of ``archives(archive, n_bytes)``. Payload digests are computed anew and
+    compared with the records' own; a revisit has no payload, and with ``payloads=False`` no
+    record has, only its ``payload_bytes``.
+
+    Ranges are dealt over a number of tasks that follows the archives' bytes: their rows
+    are few and small, so that nothing else would tell Spark how much there is to read."""
+    total = archives.agg(F.sum("n_bytes")).first()[0] or 0
+    n_tasks = max(1, -(-int(total) // (2 * max(range_bytes, 1 << 16))), min(archives.sparkSession.sparkContext.defaultParallelism, int(total) // 65536))
+    ranges = record_ranges(archives, range_bytes).repartition(n_tasks, "archive", "offset")
 
     def run(batches):
         for batch in batches:
@@ -346,7 +362,8 @@ def read_records(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFra
                         raise ValueError(f"{name}: payload at {at} does not match its digest")
                     bare = lambda key: head.get(key, "").strip("<>") or None
                     out.append((name, at, kind, bare("warc-record-id"), head.get("warc-target-uri") or None, digest,
-                                bare("warc-refers-to"), payload if kind == "response" else None))
+                                bare("warc-refers-to"), len(payload) if kind == "response" else None,
+                                payload if payloads and kind == "response" else None))
                     at += n
                 if at != offset + length:
                     raise ValueError(f"{name}: damaged record at {at}")
@@ -354,7 +371,7 @@ def read_records(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFra
 
     return ranges.mapInArrow(
         run, "archive string, offset long, record_type string, record_id string, target_uri string, "
-        "payload_digest string, refers_to string, payload binary",
+        "payload_digest string, refers_to string, payload_bytes long, payload binary",
     )
 
 
@@ -363,14 +380,15 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     length of the response it refers to."""
     number = lambda c: F.nullif(F.substring_index(c, ":", -1), F.lit("")).cast("long")
     r = records.select(
-        number(F.col("record_id")).alias("page_id"), F.length("payload").cast("long").alias("own"), "payload_digest",
+        number(F.col("record_id")).alias("page_id"), F.col("payload_bytes").alias("own"), "payload_digest",
         "record_type", number(F.col("refers_to")).alias("refers_to"),
     )
     responses = r.filter("record_type = 'response' and page_id is not null").groupBy("page_id", "payload_digest").agg(
         F.max("own").alias("theirs")
     )
     responses = responses.select(F.col("page_id").alias("refers_to"), F.col("payload_digest"), "theirs")
-    j = r.join(responses, ["refers_to", "payload_digest"], "left")
+    # the archives' names are a small table, which says nothing of their records: no broadcast
+    j = r.join(responses.hint("merge"), ["refers_to", "payload_digest"], "left")
     return j.select("page_id", F.coalesce("own", "theirs").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
 
 
@@ -378,4 +396,4 @@ def archive_round_trip(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFram
     """Write ``pages`` to archives in the shared scratch folder and read them back."""
     folder = scratch_dir(pages.sparkSession, "archives")
     archives = written(write_archives(pages, folder, min_revisit_bytes), "archive-names")
-    return resolve_revisits(read_records(archives))
+    return resolve_revisits(read_records(archives, payloads=False))

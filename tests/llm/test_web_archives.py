@@ -45,7 +45,7 @@ def test_round_trip(spark):
 def test_payloads_come_back_by_small_ranges(spark, tmp_path):
     rows = pages(3)
     archives = A.write_archives(spark.createDataFrame(rows, SCHEMA), str(tmp_path)).collect()
-    table = spark.createDataFrame(archives, "archive string, n_records long")
+    table = spark.createDataFrame(archives, "archive string, n_records long, n_bytes long")
     for size in (1, 700, 1 << 22):
         got = A.read_records(table, range_bytes=size).collect()
         assert len(got) == len(rows)
@@ -109,7 +109,7 @@ def test_damage_is_reported(spark, tmp_path):
     data[offset + size // 2] ^= 0xFF
     (tmp_path / "bad.wacz").write_bytes(bytes(data))
     with pytest.raises(Exception):
-        A.read_records(spark.createDataFrame([(str(tmp_path / "bad.wacz"),)], "archive string")).collect()
+        A.read_records(spark.createDataFrame([(str(tmp_path / "bad.wacz"), 9)], "archive string, n_bytes long")).collect()
 
 
 def test_record_parser():
