@@ -89,8 +89,10 @@ def run_batch(
     found = fsrc.discover(spark, input_dir, formats)
     if incremental == "path":  # skip before any byte is read
         found = msrc.pending(found, done, "path")
+    found = materialize(found, "found")  # one listing
     with_bytes = fsrc.load_content(spark, found, input_dir, formats)
-    docs = fsrc.read_text(with_bytes.drop("document_name"), readers)
+    # read once: everything below sees the texts and hashes of this one pass over the bytes
+    docs = materialize(fsrc.read_text(with_bytes.drop("document_name"), readers), "documents")
     todo = docs if incremental == "path" else msrc.pending(docs, done, incremental)
     ok_docs = todo.where(F.col("error").isNull())
     previous = _read_store_or_none(spark, store_path, exclude_run=run_id)
@@ -102,6 +104,7 @@ def run_batch(
     results = extract.extract(chunks, fn=extractor)
     ssrc.write_store(results, store_path, run_id)
     stored = ssrc.read_store(spark, store_path, run_id=run_id).drop("run_id")
+    counts = stored.groupBy("path").agg(F.count("*").cast("int").alias("n_chunks"))  # newly extracted ones
     if hits is not None:
         reused = (
             previous.join(hits.select("document_name", "content_md5").distinct(), ["document_name", "content_md5"], "left_semi")
@@ -115,7 +118,6 @@ def run_batch(
         )
         stored = stored.unionByName(reused)
     nodes, rels = build_graph(stored)
-    counts = stored.groupBy("path").agg(F.count("*").cast("int").alias("n_chunks"))
     if write_outputs:
         export.write_graph(nodes, rels, f"{work_dir}/graph")
         export.write_script(

@@ -79,8 +79,10 @@ def read_records(spark: SparkSession, path: str, multiline: bool = True) -> tupl
         .json(path)
         .withColumn("source_file", F.input_file_name())
     )
-    bad = raw.where(F.col("_corrupt_record").isNotNull())
-    good = raw.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    # Spark refuses to read the corrupt column alone, so a second column is looked at
+    readable = F.coalesce(F.length("document_name"), F.lit(0)) >= 0
+    bad = raw.where(F.col("_corrupt_record").isNotNull() & readable)
+    good = raw.where(F.col("_corrupt_record").isNull() & readable).drop("_corrupt_record")
     good = good.withColumn("document_name", F.coalesce("document_name", F.lit(UNKNOWN_DOCUMENT)))
     return good, bad.select("source_file", "_corrupt_record")
 
