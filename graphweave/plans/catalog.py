@@ -825,19 +825,29 @@ def pipeline_stats(spark, sf):
 
 
 def _write_doc_files(spark, sf) -> str:
-    """Write the documents as text files (grouped by language) under scratch."""
+    """Write the documents as text files under scratch, one per language and ``doc_id % 16``:
+    the texts by id, a newline after each."""
     from graphweave.session import scratch_dir
 
     root = scratch_dir(spark, "docs")
     d = V.table(spark, sf, "documents")
-    n = spark.sparkContext.defaultParallelism  # file count follows the cluster size
-    # deterministic file contents: hash-partitioned by id, sorted inside each file
-    d.repartition(n, "doc_id").sortWithinPartitions("lang", "doc_id").select("lang", "text").write.partitionBy(
-        "lang"
-    ).text(root)
+    d = d.select("lang", (F.col("doc_id") % 16).alias("part"), "doc_id", "text")
+    d = d.repartition("lang", "part").sortWithinPartitions("lang", "part", "doc_id").drop("doc_id")
+    d.write.partitionBy("lang", "part").text(root)
     return root
 
 
+# the same files in SQL, and their chunks (named by the hash of the file)
+_TEXT_FILES = r"""text_files AS (
+  SELECT md5(t) AS content_md5, regexp_replace(t, '\r\n?', chr(10), 'g') AS text FROM (
+    SELECT string_agg(text, chr(10) ORDER BY doc_id) || chr(10) AS t FROM documents GROUP BY lang, doc_id % 16)),
+file_sizes AS (SELECT *, greatest(1, ceil((length(text) - 500) / 1000.0))::INTEGER AS n_chunks FROM text_files),
+file_chunks AS (
+  SELECT content_md5, i::INTEGER AS chunk_number, content_md5 || '_chunk_' || i AS chunk_name,
+         substr(text, (i * 1000 + 1)::INTEGER, 1500) AS text
+  FROM (SELECT *, unnest(range(n_chunks)) AS i FROM file_sizes))"""
+
+
 def _star_script(spark, sf) -> str:
     from graphweave.session import scratch_dir
 
@@ -884,25 +894,23 @@ def latest_script(spark, sf):
     return export.latest_script(spark, out)
 
 
-@register("file_run")
+@register(
+    "file_run",
+    O.with_(_TEXT_FILES) + "SELECT 'run-1' AS run_id, content_md5, 'ok' AS status, n_chunks FROM file_sizes",
+)
 def file_run(spark, sf):
-    """E1 over files written from the documents table (two runs: the second finds
-    nothing new in path mode)."""
+    """E1 over files written from the documents table: the manifest after two runs, of which
+    the second finds nothing new in path mode and so adds no row."""
     from graphweave.plans.build import run_batch
     from graphweave.session import scratch_dir
 
     root = _write_doc_files(spark, sf)
     work = scratch_dir(spark, "work")
     run_batch(spark, root, work, "run-1")
-    second = run_batch(spark, root, work, "run-2", write_outputs=False)
+    run_batch(spark, root, work, "run-2", write_outputs=False)
     from graphweave.sources import manifest as msrc
 
-    m = msrc.read(spark, f"{work}/manifest")
-    return m.groupBy("run_id", "status").agg(F.count("*").cast("bigint").alias("files")).unionByName(
-        second["documents"].groupBy(F.lit("run-2-pending").alias("run_id"), F.lit("pending").alias("status")).agg(
-            F.count("*").cast("bigint").alias("files")
-        )
-    )
+    return msrc.read(spark, f"{work}/manifest").select("run_id", "content_md5", "status", "n_chunks")
 
 
 def _by_pos(arr):
@@ -938,15 +946,22 @@ def rebuild_from_records(spark, sf):
     return nodes.select("entity_key", "type", "name")
 
 
-@register("stream_ingest")
+@register(
+    "stream_ingest",
+    O.with_(_TEXT_FILES, O.hits("file_chunks"))
+    + "SELECT c.content_md5, c.chunk_number, e.pos, e.type, e.name FROM ents e JOIN file_chunks c USING (chunk_name)",
+)
 def stream_ingest_q(spark, sf):
+    """I1 over the same files: what the extractor found, by the hash of the file."""
     from graphweave.session import scratch_dir
     from graphweave.streaming.ingest import read_output, stream_ingest
 
     root = _write_doc_files(spark, sf)
     out, ck = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-ckpt")
     stream_ingest(spark, root, out, ck, max_files_per_trigger=8)
-    return read_output(spark, out, "entities").select("document_name", "chunk_number", "pos", "type", "name")
+    found = read_output(spark, out, "entities").where(~F.col("type").isin("Chunk", "Document"))
+    files = read_output(spark, out, "files").select("path", "content_md5")
+    return found.join(files, "path").select("content_md5", "chunk_number", "pos", "type", "name")
 
 
 # ---------------------------------------------------------------------------
