@@ -34,7 +34,7 @@ from .textblocks import Words, mix, utf8
 SAMPLE_DOCUMENTS = 4000
 CONTENT_SHARE = 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 10, 20, 5
-_STRETCH = 4 << 20
+_STRETCH = 2 << 20
 N_FEATURES = 23
 _A = np.uint64(0x9E3779B97F4A7C15)
 
@@ -80,8 +80,10 @@ class Lines:
     def count(self, flags: np.ndarray, start, end) -> np.ndarray:
         k = id(flags)
         if k not in self._sums:
-            self._sums[k] = np.concatenate([[0], np.cumsum(flags[self.buf])])
-        return self._sums[k][end] - self._sums[k][start]
+            sums = np.zeros(len(self.buf) + 1, np.int32 if len(self.buf) < 2**31 else np.int64)
+            np.cumsum(flags[self.buf], out=sums[1:])
+            self._sums[k] = sums
+        return (self._sums[k][end] - self._sums[k][start]).astype(np.int64)
 
     def _line_keys(self) -> np.ndarray:
         """64-bit hash of each line's bytes, white space included."""
@@ -249,31 +251,45 @@ def fit(x: np.ndarray, edge: np.ndarray, label: np.ndarray, chain: bool, rounds:
     return Field(*part)
 
 
-def train(texts: list[str | None], good: list[int]) -> Field:
-    """The field from labelled documents; all content if a kind is missing."""
-    lines = Lines(*utf8(pa.array(texts, pa.large_string())))
-    x = lines.features()
-    mark = np.array(good, np.int64)
-    line_good = np.repeat(mark, np.diff(lines.edge))
+def train(x: np.ndarray, edge: np.ndarray, good: np.ndarray) -> Field:
+    """The field from the lines (features, ``edge`` per document) of good and bad documents;
+    all content if a kind is missing."""
+    line_good = np.repeat(good, np.diff(edge))
     if not len(x) or line_good.min() == line_good.max():
-        return Field(np.eye(1, x.shape[1] if len(x) else N_FEATURES)[0], np.zeros(2), np.zeros((2, 2)))
+        return Field(np.eye(1, N_FEATURES)[0], np.zeros(2), np.zeros((2, 2)))
     # both kinds of documents weigh the same in the first fit
     bad = np.flatnonzero(line_good == 0)
     often = max(1, int(len(x) - len(bad)) // len(bad))
     rows = np.concatenate([np.flatnonzero(line_good == 1), *[bad] * min(often, 50)])
     first = fit(x[rows], np.arange(len(rows) + 1), line_good[rows], chain=False)
     label = np.where((line_good == 0) & (x @ first.weights < 0), 0, 1)
-    return fit(x, lines.edge, label, chain=True)
+    return fit(x, edge, label, chain=True)
 
 
 def train_on(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Field:
-    """Fit on at most ``sample`` labelled documents (``quality`` 0 or 1). The sample is gathered
-    for the fit; its size is the bound."""
-    picked = labels.filter("quality in (0, 1) and doc_id is not null").select("doc_id", "quality")
-    picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
-    return train([r["text"] for r in rows], [int(r["quality"]) for r in rows])
+    """Fit on at most ``sample`` labelled documents (``quality`` 0 or 1). Tasks turn the sample
+    into features; what the driver gathers for the fit is one row of bits per line."""
+    picked = labels.filter("quality in (0, 1) and doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")
+    )
+    picked = F.broadcast(picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(picked, "doc_id")
+
+    def run(batches):
+        for batch in batches:
+            for lo, hi in stretches(batch.column("text")):
+                part = batch.slice(lo, hi - lo)
+                lines = Lines(*utf8(part.column("text")))
+                x = lines.features().astype(np.uint8)
+                bits = [x[a:b].tobytes() for a, b in zip(lines.edge[:-1], lines.edge[1:])]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), pa.array(bits, pa.binary())],
+                                                 names=["doc_id", "quality", "lines"])
+
+    got = rows.select("doc_id", "quality", "text").mapInArrow(run, "doc_id long, quality int, lines binary").collect()
+    got = sorted((r["doc_id"], r["quality"], bytes(r["lines"])) for r in got)
+    x = np.frombuffer(b"".join(bits for _, _, bits in got), np.uint8).reshape(-1, N_FEATURES).astype(np.float64)
+    edge = np.cumsum([0, *(len(bits) // N_FEATURES for _, _, bits in got)])
+    return train(x, edge, np.array([q for _, q, _ in got], np.int64))
 
 
 _RESULT = pa.schema([

@@ -144,13 +144,16 @@ def label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) ->
 
 def fit_scorer(texts: pa.Array, target: np.ndarray, rounds: int = 200, decay: float = 1e-4) -> tuple[np.ndarray, float]:
     """Logistic regression on word-feature frequencies with soft targets, by Adam steps."""
-    b = Batch(texts)
-    f = b.features()
     size = 1 << HASH_BITS
-    code, count = np.unique(np.repeat(b.doc, 3) * size + f.reshape(-1), return_counts=True)
-    row, col = code // size, code % size
-    share = count / np.maximum(b.n, 1)[row]
-    use = b.n > 0
+    rows, cols, shares, used = [], [], [], []
+    for lo, hi in stretches(texts):  # only the frequencies of a stretch are kept
+        b = Batch(texts.slice(lo, hi - lo))
+        code, count = np.unique(np.repeat(b.doc, 3) * size + b.features().reshape(-1), return_counts=True)
+        rows.append(code // size + lo)
+        cols.append(code % size)
+        shares.append(count / np.maximum(b.n, 1)[code // size])
+        used.append(b.n > 0)
+    row, col, share, use = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, cols, shares, used))
     weights, bias = np.zeros(size), 0.0
     m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0
     n = max(1, int(use.sum()))

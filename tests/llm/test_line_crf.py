@@ -103,5 +103,5 @@ def test_without_both_kinds_every_line_is_content(make_docs, spark):
     f = C.train_on(docs, none)
     r = C.label_lines(docs, f).filter("doc_id = 1").first()
     assert r.kept and r.content_words == 12
-    assert C.train(["a", "b"], [1, 1]).weights.shape == (C.N_FEATURES,)
+    assert C.train(np.zeros((2, C.N_FEATURES)), np.array([0, 1, 2]), np.array([1, 1])).weights.shape == (C.N_FEATURES,)
     assert C.judge([None], pa.array([None], pa.string()), f, 0.5).column("kept").to_pylist() == [False]
