@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .written import written
@@ -160,6 +160,10 @@ def train_router(x: np.ndarray, n_parts: int, recall: float = RECALL, k: int = 2
 
 # ---------------------------------------------------------------- tables
 
+_FOUND = pa.schema([
+    ("query_id", pa.int64()), ("best", pa.list_(pa.struct([pa.field("minus", pa.float64()), pa.field("vec_id", pa.int64())]))),
+])
+
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """``vec_id, vec`` (doubles) of the vectors that take part."""
@@ -244,13 +248,18 @@ def nearest(
 
     def rank(queries: pa.Table, rows: pa.Table) -> pa.Table:
         if not queries.num_rows or not rows.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+            return _FOUND.empty_table()
         ids, own = rows.column("vec_id").to_numpy(), queries.column("query_id").to_numpy()
         q, r, s = _best(_matrix(queries.column("query")), own, _matrix(rows.column("vec")), ids, k)
-        return pa.table({"query_id": own[q], "vec_id": ids[r], "score": s})
+        # one row per query and cell: the best of the cell, as (-score, id)
+        cut = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1], [True]])) if len(q) else np.zeros(1, np.int64)
+        pairs = pa.StructArray.from_arrays([pa.array(-s), pa.array(ids[r])], fields=list(_FOUND.field("best").type.value_type))
+        best = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pairs, type=_FOUND.field("best").type)
+        return pa.table([pa.array(own[q[cut[:-1]]]), best], schema=_FOUND)
 
     found = visits.repartition(n_cells, "cell").groupBy("cell").cogroup(stored.repartition(n_cells, "cell").groupBy("cell"))
-    found = found.applyInArrow(rank, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    found = found.applyInArrow(rank, "query_id long, best array<struct<minus: double, vec_id: long>>")
+    # a query has at most k candidates for each cell it visits
+    best = F.slice(F.sort_array(F.flatten(F.collect_list("best"))), 1, k)
+    ranked = found.groupBy("query_id").agg(best.alias("best")).select("query_id", F.posexplode("best").alias("place", "b"))
+    return ranked.select("query_id", (F.col("place") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.minus")).alias("score"))
