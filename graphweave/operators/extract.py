@@ -255,6 +255,23 @@ def parse_results(df: DataFrame, response_col: str = "response") -> DataFrame:
     )
 
 
+def restrict_results(
+    results: DataFrame, entity_types: Sequence[str] | None = None, relationship_types: Sequence[str] | None = None
+) -> DataFrame:
+    """P25 before completion: drop entities and relationships of other types from ``result``
+    (None keeps all). Mentions are made from what is left, so none points at a dropped
+    entity; relationships to and from dropped entities keep to the strict or load-time
+    resolution, as those to unknown names do."""
+    def keep(items: Column, types: Sequence[str] | None) -> Column:
+        return items if types is None else F.filter(items, lambda x: x["type"].isin(*types, "Chunk", "Document", "BELONGS_TO", "CONTAINS"))
+
+    r = F.col("result")
+    kept = F.struct(
+        keep(r["entities"], entity_types).alias("entities"), keep(r["relationships"], relationship_types).alias("relationships")
+    )
+    return results.withColumn("result", F.when(r.isNotNull(), kept))
+
+
 def enforce_types(rows: DataFrame, types: Sequence[str], mode: str = "off", type_col: str = "type") -> DataFrame:
     """P25: restrict to an allowed vocabulary. ``off`` keeps everything (the
     vocabulary is only advice to the extractor), ``drop`` filters, ``flag`` adds

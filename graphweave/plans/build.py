@@ -26,12 +26,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def build_graph(results: DataFrame, pre_repair: bool = False, persist_nodes: bool = True):
-    """From per-chunk extraction results to ``(nodes, relationships)``.
+def build_graph(
+    results: DataFrame, pre_repair: bool = False, persist_nodes: bool = True, embedding_col: str | None = None
+):
+    """From per-chunk extraction results to ``(nodes, relationships)``. ``embedding_col``: a
+    column of ``results`` whose vectors become the ``embedding`` property of the chunk nodes.
 
     ``nodes`` are merged and text-repaired (and, by default, written once so the
     joins that follow read a table); relationships are the bag union."""
-    ents, rels = shape.complete(results)
+    ents, rels = shape.complete(results, embedding_col=embedding_col)
     if pre_repair:
         ents = repair.pre_merge(ents).drop("repaired")
     rows, _quarantine = merge.prepare(ents)
@@ -73,13 +76,28 @@ def run_batch(
     extractor=None,
     readers=None,
     write_outputs: bool = True,
+    extractor_factory=None,
+    request: dict | None = None,
+    entity_types=None,
+    relationship_types=None,
+    embed: bool = False,
+    embedding_fn=None,
+    embedding_dims: int = 1536,
+    max_literal_chars: int | None = None,
 ):
     """One batch run over the files of ``input_dir``.
 
     discover → pending (manifest anti-join) → read text → chunk → extract → **write
     store, read back** → complete → merge → repair → statements → script; manifest
-    rows for every file (ok or failed). Returns a dict of DataFrames."""
-    from graphweave.operators import chunking, export, extract
+    rows for every file (ok or failed). Returns a dict of DataFrames.
+
+    ``extractor`` / ``extractor_factory``: see ``extract.extract``; ``request`` (arguments of
+    ``prompts.build_requests``, ``{}`` for its defaults) gives it the text of the request
+    with each chunk, which names the vocabularies below unless it names its own. ``entity_types`` /
+    ``relationship_types`` restrict the graph to these. ``embed`` adds chunk embeddings
+    (``embedding_fn`` or the built-in hashing) of ``embedding_dims`` dimensions and the index
+    statements. ``max_literal_chars`` cuts long strings in statements (none by default)."""
+    from graphweave.operators import chunking, export, extract, prompts, vectors
     from graphweave.sources import files as fsrc
     from graphweave.sources import manifest as msrc
     from graphweave.sources import store as ssrc
@@ -101,8 +119,11 @@ def run_batch(
     else:
         hits, misses = None, ok_docs
     chunks = chunking.chunk(misses.select("path", "document_name", "content_md5", "text"), size, overlap)
-    results = extract.extract(chunks, fn=extractor)
-    ssrc.write_store(results, store_path, run_id)
+    if request is not None:
+        words = {"entity_types": entity_types, "relationship_types": relationship_types}
+        chunks = prompts.build_requests(chunks, **({k: v for k, v in words.items() if v is not None} | request))
+    results = extract.extract(chunks, fn=extractor, factory=extractor_factory)
+    ssrc.write_store(results.drop("request"), store_path, run_id)
     stored = ssrc.read_store(spark, store_path, run_id=run_id).drop("run_id")
     counts = stored.groupBy("path").agg(F.count("*").cast("int").alias("n_chunks"))  # newly extracted ones
     if hits is not None:
@@ -117,12 +138,15 @@ def run_batch(
             .join(hits.select("document_name", "content_md5", "path"), ["document_name", "content_md5"])
         )
         stored = stored.unionByName(reused)
-    nodes, rels = build_graph(stored)
+    shown = extract.restrict_results(stored, entity_types, relationship_types)
+    if embed:  # the store keeps texts; embeddings are made once per run and read back
+        shown = materialize(vectors.embed(shown, "text", embedding_fn, embedding_dims), "embedded")
+    nodes, rels = build_graph(shown, embedding_col="embedding" if embed else None)
     if write_outputs:
         export.write_graph(nodes, rels, f"{work_dir}/graph")
         export.write_script(
-            export.node_statements(nodes), export.edge_statements(rels), export.index_statements(nodes, enabled=False),
-            f"{work_dir}/output",
+            export.node_statements(nodes, max_literal_chars), export.edge_statements(rels, max_literal_chars),
+            export.index_statements(nodes, enabled=embed, dims=embedding_dims), f"{work_dir}/output",
         )
     msrc.append(msrc.rows_for(todo, counts, run_id), man_path)
     from graphweave.operators import stats
