@@ -625,21 +625,21 @@ def latest_only_q(spark, sf):
     "UNION ALL SELECT 'bench_' || item_id, item_id % 7 <> 0, CASE WHEN item_id % 7 <> 0 THEN length(text) END::BIGINT FROM benchmark",
 )
 def text_validity(spark, sf):
-    from graphweave.functions.text import fold_newlines
+    from graphweave.sources.files import read_text
 
     def files(df, prefix, idc):
         # CRLF line ends when id % 5 = 0, a stray 0xFF byte when id % 7 = 0
         t = F.when(F.col(idc) % 5 == 0, F.replace(F.col("text"), F.lit("\n"), F.lit("\r\n"))).otherwise(F.col("text"))
         b = F.encode(t, "UTF-8")
         b = F.when(F.col(idc) % 7 == 0, F.concat(b, F.unhex(F.lit("FF")))).otherwise(b)
-        return df.select(F.concat(F.lit(prefix), F.col(idc)).alias("item"), b.alias("content"))
+        return df.select(F.concat(F.lit(prefix), F.col(idc), F.lit(".txt")).alias("path"), b.alias("content"))
 
     c = files(V.table(spark, sf, "documents"), "doc_", "doc_id").unionByName(
         files(V.table(spark, sf, "benchmark"), "bench_", "item_id")
     )
-    raw = F.col("content").cast("string")
-    valid = F.is_valid_utf8(raw)
-    return c.select("item", valid.alias("valid"), F.when(valid, F.char_length(fold_newlines(raw))).cast("bigint").alias("n_chars"))
+    return read_text(c).select(
+        F.col("document_name").alias("item"), F.col("error").isNull().alias("valid"), F.char_length("text").cast("bigint").alias("n_chars")
+    )
 
 
 _HTML = r"""SELECT page_id, md5(t) AS text_md5, length(t)::BIGINT AS text_chars FROM (
@@ -654,11 +654,15 @@ _HTML = r"""SELECT page_id, md5(t) AS text_md5, length(t)::BIGINT AS text_chars
 
 @register("custom_reader_html", _HTML)
 def custom_reader_html(spark, sf):
-    from graphweave.sources.files import html_text
+    from graphweave.sources.files import html_text, jvm_reader, read_text
 
     p = V.table(spark, sf, "pages")
-    t = html_text("html")
-    return p.select("page_id", F.md5(t).alias("text_md5"), F.char_length(t).cast("bigint").alias("text_chars"))
+    files = p.select(F.concat(F.lit("p"), F.col("page_id"), F.lit(".html")).alias("path"), F.encode("html", "UTF-8").alias("content"))
+    got = read_text(files, {".html": jvm_reader(html_text)})
+    return got.select(
+        F.substring("document_name", 2, 20).cast("bigint").alias("page_id"), F.md5("text").alias("text_md5"),
+        F.char_length("text").cast("bigint").alias("text_chars"),
+    )
 
 
 # ---------------------------------------------------------------------------
@@ -1102,3 +1106,110 @@ def dedup_nodes(spark, sf):
     """A4 (nodes): what a MERGE on label + all properties keeps, counted per label."""
     n, _ = _star(spark, sf)
     return edges.dedupe_nodes(n).groupBy("type").agg(F.count("*").cast("bigint").alias("n"))
+
+
+# ---------------------------------------------------------------------------
+# P21 depth and doubles, S8 rows, S6 dispatch, P15, P19
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "nested_literals",
+    "SELECT event_id, '[[[[[' || user_id || ', ''' || event_type || ''']]], ''{\\\"k\\\":' || (event_id % 7) || '}''], null, []]' AS literal "
+    "FROM events",
+)
+def nested_literals(spark, sf):
+    """Lists five deep, an object inside, rendered by the literal rules."""
+    e = V.table(spark, sf, "events")
+    j = F.concat(
+        F.lit("[[[[["), F.col("user_id"), F.lit(',"'), F.col("event_type"), F.lit('"]]],{"k":'), F.col("event_id") % 7, F.lit("}],null,[]]")
+    )
+    return e.select("event_id", literal(F.parse_json(j)).alias("literal"))
+
+
+@register(
+    "double_literals",
+    "SELECT o_orderkey, (((o_orderkey % 1000 + 0.5)::VARCHAR || 'e' || (o_orderkey % 25 - 8))::DOUBLE)::VARCHAR AS literal FROM orders",
+)
+def double_literals(spark, sf):
+    """Doubles from 1e-8 to 1e19: exponents below 1e-4 and from 1e16 only."""
+    o = V.table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    v = F.concat(k % 1000, F.lit(".5e"), k % 25 - 8).cast("double")
+    return o.select("o_orderkey", literal(v.cast("variant")).alias("literal"))
+
+
+@register(
+    "script_rows_roundtrip",
+    "SELECT md5('MERGE (n:Doc {text: ''' || replace(replace(replace(replace(text, chr(10), ';' || chr(10) || chr(10)), '\\', '\\\\'), "
+    "'''', '\\'''), '\"', '\\\"') || '''})') AS statement_md5, count(*)::BIGINT AS n FROM documents GROUP BY ALL",
+)
+def script_rows_roundtrip(spark, sf):
+    """Statements that hold the script's own separator come back whole in rows mode."""
+    import datetime as dt
+
+    from graphweave.session import scratch_dir
+
+    d = V.table(spark, sf, "documents")
+    text = F.replace(F.col("text"), F.lit("\n"), F.lit(";\n\n"))
+    stmts = d.select(F.concat(F.lit("MERGE (n:Doc {text: "), string_literal(text), F.lit("})")).alias("statement"))
+    root = export.write_script(stmts, stmts.limit(0), stmts.limit(0), scratch_dir(spark, "script"), dt.datetime(2024, 1, 1))
+    got = export.load_statements(spark, root, mode="rows")
+    return got.groupBy(F.md5("statement").alias("statement_md5")).agg(F.count("*").cast("bigint").alias("n"))
+
+
+@register(
+    "reader_dispatch",
+    """SELECT page_id, CASE page_id % 4 WHEN 3 THEN 'unsupported file format: .bin' END AS error,
+       CASE page_id % 4 WHEN 0 THEN length(regexp_replace(html, '\\r\\n?', chr(10), 'g'))
+            WHEN 1 THEN length(regexp_replace(html, '\\r\\n?', chr(10), 'g')) WHEN 2 THEN length(html) END::BIGINT AS n_chars FROM pages""",
+)
+def reader_dispatch(spark, sf):
+    """S6 and the reader slot: text, Markdown, a registered Python reader, an unknown suffix."""
+    from graphweave.sources.files import read_text
+
+    p = V.table(spark, sf, "pages")
+    suffix = F.element_at(F.array(*[F.lit(x) for x in ("TXT", "md", "raw", "bin")]), (F.col("page_id") % 4 + 1).cast("int"))
+    files = p.select(F.concat(F.lit("a/p"), F.col("page_id"), F.lit("."), suffix).alias("path"), F.encode("html", "UTF-8").alias("content"))
+    got = read_text(files, {".raw": lambda data: data.decode("utf-8")})
+    return got.select(
+        F.regexp_extract("path", "p([0-9]+)", 1).cast("bigint").alias("page_id"), "error",
+        F.char_length("text").cast("bigint").alias("n_chars"),
+    )
+
+
+@register(
+    "document_names_stripped",
+    "SELECT 'Document_doc_' || (doc_id % 50) AS entity_key, arg_min('Doc ' || (doc_id % 50), doc_id) AS name, count(*)::BIGINT AS n "
+    "FROM documents GROUP BY doc_id % 50",
+)
+def document_names_stripped(spark, sf):
+    """Document names are stripped (Unicode white space) before they are keyed."""
+    d = V.table(spark, sf, "documents")
+    name = F.concat(F.lit(" \t"), F.lit("Doc "), F.col("doc_id") % 50, F.lit("  \n"))
+    rows = d.select(
+        F.lit("f").alias("path"), F.lit("d").alias("document_name"), F.lit(0).alias("chunk_number"), F.col("doc_id").cast("int").alias("pos"),
+        F.lit("Document").alias("type"), name.alias("name"), F.create_map(F.lit("name"), name.cast("variant")).alias("props"),
+    )
+    good, _ = merge.prepare(rows)
+    counts = good.groupBy("entity_key").agg(F.count("*").cast("bigint").alias("n"))
+    return merge.merge_entities(good, prepared=True).join(counts, "entity_key").select("entity_key", "name", "n")
+
+
+@register(
+    "numbers_from_names",
+    """SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN doc_id WHEN 1 THEN NULL WHEN 2 THEN 7 ELSE -1 END::BIGINT AS chunk_number FROM documents""",
+)
+def numbers_from_names(spark, sf):
+    """A chunk number is read from the chunk's name where the node has none."""
+    d = V.table(spark, sf, "documents")
+    name = F.element_at(
+        F.array(F.concat(F.lit("a_chunk_"), F.col("doc_id")), F.lit("a_chunk_x"), F.lit("b_chunk_7_chunk_9"), F.lit("c_chunk_5")),
+        (F.col("doc_id") % 4 + 1).cast("int"),
+    )
+    own = F.create_map(F.lit("chunk_number"), F.lit(-1).cast("variant"))
+    props = F.when(F.col("doc_id") % 4 == 3, own).otherwise(extract.empty_props())
+    got = repair.chunk_number(d.select("doc_id", F.lit("Chunk").alias("type"), name.alias("name"), props.alias("props")))
+    return got.select(
+        "doc_id", F.try_variant_get(F.try_element_at("props", F.lit("chunk_number")), "$", "bigint").alias("chunk_number")
+    )
