@@ -87,7 +87,7 @@ def test_cache_split_and_latest(spark):
 
 
 def test_stream_ingest_resumes(spark, tmpdir_path):
-    from graphweave.streaming.ingest import read_output, stream_ingest
+    from graphweave.streaming.ingest import merged_graph, read_output, stream_ingest
 
     src = os.path.join(tmpdir_path, "in")
     _write(src, "one.txt", b"Alpha Beta Gamma")
@@ -97,6 +97,10 @@ def test_stream_ingest_resumes(spark, tmpdir_path):
     _write(src, "two.txt", b"Delta Epsilon")
     stream_ingest(spark, src, out, ck)
     assert sorted(r.document_name for r in read_output(spark, out, "files").collect()) == ["one", "two"]
+    rows = sorted((r.document_name, r.run_id, r.status, r.n_chunks) for r in read_output(spark, out, "manifest").collect())
+    assert rows == [("one", "batch-0", "ok", 1), ("two", "batch-1", "ok", 1)]
+    nodes, _ = merged_graph(spark, out)
+    assert {"Alpha", "Delta", "one", "two"} <= {r.name for r in nodes.collect()}
 
 
 def test_run_batch_increments(spark, tmpdir_path):
