@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from .tokens import token_pieces
 from .written import written
 
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 4096
 
 
 class _Gaps:

@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .textblocks import (
-    ANSWER,
     ANSWER_ARROW,
     ASK,
     ASK_ARROW,
