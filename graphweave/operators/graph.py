@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphweave.operators.edges import node_names, strict
+from graphweave.operators.edges import strict
 from graphweave.session import scratch_dir
 
 
