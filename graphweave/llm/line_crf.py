@@ -34,7 +34,7 @@ from .textblocks import Words, mix, utf8
 SAMPLE_DOCUMENTS = 4000
 CONTENT_SHARE = 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 10, 20, 5
-_STRETCH = 2 << 20
+_STRETCH = 1 << 20
 N_FEATURES = 23
 _A = np.uint64(0x9E3779B97F4A7C15)
 

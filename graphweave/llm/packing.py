@@ -24,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .tokens import token_pieces
 from .written import written
@@ -136,24 +135,22 @@ def pack_pieces(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     ranked = dealt.withColumn("_within", within).join(base, ["length", "_bucket"])
     ranked = ranked.select(*pieces.columns, (F.col("_base") + F.col("_within") - 1).alias("_rank"))
 
-    def run(batches):
-        for batch in batches:
-            length = batch.column("length").to_numpy(zero_copy_only=False)
-            rank = batch.column("_rank").to_numpy(zero_copy_only=False)
-            seq, off = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
-            for x in np.unique(length):
-                i = np.flatnonzero(length == x)
-                first_rank, per_seq, first_seq, offset = table[int(x)]
-                k = np.searchsorted(first_rank, rank[i], side="right") - 1
-                r = rank[i] - first_rank[k]
-                seq[i] = first_seq[k] + r // per_seq[k]
-                off[i] = offset[k] + r % per_seq[k] * x
-            cols = [c for name, c in zip(batch.schema.names, batch.columns) if name != "_rank"]
-            names = [name for name in batch.schema.names if name != "_rank"]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(seq), pa.array(off)], names=[*names, "sequence_id", "offset"])
-
-    schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return ranked.mapInArrow(run, schema)
+    def run(lengths: pa.Array, ranks: pa.Array) -> pa.Array:
+        length, rank = lengths.to_numpy(zero_copy_only=False), ranks.to_numpy(zero_copy_only=False)
+        place = np.zeros(len(length), np.int64)
+        for x in np.unique(length):
+            i = np.flatnonzero(length == x)
+            first_rank, per_seq, first_seq, offset = table[int(x)]
+            k = np.searchsorted(first_rank, rank[i], side="right") - 1
+            r = rank[i] - first_rank[k]
+            place[i] = (first_seq[k] + r // per_seq[k]) * capacity + offset[k] + r % per_seq[k] * x
+        return pa.array(place)
+
+    # only lengths and ranks go to Python; token ids and other columns stay where they are
+    place = F.arrow_udf(run, "long")(F.col("length"), F.col("_rank"))
+    return ranked.withColumn("_place", place).select(
+        *pieces.columns, F.floor(F.col("_place") / capacity).alias("sequence_id"), (F.col("_place") % capacity).alias("offset")
+    )
 
 
 def pack_documents(

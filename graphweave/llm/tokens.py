@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from .textblocks import Words, concat, utf8
 
-_CACHE_RUNS = 400_000  # distinct runs a worker remembers; more are encoded again
-_BATCH_BYTES = 4 << 20
+_CACHE_RUNS = 300_000  # distinct runs a worker remembers; more are encoded again
+_BATCH_BYTES = 3 << 20
 _KIND = np.zeros(256, dtype=np.uint8)  # 1: ASCII letter, 2: printable ASCII sign but the apostrophe
 _KIND[[*range(65, 91), *range(97, 123)]] = 1
 _KIND[[b for b in range(33, 127) if not chr(b).isalnum() and b != 39]] = 2

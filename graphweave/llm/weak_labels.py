@@ -220,25 +220,23 @@ def train(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS, doc_id: str = "doc_id
     return np.array(got[0]["weights"]), got[0]["bias"], dict(zip(LABELLERS, accuracy.tolist()))
 
 
-def score(docs: DataFrame, weights: np.ndarray, bias: float, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns of ``docs`` in a struct ``row``, with the ``score`` of each text."""
-    d = docs.select(F.col(text).cast("string").alias("text"), F.struct(*docs.columns).alias("row"))
+def score(docs: DataFrame, weights: np.ndarray, bias: float, text: str = "text") -> DataFrame:
+    """All columns of ``docs`` in a struct ``row``, with the ``score`` of each text. Only texts go
+    to Python and only scores come back."""
 
-    def run(batches):
-        for batch in batches:
-            for lo, hi in stretches(batch.column(0)):
-                p = Batch(batch.column(0).slice(lo, hi - lo)).scores(weights, bias)
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), pa.array(p)], names=["row", "score"])
+    def run(column: pa.Array) -> pa.Array:
+        parts = [Batch(column.slice(lo, hi - lo)).scores(weights, bias) for lo, hi in stretches(column)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
-    schema = d.select("row").schema.add("score", "double")
-    return d.mapInArrow(run, schema)
+    scored = F.arrow_udf(run, "double")(F.col(text).cast("string"))
+    return docs.select(F.struct(*docs.columns).alias("row"), scored.alias("score"))
 
 
 def classify(docs: DataFrame, threshold: float = 0.5, sample: int = SAMPLE_DOCUMENTS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Train on ``docs`` and judge them: ``row`` (all columns), ``score`` and ``kept``."""
     model = train(docs, sample, doc_id, text)
     weights, bias, _ = model or (np.zeros(1 << HASH_BITS), 0.0, {})
-    return score(docs, weights, bias, doc_id, text).withColumn("kept", F.col("score") >= threshold)
+    return score(docs, weights, bias, text).withColumn("kept", F.col("score") >= threshold)
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
