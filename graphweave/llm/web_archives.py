@@ -173,7 +173,7 @@ class _Archive:
     def __init__(self, folder: str):
         self.name = new_file(folder, ".wacz")
         self.sink = open_output(self.name)
-        self.buffer = io.BufferedWriter(_Raw(self.sink), 1 << 20)
+        self.buffer = io.BufferedWriter(_Raw(self.sink), 1 << 18)
         self.zip = zipfile.ZipFile(self.buffer, "w", zipfile.ZIP_STORED)
         self.data = self.zip.open(zipfile.ZipInfo("archive/data.warc.gz"), "w", force_zip64=True)
         self.at, self.lines = 0, []
@@ -193,9 +193,10 @@ class _Archive:
         package = {"profile": "data-package", "resources": [{"name": "data.warc.gz", "path": "archive/data.warc.gz", "records": n}]}
         self.zip.writestr(zipfile.ZipInfo("datapackage.json"), json.dumps(package))
         self.zip.close()
-        self.buffer.flush()
-        self.sink.close()
-        return self.name, n, self.at
+        self.buffer.close()  # closes the sink; frees the buffer now, not when cycles are collected
+        name, size = self.name, self.at
+        self.__dict__.clear()
+        return name, n, size
 
 
 class _Raw(io.RawIOBase):
@@ -215,6 +216,11 @@ class _Raw(io.RawIOBase):
     def tell(self):
         return self.n
 
+    def close(self):
+        if not self.closed:
+            super().close()
+            self.sink.close()
+
 
 def _rows(batch: pa.RecordBatch, step: int = 64):
     """Rows of a batch as Python values, a few at a time."""
