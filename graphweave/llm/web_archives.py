@@ -234,7 +234,7 @@ def write_archives(
     """Write a record per row of ``pages`` into archives below ``folder``. Lazy: one row per
     archive, ``archive, n_records, n_bytes``; write that table before use.
 
-    Equal payloads are found by one aggregate over (digest, length); the pages then meet
+    Equal payloads are found by one aggregate over digests; the pages then meet
     the smallest id of their payload in a join that Spark splits where a payload is hot,
     and are written where they meet, so the payloads cross the network once."""
     p = pages.select(
@@ -243,9 +243,10 @@ def write_archives(
     ).withColumn("digest", F.sha1("payload"))
     size = F.length("payload")
     firsts = p.filter(size >= min_revisit_bytes).groupBy("digest").agg(
-        F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")
+        F.min("page_id").alias("first_id")
     )
-    p = p.join(firsts, "digest", "left").select("page_id", "url", "payload", "first_id")
+    # hashed on the small side: the payloads are streamed, not sorted
+    p = p.join(firsts.hint("shuffle_hash"), "digest", "left").select("page_id", "url", "payload", "first_id")
 
     def run(batches):
         archive, size = None, 0
@@ -394,7 +395,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     )
     responses = responses.select(F.col("page_id").alias("refers_to"), F.col("payload_digest"), "theirs")
     # the archives' names are a small table, which says nothing of their records: no broadcast
-    j = r.join(responses.hint("merge"), ["refers_to", "payload_digest"], "left")
+    j = r.join(responses.hint("shuffle_hash"), ["refers_to", "payload_digest"], "left")
     return j.select("page_id", F.coalesce("own", "theirs").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
 
 
