@@ -19,7 +19,9 @@ score summed in one order, so equal vectors have equal scores.
 Defined results: null vectors, those without a component, all zero, or with a null or
 non-finite component take no part; vectors of another length than the most frequent one
 take no part; null ids take no part; rows that repeat an id are one candidate each, and a
-query does not meet rows of its own id; no vectors give no rows.
+query does not meet rows of its own id; query rows equal in id and vector are one query,
+those of one id with different vectors are a query each, with ranks of its own; no vectors
+give no rows.
 """
 
 from __future__ import annotations
@@ -161,7 +163,7 @@ def train_router(x: np.ndarray, n_parts: int, recall: float = RECALL, k: int = 2
 # ---------------------------------------------------------------- tables
 
 _FOUND = pa.schema([
-    ("query_id", pa.int64()), ("best", pa.list_(pa.struct([pa.field("minus", pa.float64()), pa.field("vec_id", pa.int64())]))),
+    ("query_id", pa.int64()), ("query_key", pa.int64()), ("best", pa.list_(pa.struct([pa.field("minus", pa.float64()), pa.field("vec_id", pa.int64())]))),
 ])
 
 
@@ -241,10 +243,13 @@ def nearest(
                     cell += range(int(first[p]), int(first[p + 1]))
             take = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cell, pa.int32()), batch.column("vec_id").take(take), batch.column("vec").take(take)], names=["cell", "query_id", "query"]
+                [pa.array(cell, pa.int32()), *[batch.column(c).take(take) for c in ("vec_id", "key", "vec")]],
+                names=["cell", "query_id", "query_key", "query"],
             )
 
-    visits = v.filter(is_query(F.col("vec_id"))).mapInArrow(visit, "cell int, query_id long, query array<double>")
+    # a query is one (id, vector); the key tells the vectors of one id apart
+    queries = v.filter(is_query(F.col("vec_id"))).distinct().select("vec_id", F.xxhash64("vec").alias("key"), "vec")
+    visits = queries.mapInArrow(visit, "cell int, query_id long, query_key long, query array<double>")
 
     def rank(queries: pa.Table, rows: pa.Table) -> pa.Table:
         if not queries.num_rows or not rows.num_rows:
@@ -255,11 +260,12 @@ def nearest(
         cut = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1], [True]])) if len(q) else np.zeros(1, np.int64)
         pairs = pa.StructArray.from_arrays([pa.array(-s), pa.array(ids[r])], fields=list(_FOUND.field("best").type.value_type))
         best = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pairs, type=_FOUND.field("best").type)
-        return pa.table([pa.array(own[q[cut[:-1]]]), best], schema=_FOUND)
+        keys = queries.column("query_key").to_numpy()
+        return pa.table([pa.array(own[q[cut[:-1]]]), pa.array(keys[q[cut[:-1]]]), best], schema=_FOUND)
 
     found = visits.repartition(n_cells, "cell").groupBy("cell").cogroup(stored.repartition(n_cells, "cell").groupBy("cell"))
-    found = found.applyInArrow(rank, "query_id long, best array<struct<minus: double, vec_id: long>>")
+    found = found.applyInArrow(rank, "query_id long, query_key long, best array<struct<minus: double, vec_id: long>>")
     # a query has at most k candidates for each cell it visits
     best = F.slice(F.sort_array(F.flatten(F.collect_list("best"))), 1, k)
-    ranked = found.groupBy("query_id").agg(best.alias("best")).select("query_id", F.posexplode("best").alias("place", "b"))
+    ranked = found.groupBy("query_id", "query_key").agg(best.alias("best")).select("query_id", F.posexplode("best").alias("place", "b"))
     return ranked.select("query_id", (F.col("place") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.minus")).alias("score"))

@@ -65,6 +65,22 @@ def test_hot_part_in_cells(spark, monkeypatch):
     assert got(L.nearest(table(spark, x), lambda i: i % 20 == 0)) == brute(x, list(range(120)))
 
 
+def test_repeated_query_ids(spark, monkeypatch):
+    monkeypatch.setattr(L, "CELL_ROWS", 16)
+    rnd = np.random.default_rng(4)
+    x, other = rnd.normal(size=(90, 4)), rnd.normal(size=4)
+    ids = list(range(90))
+    x2, ids2 = np.concatenate([x, [x[20]] * 3, [other] * 2]), ids + [20] * 3 + [40] * 2
+    rows = L.nearest(table(spark, x2, ids2), lambda i: i % 20 == 0).collect()
+
+    def best(i, q):  # every candidate row, those of the query's own id excepted
+        return sorted((-(y * q).sum(), j) for y, j in zip(x2, ids2) if j != i)[:20]
+
+    want = [(i, place + 1, j) for i, q in [*((i, x[i]) for i in range(0, 90, 20)), (40, other)]
+            for place, (_, j) in enumerate(best(i, q))]
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in rows) == sorted(want)
+
+
 def test_fewer_candidates_than_wanted(spark):
     x = np.eye(4)
     assert got(L.nearest(table(spark, x), lambda i: i % 20 == 0)) == {0: [(1, 0.0), (2, 0.0), (3, 0.0)]}
