@@ -7,7 +7,9 @@ last separator and the number of separators before a block come from a prefix sc
 blocks' summaries. No file is read twice and no task sees more than a block.
 
 Defined results: an empty file has no documents; two separators in a row are a document of
-no tokens; tokens behind the last separator are a document that is not ``complete``.
+no tokens; tokens behind the last separator are a document that is not ``complete``. A text
+that itself encodes to the separator (``<|endoftext|>`` quoted in it) is written with a
+``stand_in`` for it, an id the tokenizer never gives, so it is one token of that document.
 """
 
 from __future__ import annotations
@@ -30,11 +32,12 @@ _BLOCK = pa.schema([("file", pa.string()), ("block", pa.int64()), ("separators",
 
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer: str, separator: int, dtype: str = "<u2",
-    file_tokens: int = 64 << 20, doc_id: str = "doc_id", text: str = "text",
+    file_tokens: int = 64 << 20, doc_id: str = "doc_id", text: str = "text", stand_in: int | None = None,
 ) -> DataFrame:
     """Write the ids of ``docs`` as flat files of at most about ``file_tokens`` tokens below
     ``folder``. Lazy: one row per file, ``file, n_tokens`` and the ids of its documents in order;
-    write that table before use. A task that runs again writes new files and rows."""
+    write that table before use. A task that runs again writes new files and rows. Separators
+    inside texts are written as ``stand_in``; without one such a text is refused."""
 
     def run(batches):
         enc = encoder(tokenizer)
@@ -52,8 +55,11 @@ def write_token_files(
                 if sink is None:
                     name = new_file(folder, ".bin")
                     sink, tokens, names = open_output(name), 0, []
-                if (flat == separator).any():
-                    raise ValueError(f"a text encodes to the separator id {separator}")
+                inside = flat == separator
+                if inside.any():
+                    if stand_in is None:
+                        raise ValueError(f"a text encodes to the separator id {separator}")
+                    flat = np.where(inside, np.int32(stand_in), flat)
                 out = np.insert(flat, offsets[1:], separator)
                 sink.write(out.astype(dtype).tobytes())
                 tokens += len(out)
@@ -129,11 +135,20 @@ def token_counts(
     return docs.unionByName(rest)
 
 
+def free_id(tokenizer: str, separator: int) -> int:
+    """The smallest id above the separator and all that the tokenizer gives."""
+    return max(separator, *encoder(tokenizer).tok.get_vocab(with_added_tokens=True).values()) + 1
+
+
 def document_token_counts(docs: DataFrame, tokenizer: str, separator: int, dtype: str = "<u2") -> DataFrame:
     """Write ``docs`` as flat token files, scan them, and give each count its document:
-    ``doc_id, n_tokens``."""
-    folder = scratch_dir(docs.sparkSession, "token-files")
-    files = written(write_token_files(docs, folder, tokenizer, separator, dtype), "token-file-names")
+    ``doc_id, n_tokens``. Ids that do not fit ``dtype`` are written in 32 bits."""
+    folder, stand_in = scratch_dir(docs.sparkSession, "token-files"), free_id(tokenizer, separator)
+    if stand_in > np.iinfo(dtype).max:
+        dtype = "<u4"
+    files = written(
+        write_token_files(docs, folder, tokenizer, separator, dtype, stand_in=stand_in), "token-file-names"
+    )
     counts = token_counts(files.select("file", "n_tokens"), separator, dtype)
     owner = files.select("file", F.posexplode("doc_ids").alias("ordinal", "doc_id"))
     owner = owner.withColumn("ordinal", F.col("ordinal").cast("long"))

@@ -153,3 +153,11 @@ def test_document_counts(make_docs):
     got = token_files.document_token_counts(make_docs([(1, "a b"), (2, None), (None, "c")]), WORDS, 49407).collect()
     assert sorted(map(tuple, got), key=repr) == sorted([(1, 2), (2, 0), (None, 1)], key=repr)
     assert token_files.document_token_counts(make_docs([]), WORDS, 49407).collect() == []
+
+
+@pytest.mark.parametrize("dtype", ["<u2", "<i2"])
+def test_separators_inside_texts_are_counted(make_docs, dtype):
+    tok = Tokenizer.from_file(WORDS)
+    rows = list(enumerate(texts(5, 20) + ["<|endoftext|>", "a <|endoftext|>", "<|endoftext|><|endoftext|> b<|endoftext|>c"]))
+    got = token_files.document_token_counts(make_docs(rows), WORDS, 49407, dtype).collect()
+    assert sorted(map(tuple, got)) == [(i, len(tok.encode(t or "", add_special_tokens=False).ids)) for i, t in rows]
