@@ -38,6 +38,8 @@ columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -174,15 +176,15 @@ def _name(bucket, short: np.ndarray) -> np.ndarray:
     return (np.asarray(bucket).astype(np.uint64) << np.uint64(32)) | short.astype(np.uint64)
 
 
-_SET = "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>, text string"
+_SET = "doc_id long, n_shingles long, set_a long, set_b long, text_md5 binary, keys array<long>, text string"
 _SET_ARROW = pa.schema([
     ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()),
-    ("keys", pa.list_(pa.int64())), ("text", pa.string()),
+    ("text_md5", pa.binary()), ("keys", pa.list_(pa.int64())), ("text", pa.string()),
 ])
 
 
 def _choose_keys(threshold: int, n_buckets: int):
-    """Per document the digest of its set; if it may link also the keys under which it can
+    """Per document the digests of its set and text; if it may link also the keys under which it can
     meet others and its text, which is smaller than its shingles."""
 
     def run(docs: pa.Table, msgs: pa.Table) -> pa.Table:
@@ -216,8 +218,9 @@ def _choose_keys(threshold: int, n_buckets: int):
                 some = cut[i + 1] > cut[i]
                 x = mix(s).sum(dtype=np.uint64), mix(s ^ _A).sum(dtype=np.uint64)
                 x = [int(np.array(y, np.uint64).view(np.int64)) for y in x]
-                text = data[b.offsets[i] : b.offsets[i + 1]].decode("utf-8") if some else None
-                out.append((int(b.ids[i]), len(s), *x, keys[cut[i] : cut[i + 1]] if some else None, text))
+                raw = data[b.offsets[i] : b.offsets[i + 1]]
+                out.append((int(b.ids[i]), len(s), *x, hashlib.md5(raw).digest(),
+                            keys[cut[i] : cut[i + 1]] if some else None, raw.decode("utf-8") if some else None))
         return rows(out, _SET_ARROW)
 
     return run
@@ -351,7 +354,9 @@ def join_sets(sets: list[np.ndarray], threshold: int) -> list[tuple[int, int]]:
     return links
 
 
-_LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+# a repeated id may stand for several sets, so links name both ends by id and set
+_LINK = pa.schema([(f"{end}_{c}", pa.int64()) for end in "ab" for c in ("rep", "set_a", "set_b")])
+_LINK_COLUMNS = ", ".join(f"{f.name} long" for f in _LINK)
 
 
 def _join_groups(threshold: int):
@@ -359,13 +364,14 @@ def _join_groups(threshold: int):
         out = []
         t = table.sort_by([("group_a", "ascending"), ("group_b", "ascending"), ("group_c", "ascending"), ("rep", "ascending")])
         key = np.stack([t.column(c).to_numpy() for c in ("group_a", "group_b", "group_c")], axis=1)
-        rep, text = t.column("rep").to_pylist(), t.column("text").combine_chunks()
+        name = list(zip(*(t.column(c).to_pylist() for c in ("rep", "set_a", "set_b"))))
+        text = t.column("text").combine_chunks()
         val, off = text_sets(pa.concat_arrays(text.chunks) if isinstance(text, pa.ChunkedArray) else text)
         cut = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1), [True]]))
         for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
             if b - a > 1:
                 sets = [val[off[i] : off[i + 1]] for i in range(a, b)]
-                out += [(rep[a + i], rep[a + j]) for i, j in join_sets(sets, threshold)]
+                out += [(*name[a + i], *name[a + j]) for i, j in join_sets(sets, threshold)]
         return rows(out, _LINK)
 
     return run
@@ -400,11 +406,10 @@ def _task_groups(reps: DataFrame, threshold: int, limit: int) -> DataFrame:
     return light.unionByName(heavy)
 
 
-def near_duplicates(
-    docs: DataFrame, threshold: int = 80, doc_id: str = "doc_id", text: str = "text", task_shingles: int = TASK_SHINGLES
-) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id`` (the smallest id that links
-    reach, its own included)."""
+def _judged(docs: DataFrame, threshold: int, doc_id: str, text: str, task_shingles: int = TASK_SHINGLES) -> DataFrame:
+    """One row per document: ``doc_id`` (null as ``NULL_ID``), ``n_shingles, set_a, set_b,
+    text_md5`` and ``node, component``: its own set and the smallest one that links reach,
+    each as ``(rep, set_a, set_b)``."""
     n_blocks = block_count(docs, text)
     n_buckets = max(1, n_blocks // 3)
     blocks = to_blocks(docs, n_blocks, doc_id, text)
@@ -417,14 +422,13 @@ def near_duplicates(
     may = sets.filter(F.col("text").isNotNull())
     same = ["n_shingles", "set_a", "set_b"]
     reps = written(may.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.min("keys").alias("keys")), "distinct-sets")
-    keyed = reps.select("rep", F.explode("keys").alias("key"))
-    # repeated ids may stand for several sets: then they share a node, which only joins candidates
-    low = keyed.groupBy("key").agg(F.min("rep").alias("low"))
-    stars = keyed.join(low, "key").filter(F.col("rep") != F.col("low")).select("rep", "low").distinct()
-    candidates = components(stars, "rep", "low")
-    members = reps.join(candidates, reps.rep == candidates.node).select(
-        "rep", "set_a", "set_b", F.col("n_shingles").alias("n"), "component"
-    )
+    # a set has one node, a hash of its digests: a clash only joins candidates
+    reps_at = reps.withColumn("node", F.xxhash64(*same))
+    keyed = reps_at.select("node", F.explode("keys").alias("key"))
+    low = keyed.groupBy("key").agg(F.min("node").alias("low"))
+    stars = keyed.join(low, "key").filter(F.col("node") != F.col("low")).select("node", "low").distinct()
+    candidates = components(stars, "node", "low")
+    members = reps_at.join(candidates, "node").select("rep", "set_a", "set_b", F.col("n_shingles").alias("n"), "component")
     groups = written(_task_groups(members, threshold, task_shingles), "groups")
     total = groups.join(reps.select("rep", "set_a", "set_b", "n_shingles"), ["rep", "set_a", "set_b"]).agg(F.sum("n_shingles")).first()[0]
     n_tasks = max(1, -(-int(total or 0) // task_shingles))
@@ -432,26 +436,39 @@ def near_duplicates(
     dealt = groups.join(texts, ["rep", "set_a", "set_b"]).withColumn(
         "task", F.pmod(F.xxhash64("group_a", "group_b", "group_c"), F.lit(n_tasks)).cast("int")
     )
-    dealt = dealt.select("task", "group_a", "group_b", "group_c", "rep", "text").repartition(n_tasks, "task")
-    links = dealt.groupBy("task").applyInArrow(_join_groups(threshold), "a long, b long")
-    linked = components(written(links, "links"), "a", "b")
+    dealt = dealt.select("task", "group_a", "group_b", "group_c", "rep", "set_a", "set_b", "text").repartition(n_tasks, "task")
+    links = written(dealt.groupBy("task").applyInArrow(_join_groups(threshold), _LINK_COLUMNS), "links")
+    links = links.select(*[F.struct(*[F.col(f"{end}_{c}").alias(c) for c in ("rep", "set_a", "set_b")]).alias(end) for end in "ab"])
+    linked = components(links, "a", "b").withColumnRenamed("node", "at")
 
-    owner = reps.select(*same, "rep").join(linked, F.col("rep") == F.col("node"), "left").select(
-        *same, F.coalesce("component", "rep").alias("component")
+    owner = reps.select(*same, F.struct("rep", "set_a", "set_b").alias("at")).join(linked, "at", "left").select(
+        *same, F.coalesce("component", "at").alias("component")
     )
-    res = sets.select("doc_id", *same).join(owner, same, "left")
-    own = F.coalesce("component", "doc_id")
+    res = sets.select("doc_id", *same, "text_md5", F.struct(F.col("doc_id").alias("rep"), "set_a", "set_b").alias("node"))
+    return res.join(owner, same, "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def near_duplicates(
+    docs: DataFrame, threshold: int = 80, doc_id: str = "doc_id", text: str = "text", task_shingles: int = TASK_SHINGLES
+) -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id`` (the smallest id that links
+    reach, its own included)."""
     null = F.lit(int(NULL_ID))
-    return res.select(
-        F.nullif(F.col("doc_id"), null).alias("doc_id"), "n_shingles", F.nullif(own, null).alias("component_id")
+    return _judged(docs, threshold, doc_id, text, task_shingles).select(
+        F.nullif(F.col("doc_id"), null).alias("doc_id"), "n_shingles", F.nullif(F.col("component.rep"), null).alias("component_id")
     )
 
 
 def keep_one_per_group(docs: DataFrame, threshold: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the documents whose component has a smaller id; rows that repeat the
-    id that stays are kept once, rows without id all stay."""
-    found = near_duplicates(docs, threshold, doc_id, text).filter("doc_id = component_id")
-    stay = found.select(F.col("doc_id").alias("_stay")).distinct()
+    """``docs`` with one document of each component: of its smallest id, where that stands on
+    several texts the one with the smallest digests. Rows are judged by id and text; rows
+    equal in both are kept once, rows without id all stay."""
+    found = _judged(docs, threshold, doc_id, text).filter((F.col("doc_id") != int(NULL_ID)) & (F.col("node") == F.col("component")))
+    wordless = F.when(F.col("n_shingles") == 0, F.col("text_md5"))  # these link with nothing
+    stay = found.groupBy("doc_id", "set_a", "set_b", wordless.alias("wordless")).agg(F.min("text_md5").alias("_stay_md5"))
+    stay = stay.select(F.col("doc_id").alias("_stay"), "_stay_md5")
     named = docs.filter(F.col(doc_id).isNotNull())
-    named = named.join(stay, named[doc_id] == stay["_stay"], "left_semi").dropDuplicates([doc_id])
+    named = named.withColumn("_md5", F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))))
+    same = (named[doc_id] == stay["_stay"]) & (named["_md5"] == stay["_stay_md5"])
+    named = named.join(stay, same, "left_semi").dropDuplicates([doc_id, "_md5"]).drop("_md5")
     return named.unionByName(docs.filter(F.col(doc_id).isNull()))

@@ -125,6 +125,19 @@ def test_keep_one_per_group(make_docs):
     assert sorted(r.doc_id for r in res.collect()) == [2, 6, 9]
 
 
+def test_one_id_on_several_texts(make_docs):
+    t, u, other = (" ".join(f"{c}{i}" for i in range(40)) for c in "xuy")
+    rows = [(3, t), (4, t + " z"), (4, other), (8, "a"), (9, "a"), (9, "b"), (9, "B"), (9, "b"), (11, u), (11, u + " z"),
+            (13, " "), (13, "\n"), (14, None), (14, "")]
+    assert got(J.near_duplicates(make_docs(rows))) == sorted(
+        [(3, 36, 3), (4, 37, 3), (4, 36, 4), (8, 1, 8), (9, 1, 8), (9, 1, 9), (9, 1, 9), (9, 1, 9), (11, 36, 11), (11, 37, 11)]
+        + [(13, 0, 13)] * 2 + [(14, 0, 14)] * 2
+    )
+    kept = [(r.doc_id, r.text or "") for r in J.keep_one_per_group(make_docs(rows)).collect()]
+    assert sorted(k for k in kept if k[0] != 11) == [(3, t), (4, other), (8, "a"), (9, "b"), (13, "\n"), (13, " "), (14, "")]
+    assert sum(k[0] == 11 for k in kept) == 1
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(139, 200), (5, 5), (None, 7)]
     got_ = {r.node: r.component for r in components(spark.createDataFrame(edges, "x long, y long"), "x", "y").collect()}
