@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import entity_rows, rel_rows
+from rows import entity_rows, rel_rows
 from graphweave.functions.literals import literal, string_literal
 from graphweave.operators import edges, export, graph, merge
 

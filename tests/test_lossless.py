@@ -9,7 +9,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rel_rows
+from rows import rel_rows
 from graphweave.functions.literals import literal
 from graphweave.operators import chunking, edges, export, extract, graph, vectors
 from graphweave.plans.build import rebuild_from_store

@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import entity_rows
+from rows import entity_rows
 from graphweave.operators import merge
 
 

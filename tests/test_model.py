@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import entity_rows
+from rows import entity_rows
 from graphweave.operators import merge
 
 FALSE_JSON = {"null", '""', "0", "false", "[]", "{}"}
