@@ -110,11 +110,13 @@ class Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a block: byte ranges, owner document, 64-bit hash."""
 
     def __init__(
-        self, buf: np.ndarray, offsets: np.ndarray, lower: bool = False, hashes: bool = True, cuts: np.ndarray | None = None
+        self, buf: np.ndarray, offsets: np.ndarray, lower: bool = False, hashes: bool = True, cuts: np.ndarray | None = None,
+        space: np.ndarray = _SPACE,
     ):
-        """``cuts`` marks bytes at which a word is to end and the next to start."""
+        """``cuts`` marks bytes at which a word is to end and the next to start; ``space`` the
+        byte values between words."""
         n = len(buf)
-        inside = ~_SPACE[buf]
+        inside = ~space[buf]
         first = np.zeros(n + 1, dtype=bool)
         first[offsets] = True
         if cuts is not None:
