@@ -308,3 +308,22 @@ def cut_documents(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", tex
     if "n_chars" in docs.columns:
         out["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("row.n_chars"))
     return res.select(*[out.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
+
+
+REPEATED_WINDOWS_SQL = r"""
+with worded as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as ws from documents),
+windows as (
+    select doc_id, unnest(range(1, len(ws) - 18)) as pos,
+        unnest(list_transform(range(1, len(ws) - 18), lambda i: md5(array_to_string(ws[i:i + 19], ' ')))) as name
+    from worded
+),
+repeated as (select doc_id, pos from windows qualify row_number() over (partition by name order by doc_id, pos) > 1),
+covered as (select distinct doc_id, unnest(range(pos, pos + 20)) as pos from repeated),
+words as (select doc_id, unnest(range(1, len(ws) + 1)) as pos, unnest(ws) as word from worded),
+left_over as (
+    select doc_id, count(*) as n, string_agg(word, ' ' order by pos) as kept from words anti join covered using (doc_id, pos)
+    group by doc_id
+)
+select doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from worded left join left_over using (doc_id)
+"""
