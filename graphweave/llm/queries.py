@@ -128,12 +128,12 @@ shingles as materialized (
 ),
 sizes as (select doc_id, count(*) as n from shingles group by doc_id),
 pairs as (
-    select a.doc_id as x, b.doc_id as y, count(*) as both from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id
+    select a.doc_id as x, b.doc_id as y, count(*) as c from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id
     group by all
 ),
 links as materialized (
     select x, y from pairs join sizes a on a.doc_id = x join sizes b on b.doc_id = y
-    where 100 * both >= 80 * (a.n + b.n - both)
+    where 100 * c >= 80 * (a.n + b.n - c)
 ),
 edges as (select x, y from links union all select y, x from links),
 reach as (select x, y from edges union select reach.x, edges.y from reach join edges on reach.y = edges.x),
