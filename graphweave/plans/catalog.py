@@ -682,7 +682,7 @@ def vector_top_k(spark, sf):
     from graphweave.operators import vectors
 
     e = V.table(spark, sf, "embeddings")
-    return vectors.top_k(e, e, k=5, exclude_self=True, query_block_rows=256, base_block_rows=256)
+    return vectors.top_k(e, e, k=5, exclude_self=True)
 
 
 @register(
@@ -694,7 +694,7 @@ WHERE a.vec_id < b.vec_id AND list_cosine_similarity(a.embedding::DOUBLE[], b.em
 def similar_pairs(spark, sf):
     from graphweave.operators import vectors
 
-    return vectors.similar_pairs(V.table(spark, sf, "embeddings"), threshold=0.35, block_rows=256)
+    return vectors.similar_pairs(V.table(spark, sf, "embeddings"), threshold=0.35)
 
 
 @register(
