@@ -8,23 +8,33 @@ Within a key, rows are taken in ``ord`` order (default ``path, chunk_number, pos
 * properties are ordered by first appearance; a Chunk row that brings a ``text``
   key for an existing node puts it ahead of that row's other new keys.
 
-Execution: the property maps are exploded to ``(key, prop, value)`` rows and folded
-with ``min_by``/``max_by`` (partial aggregation before the shuffle, so a hub key
-with a third of all rows is reduced map-side), then one small re-aggregation per
-key rebuilds the map from at most "number of distinct properties" entries. No
-global order, window or driver state is needed.
+Execution, in two lanes. Small properties are exploded to ``(key, prop, value)`` rows and
+folded with ``min_by``/``max_by`` (partial aggregation before the shuffle, so a hub key
+with a third of all rows is reduced map-side), then gathered per key: at most "number of distinct
+properties" entries. Large ones (``LARGE``: chunk text, embedding) are folded per key
+beside them without being exploded, so each of their values crosses one shuffle; both lanes end
+partitioned by key and are joined in place. No global order, window or driver state is needed.
+
+The fold is *mergeable*: ``fold`` turns rows into state rows ``(entity_key, prop, first, t_ord, t_value,
+l_ord, l_value)`` with the first appearance, the first truthy and the last falsy value; ``combine``
+of states is the state of their rows together, in any order and with any of them repeated, and
+``render`` gives the nodes. ``MergeState`` keeps such states as a table, one part per batch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphweave.functions.keys import entity_key
 from graphweave.functions.text import ustrip
 from graphweave.functions.truth import truthy, variant_kind
 from graphweave.operators.shape import set_prop
+from graphweave.sources.store import read_if_exists
 
+LARGE = ("text", "embedding")  # properties that are folded per key, not exploded
 DEFAULT_ORD = ("path", "chunk_number", "pos")
 
 
@@ -62,34 +72,56 @@ def prepare(entities: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, quarantine
 
 
-def merge_entities(entities: DataFrame, ord_cols=DEFAULT_ORD, prepared: bool = False) -> DataFrame:
-    """Merged nodes: ``entity_key, type, name, props, first_ord`` (one row per key)."""
-    rows = entities if prepared else prepare(entities)[0]
-    o = _ord(ord_cols)
-    long = rows.select(
-        "entity_key",
-        "type",
-        o.alias("ord"),
-        F.posexplode_outer("props").alias("ppos", "prop", "value"),
-    ).where(F.col("prop").isNotNull())
-    # Three aggregates per (key, prop): the first row (ord, position, type), the
-    # first truthy value and the last value.
-    folded = long.groupBy("entity_key", "prop").agg(
+def _keyed(rows: DataFrame, ord_cols) -> DataFrame:
+    return rows.withColumn("ord", _ord(ord_cols))
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    """State rows of the properties that are not ``LARGE``."""
+    long = rows.select("entity_key", "type", "ord", F.posexplode("props").alias("ppos", "prop", "value"))
+    return _folded(long.where(~F.col("prop").isin(*LARGE)))
+
+
+def _folded(long: DataFrame) -> DataFrame:
+    good = truthy(F.col("value"))
+    t, f = F.when(good, F.col("ord")), F.when(good, F.lit(None)).otherwise(F.col("ord"))
+    return long.groupBy("entity_key", "prop").agg(
         F.min(F.struct("ord", "ppos", "type")).alias("first"),
-        F.min_by("value", F.when(truthy(F.col("value")), F.col("ord"))).alias("first_truthy"),
-        F.max_by("value", "ord").alias("last_value"),
-    )
-    per_key = folded.groupBy("entity_key").agg(
-        F.collect_list(
-            F.struct(
-                F.col("first"),
-                F.col("prop"),
-                F.coalesce(F.col("first_truthy"), F.col("last_value")).alias("value"),
-            )
-        ).alias("entries"),
-        F.min(F.col("first")).alias("key_first"),
+        F.min(t).alias("t_ord"), F.min_by("value", t).alias("t_value"),
+        F.max(f).alias("l_ord"), F.max_by("value", f).alias("l_value"),
     )
-    first_ord = F.col("key_first.ord")
+
+
+def _large(rows: DataFrame) -> DataFrame:
+    """Per key its first row and the folded ``LARGE`` properties, in one shuffle."""
+    aggs = [F.min(F.struct("ord", F.lit(-1).alias("ppos"), "type")).alias("head")]
+    for p in LARGE:
+        at = F.array_position(F.map_keys("props"), p).cast("int") - 1
+        v, has = F.try_element_at("props", F.lit(p)), F.map_contains_key("props", F.lit(p))
+        good = F.coalesce(truthy(v), F.lit(False))
+        t, f = F.when(has & good, F.col("ord")), F.when(has & ~good, F.col("ord"))
+        aggs += [
+            F.min(F.when(has, F.struct("ord", at.alias("ppos"), "type"))).alias(f"{p}_first"),
+            F.min(t).alias(f"{p}_t_ord"), F.min_by(v, t).alias(f"{p}_t_value"),
+            F.max(f).alias(f"{p}_l_ord"), F.max_by(v, f).alias(f"{p}_l_value"),
+        ]
+    return rows.groupBy("entity_key").agg(*aggs)
+
+
+def _entry(first, prop, t_value, l_value) -> Column:
+    return F.struct(first.alias("first"), prop.alias("prop"), F.coalesce(t_value, l_value).alias("value"))
+
+
+def _large_entries() -> Column:
+    found = F.array(*[
+        _entry(F.col(f"{p}_first"), F.lit(p), F.col(f"{p}_t_value"), F.col(f"{p}_l_value")) for p in LARGE
+    ])
+    return F.filter(found, lambda x: x["first"].isNotNull())
+
+
+def _nodes(per_key: DataFrame) -> DataFrame:
+    """Nodes of ``(entity_key, head, entries)``."""
+    first_ord = F.col("head.ord")
 
     def sort_key(x):
         # A Chunk row that brings ``text`` to an existing node puts it ahead of
@@ -105,13 +137,111 @@ def merge_entities(entities: DataFrame, ord_cols=DEFAULT_ORD, prepared: bool = F
     props = F.map_from_entries(F.transform(ordered, lambda x: F.struct(x["prop"], x["value"])))
     return per_key.select(
         "entity_key",
-        F.col("key_first.type").alias("type"),
+        F.col("head.type").alias("type"),
         F.try_variant_get(F.try_element_at(props, F.lit("name")), "$", "string").alias("name"),
         props.alias("props"),
         first_ord.alias("first_ord"),
     )
 
 
+def merge_entities(entities: DataFrame, ord_cols=DEFAULT_ORD, prepared: bool = False) -> DataFrame:
+    """Merged nodes: ``entity_key, type, name, props, first_ord`` (one row per key)."""
+    rows = _keyed(entities if prepared else prepare(entities)[0], ord_cols)
+    small = _small(rows).groupBy("entity_key").agg(
+        F.collect_list(_entry(F.col("first"), F.col("prop"), F.col("t_value"), F.col("l_value"))).alias("small")
+    )
+    both = _large(rows).join(small, "entity_key", "left")
+    entries = F.when(F.col("small").isNull(), _large_entries()).otherwise(F.concat("small", _large_entries()))
+    return _nodes(both.select("entity_key", "head", entries.alias("entries")))
+
+
+# ---------------------------------------------------------------- mergeable state
+
+
+def fold(rows: DataFrame, ord_cols=DEFAULT_ORD) -> DataFrame:
+    """State rows of prepared entity rows; the row with a null ``prop`` is the key's own."""
+    rows = _keyed(rows, ord_cols)
+    per_key = _large(rows)
+    one = lambda p, n: F.col(f"{p}_{n}")
+    kind = {n: _small(rows).schema[n].dataType for n in ("t_ord", "t_value", "l_ord", "l_value")}
+    none = [F.lit(None).cast(kind[n]).alias(n) for n in kind]
+    made = [F.struct(F.lit(None).cast("string").alias("prop"), F.col("head").alias("first"), *none)]
+    made += [F.struct(F.lit(p).alias("prop"), one(p, "first").alias("first"), *[one(p, n).alias(n) for n in kind]) for p in LARGE]
+    large = per_key.select("entity_key", F.inline(F.filter(F.array(*made), lambda x: x["first"].isNotNull())))
+    return large.unionByName(_small(rows))
+
+
+def combine(*states: DataFrame) -> DataFrame:
+    """The state of all rows behind several states. Repeating a state changes nothing."""
+    s = states[0]
+    for more in states[1:]:
+        s = s.unionByName(more)
+    return s.groupBy("entity_key", "prop").agg(
+        F.min("first").alias("first"),
+        F.min("t_ord").alias("t_ord"), F.min_by("t_value", "t_ord").alias("t_value"),
+        F.max("l_ord").alias("l_ord"), F.max_by("l_value", "l_ord").alias("l_value"),
+    )
+
+
+def render(state: DataFrame) -> DataFrame:
+    """Merged nodes of a state, as ``merge_entities`` gives them for its rows."""
+    key_row = F.col("prop").isNull()
+    entry = F.when(~key_row, _entry(F.col("first"), F.col("prop"), F.col("t_value"), F.col("l_value")))
+    per_key = state.groupBy("entity_key").agg(
+        F.max(F.when(key_row, F.col("first"))).alias("head"), F.collect_list(entry).alias("entries"))  # nulls are left out
+    return _nodes(per_key)
+
+
+class MergeState:
+    """Merge state as a table under ``path``: ``deltas/batch=<id>`` holds the fold of one batch's rows,
+    ``snapshots/<n>`` the state of everything before it.
+
+    A batch reads and writes its own rows only. A retried batch overwrites its own delta, and a
+    delta that a snapshot holds too is harmless, because folding rows again changes nothing."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def add(self, rows: DataFrame, batch: str, ord_cols=DEFAULT_ORD) -> None:
+        """Fold a batch of prepared entity rows in."""
+        fold(rows, ord_cols).write.mode("overwrite").parquet(f"{self.path}/deltas/batch={batch}")
+
+    def _snapshots(self) -> DataFrame | None:
+        return read_if_exists(self.spark, f"{self.path}/log")
+
+    def state(self) -> DataFrame | None:
+        """Everything folded in so far; None before the first batch."""
+        deltas = read_if_exists(self.spark, f"{self.path}/deltas")
+        if deltas is None:
+            return None
+        columns = [c for c in deltas.columns if c != "batch"]
+        log = self._snapshots()
+        if log is None:
+            return combine(deltas.select(*columns))
+        newest = log.agg(F.max_by("folder", "number")).first()[0]
+        held = log.where(F.col("folder") == newest).select(F.explode("batches").alias("held"))
+        left = deltas.join(held, F.col("batch").cast("string") == F.col("held"), "left_anti")
+        return combine(self.spark.read.parquet(f"{self.path}/{newest}").select(*columns), left.select(*columns))
+
+    def nodes(self) -> DataFrame | None:
+        state = self.state()
+        return None if state is None else render(state)
+
+    def compact(self) -> None:
+        """Write the whole state as one snapshot that later reads start from. The log row is
+        written last: a reader sees the snapshot whole or not at all."""
+        deltas = read_if_exists(self.spark, f"{self.path}/deltas")
+        if deltas is None:
+            return
+        batches = deltas.select(F.col("batch").cast("string").alias("batch")).distinct().agg(F.collect_set("batch").alias("batches"))
+        log = self._snapshots()
+        number = 0 if log is None else log.agg(F.max("number")).first()[0] + 1
+        folder = f"snapshots/{number}-{uuid.uuid4().hex[:8]}"
+        batches = self.spark.createDataFrame(batches.collect(), "batches array<string>")  # as of the state below
+        self.state().write.parquet(f"{self.path}/{folder}")
+        batches.select(F.lit(number).alias("number"), F.lit(folder).alias("folder"), "batches").write.mode("append").parquet(f"{self.path}/log")
+
+
 def merge_relationships(*relationships: DataFrame) -> DataFrame:
     """A3: bag union of relationship rows; no de-duplication, endpoints unchanged."""
     out = relationships[0]

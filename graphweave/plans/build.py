@@ -176,7 +176,8 @@ def rebuild_from_store(spark: SparkSession, records_path: str, latest: bool = Fa
     ents, rels = ssrc.record_rows(records)
     ents = repair.pre_merge(ents).drop("repaired")
     rows, quarantine = merge.prepare(ents)
-    nodes = repair.post_merge(merge.merge_entities(rows, prepared=True), rows).drop("repaired")
+    nodes = materialize(merge.merge_entities(rows, prepared=True), "merged")  # the repair reads it three times
+    nodes = repair.post_merge(nodes, rows).drop("repaired")
     return nodes, rels, quarantine.select("path", "document_name", "reason").unionByName(
         bad.select(F.col("source_file").alias("path"), F.lit(None).cast("string").alias("document_name"),
                    F.lit("corrupt record").alias("reason"))

@@ -15,6 +15,7 @@ from graphweave.functions.literals import MAX_LITERAL_CHARS, literal, string_lit
 from graphweave.operators import edges, export, extract, graph, merge, repair, shape
 from graphweave.plans import oracle as O
 from graphweave.plans import views as V
+from graphweave.plans.build import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -251,6 +252,24 @@ def merge_first_truthy(spark, sf):
     )
 
 
+@register("merge_state", SQL["merge_first_truthy"])
+def merge_state(spark, sf):
+    """A1 in batches: three states folded from a third of the rows each, the second one retried and the
+    first two compacted, give what one merge of all rows gives."""
+    from graphweave.session import scratch_dir
+
+    rows = merge.prepare(V.event_rows(spark, sf))[0].withColumn("third", F.pmod(F.xxhash64("path", "seq", "pos"), F.lit(3)))
+    state = merge.MergeState(spark, scratch_dir(spark, "merge-state"))
+    for batch in (0, 1, 1):
+        state.add(rows.where(F.col("third") == batch).drop("third"), f"b{batch}", ("path", "seq", "pos"))
+    state.compact()
+    for batch in (2, 1):
+        state.add(rows.where(F.col("third") == batch).drop("third"), f"b{batch}", ("path", "seq", "pos"))
+    return state.nodes().select("entity_key", F.explode("props").alias("prop", "v")).select(
+        "entity_key", "prop", F.to_json("v").alias("value_json")
+    )
+
+
 # ---------------------------------------------------------------------------
 # J3/J4/P19/P20 repair
 # ---------------------------------------------------------------------------
@@ -300,7 +319,7 @@ fixed AS (
 
 def _post_nodes(spark, sf):
     rows = V.conv_dup_rows(spark, sf)
-    nodes = merge.merge_entities(rows)
+    nodes = materialize(merge.merge_entities(rows), "merged")  # the repair reads it three times
     return repair.post_merge(nodes, rows)
 
 
@@ -335,8 +354,6 @@ STAR_ORD = ("path", "seq", "pos")
 
 
 def _star(spark, sf):
-    from graphweave.plans.build import materialize
-
     # graph tables (K5) as a downstream user reads them: written once, then scanned
     return materialize(V.star_nodes(spark, sf), "star-nodes"), materialize(V.star_rels_dirty(spark, sf), "star-rels")
 
@@ -829,13 +846,13 @@ def pipeline_stats(spark, sf):
 
 
 def _write_doc_files(spark, sf) -> str:
-    """Write the documents as text files under scratch, one per language and ``doc_id % 16``:
-    the texts by id, a newline after each."""
+    """Write the documents as text files under scratch, one per language and 250 ids:
+    the texts by id, a newline after each. Their number grows with the table."""
     from graphweave.session import scratch_dir
 
     root = scratch_dir(spark, "docs")
     d = V.table(spark, sf, "documents")
-    d = d.select("lang", (F.col("doc_id") % 16).alias("part"), "doc_id", "text")
+    d = d.select("lang", F.floor(F.col("doc_id") / 250).alias("part"), "doc_id", "text")
     d = d.repartition("lang", "part").sortWithinPartitions("lang", "part", "doc_id").drop("doc_id")
     d.write.partitionBy("lang", "part").text(root)
     return root
@@ -844,7 +861,7 @@ def _write_doc_files(spark, sf) -> str:
 # the same files in SQL, and their chunks (named by the hash of the file)
 _TEXT_FILES = r"""text_files AS (
   SELECT md5(t) AS content_md5, regexp_replace(t, '\r\n?', chr(10), 'g') AS text FROM (
-    SELECT string_agg(text, chr(10) ORDER BY doc_id) || chr(10) AS t FROM documents GROUP BY lang, doc_id % 16)),
+    SELECT string_agg(text, chr(10) ORDER BY doc_id) || chr(10) AS t FROM documents GROUP BY lang, doc_id // 250)),
 file_sizes AS (SELECT *, greatest(1, ceil((length(text) - 500) / 1000.0))::INTEGER AS n_chunks FROM text_files),
 file_chunks AS (
   SELECT content_md5, i::INTEGER AS chunk_number, content_md5 || '_chunk_' || i AS chunk_name,
@@ -968,6 +985,26 @@ def stream_ingest_q(spark, sf):
     return found.join(files, "path").select("content_md5", "chunk_number", "pos", "type", "name")
 
 
+@register(
+    "stream_merge",
+    O.with_(_TEXT_FILES, O.hits("file_chunks"))
+    + "SELECT DISTINCT " + O.key("e.type", "e.name") + " AS entity_key, e.type FROM ents e JOIN file_chunks c USING (chunk_name)",
+)
+def stream_merge(spark, sf):
+    """I1 with its merge: micro-batches fold into the state, the stream ends and starts again in the
+    middle, the state is compacted; the graph's extracted nodes."""
+    from graphweave.session import scratch_dir
+    from graphweave.streaming.ingest import merged_graph, stream_ingest
+
+    root = _write_doc_files(spark, sf)
+    out, ck = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-ckpt")
+    stream_ingest(spark, f"{root}/lang=[a-d]*", out, ck, max_files_per_trigger=3)
+    merged_graph(spark, out, compact=True)
+    stream_ingest(spark, f"{root}/lang=*", out, ck, max_files_per_trigger=6)
+    nodes, _rels = merged_graph(spark, out)
+    return nodes.where(~F.col("type").isin("Chunk", "Document")).select("entity_key", "type")
+
+
 # ---------------------------------------------------------------------------
 # A11 / P13 / P4 slot / P1 recursive
 # ---------------------------------------------------------------------------
@@ -1047,8 +1084,6 @@ def chunk_recursive(spark, sf):
 def chunk_embedding_index(spark, sf):
     """V1 → P9 → P24: chunk embeddings ride on the Chunk nodes into the index statements."""
     from graphweave.operators import vectors
-    from graphweave.plans.build import materialize
-
     res = V.doc_results(spark, sf)
     res = vectors.embed(res, "text", dims=64)
     e, _ = shape.complete(res, embedding_col="embedding")

@@ -34,16 +34,36 @@ def read_if_exists(spark: SparkSession, path: str, schema: str | None = None) ->
         raise
 
 
+def _aside(df: DataFrame, name: str) -> DataFrame:
+    from graphweave.session import scratch_dir
+
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_store(results: DataFrame, store_path: str, run_id: str | None = None) -> None:
     """Write per-chunk results (``result`` struct + ``error``) with a timestamp.
 
     With a ``run_id`` the rows go to partition ``run_id=<id>`` with dynamic
-    partition overwrite: a retried run replaces its own partition, so keys stay
-    unique by construction and readers need no de-duplicating shuffle."""
+    partition overwrite. Rows that the run stored before (it was retried, or its id is
+    used again) stay, but for those of the same file, which the new ones replace: keys
+    stay unique by construction and readers need no de-duplicating shuffle."""
+    spark = results.sparkSession
     out = results.withColumn("extraction_time", F.current_timestamp())
     if run_id is None:
         out.write.mode("append").parquet(store_path)
         return
+    earlier = read_if_exists(spark, store_path)
+    if earlier is not None and "run_id" in earlier.columns:
+        earlier = earlier.where(F.col("run_id").cast("string") == run_id).drop("run_id")
+        if not earlier.isEmpty():
+            # extraction is costly: it is written once, then compared; a partition that is
+            # being replaced cannot be read at the same time, so what stays is written aside too
+            out = _aside(out, "new-results")
+            file = ["path"] if "path" in out.columns else [c for c in KEY if c in out.columns]
+            out = out.unionByName(_aside(earlier.join(out.select(*file).distinct(), file, "left_anti"), "kept-results"),
+                                  allowMissingColumns=True)
     (
         out.withColumn("run_id", F.lit(run_id))
         .write.mode("overwrite")

@@ -148,3 +148,32 @@ def test_run_batch_reuses_cached_extraction(spark, tmpdir_path):
     assert r2["store"].where(F.col("path").endswith("a/doc.txt")).count() == 0
     summary = r2["summary"].first()
     assert (summary.files, summary.cache_hits, summary.failed_files) == (1, 1, 0)
+
+
+def test_a_run_id_used_again_keeps_what_it_stored(spark, tmpdir_path):
+    from graphweave.plans.build import run_batch
+    from graphweave.sources import manifest as msrc
+    from graphweave.sources import store as ssrc
+
+    src, work = os.path.join(tmpdir_path, "in"), os.path.join(tmpdir_path, "work")
+    _write(src, "a.txt", b"Alpha Beta")
+    _write(src, "b.txt", b"Gamma")
+    run_batch(spark, src, work, "r1")
+    _write(src, "c.txt", b"Delta")
+    out = run_batch(spark, src, work, "r1")
+    names = lambda df: sorted(r.document_name for r in df.select("document_name").collect())
+    assert names(ssrc.read_store(spark, f"{work}/store")) == ["a", "b", "c"]
+    assert names(msrc.read(spark, f"{work}/manifest").where("status = 'ok'")) == ["a", "b", "c"]
+    assert {"Alpha", "Gamma", "Delta"} <= {r.name for r in out["nodes"].collect()}
+
+
+def test_a_retried_write_replaces_its_files_alone(spark, tmpdir_path):
+    from graphweave.sources import store as ssrc
+
+    path = os.path.join(tmpdir_path, "store")
+    row = "path string, document_name string, content_md5 string, chunk_number int, error string"
+    ssrc.write_store(spark.createDataFrame([("a", "a", "1", 0, "x"), ("a", "a", "1", 1, "x"), ("b", "b", "1", 0, None)], row), path, "r")
+    ssrc.write_store(spark.createDataFrame([("z", "z", "1", 0, None)], row), path, "other")
+    ssrc.write_store(spark.createDataFrame([("a", "a", "2", 0, None)], row), path, "r")
+    got = sorted((r.run_id, r.path, r.content_md5, r.chunk_number, r.error) for r in ssrc.read_store(spark, path).collect())
+    assert got == [("other", "z", "1", 0, None), ("r", "a", "2", 0, None), ("r", "b", "1", 0, None)]
