@@ -401,7 +401,7 @@ def _task_groups(reps: DataFrame, threshold: int, limit: int) -> DataFrame:
     heavy = heavy.filter((F.col("parts") == 1) | (F.col("part") != F.col("other")))
     heavy = heavy.select(
         "rep", "set_a", "set_b", F.col("component").alias("group_a"), (F.col("group_b") + 1).alias("group_b"),
-        (F.least("part", "other") * F.lit(1 << 15) + F.greatest("part", "other")).alias("group_c"),
+        (F.least("part", "other").cast("long") * F.lit(1 << 31) + F.greatest("part", "other")).alias("group_c"),
     )
     return light.unionByName(heavy)
 
@@ -412,7 +412,7 @@ def _judged(docs: DataFrame, threshold: int, doc_id: str, text: str, task_shingl
     each as ``(rep, set_a, set_b)``."""
     n_blocks = block_count(docs, text)
     n_buckets = max(1, n_blocks // 3)
-    blocks = to_blocks(docs, n_blocks, doc_id, text)
+    blocks = to_blocks(docs, n_blocks, doc_id, text, by_text=True)
     asked = blocks.groupBy("block").applyInArrow(alone(_ask_samples(threshold, n_buckets)), ASK)
     counts = ask_buckets(asked, n_buckets, _count_documents)
     sets = written(
@@ -468,7 +468,10 @@ def keep_one_per_group(docs: DataFrame, threshold: int = 80, doc_id: str = "doc_
     stay = found.groupBy("doc_id", "set_a", "set_b", wordless.alias("wordless")).agg(F.min("text_md5").alias("_stay_md5"))
     stay = stay.select(F.col("doc_id").alias("_stay"), "_stay_md5")
     named = docs.filter(F.col(doc_id).isNotNull())
-    named = named.withColumn("_md5", F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))))
-    same = (named[doc_id] == stay["_stay"]) & (named["_md5"] == stay["_stay_md5"])
-    named = named.join(stay, same, "left_semi").dropDuplicates([doc_id, "_md5"]).drop("_md5")
+    digest = "_md5"
+    while digest in docs.columns:
+        digest += "_"
+    named = named.withColumn(digest, F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))))
+    same = (named[doc_id] == stay["_stay"]) & (named[digest] == stay["_stay_md5"])
+    named = named.join(stay, same, "left_semi").dropDuplicates([doc_id, digest]).drop(digest)
     return named.unionByName(docs.filter(F.col(doc_id).isNull()))

@@ -185,15 +185,18 @@ def _matrix(column) -> np.ndarray:
 
 def _best(queries: np.ndarray, own: np.ndarray, vecs: np.ndarray, ids: np.ndarray, k: int):
     """Per query its best ``k`` of the rows: ``(query, row, score)`` arrays."""
-    q32, v32 = queries.astype(np.float32), vecs.astype(np.float32)
-    reach = np.linalg.norm(vecs, axis=1).max()
+    # scaled to at most one, which changes no order: single precision neither overflows nor goes blind
+    scaled = queries / np.abs(queries).max(axis=1, keepdims=True)
+    unit = vecs / np.abs(vecs).max()
+    q32, v32 = scaled.astype(np.float32), unit.astype(np.float32)
+    reach = np.linalg.norm(unit, axis=1).max()
     out = []
     for a in range(0, len(queries), 256):
         s = q32[a : a + 256] @ v32.T
         s[own[a : a + 256, None] == ids[None, :]] = -np.inf
         kth = np.partition(s, -k, axis=1)[:, -k] if s.shape[1] > k else np.full(len(s), -np.inf)
         # rounding of the single-precision sums, generously
-        slack = 1e-5 * reach * np.linalg.norm(queries[a : a + 256], axis=1) + 1e-30
+        slack = 1e-5 * reach * np.linalg.norm(scaled[a : a + 256], axis=1) + 1e-30
         r, c = np.nonzero((s >= (kth - slack)[:, None]) & (s > -np.inf))
         exact = (queries[a + r] * vecs[c]).sum(axis=1)
         o = np.lexsort((ids[c], -exact, r))

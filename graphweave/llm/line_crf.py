@@ -272,8 +272,10 @@ def train_on(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS)
     picked = labels.filter("quality in (0, 1) and doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")
     )
-    picked = F.broadcast(picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
+    picked = F.broadcast(picked.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(picked, "doc_id")
+    # an id on many rows gives one of its texts, so the driver gathers no more than ``sample`` texts' lines
+    rows = rows.groupBy("doc_id", "quality").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def run(batches):
         for batch in batches:

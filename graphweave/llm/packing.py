@@ -127,7 +127,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
 
     n_buckets = max(1, -(-sum(counts.values()) // BUCKET_ROWS))
     tie = [c for c in ("doc_id", "piece", "ids_crc32") if c in pieces.columns]
-    dealt = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(n_buckets)))
+    # pieces without id, or of one id, are spread by their content
+    dealt = pieces.withColumn("_bucket", F.pmod(F.xxhash64(*tie), F.lit(n_buckets)))
     per = dealt.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = per.select("length", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))

@@ -573,7 +573,7 @@ def remove_repeated_bytes(
     gram, span = max(1, length // 4), min(RANGE, max(1, length // 3))
     n_blocks = block_count(docs, text)
     n_buckets = max(1, n_blocks // 3)
-    blocks = to_blocks(docs, n_blocks, doc_id, text)
+    blocks = to_blocks(docs, n_blocks, doc_id, text, by_text=True)
 
     def again(msgs, step):
         return blocks.groupBy("block").cogroup(home(msgs, n_blocks)).applyInArrow(step, ASK)

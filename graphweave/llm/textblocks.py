@@ -1,8 +1,10 @@
 """Blocks of documents and vectorised word hashing shared by the corpus operators.
 
-A *block* is a bounded group of whole documents. Documents are dealt to blocks by a
-hash of their id, so a hot source, a group of copies or a very long neighbour never
-decides the size of a task, and the number of blocks follows the bytes of the input.
+A *block* is a group of whole documents. Documents are dealt to blocks by a hash of their id,
+with ``by_text`` of their id and text, so that rows without id and different texts under one id
+are spread too (only rows equal in both stay together). A hot source, a group of copies or a very
+long neighbour never decides the size of a task, and the number of blocks follows the
+bytes of the input.
 Inside a block numpy works on the UTF-8 buffer that Arrow hands over; across blocks only
 fixed-width hashes travel, packed into one binary value per (block, bucket).
 """
@@ -48,7 +50,8 @@ def block_count(docs: DataFrame, text: str = "text", block_bytes: int = BLOCK_BY
 
 
 def to_blocks(
-    docs: DataFrame, n_blocks: int, doc_id: str = "doc_id", text: str = "text", carry: bool = False
+    docs: DataFrame, n_blocks: int, doc_id: str = "doc_id", text: str = "text", carry: bool = False,
+    by_text: bool = False,
 ) -> DataFrame:
     """``(block int, doc_id long, text string)``, each block within one partition.
 
@@ -59,7 +62,7 @@ def to_blocks(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
         *([F.struct(*[F.col(c) for c in docs.columns if c != text]).alias("row")] if carry else []),
     )
-    d = d.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).cast("int"))
+    d = d.withColumn("block", F.pmod(F.xxhash64("doc_id", *(["text"] if by_text else [])), F.lit(n_blocks)).cast("int"))
     return d.select("block", *[c for c in d.columns if c != "block"]).repartition(n_blocks, "block")
 
 

@@ -56,13 +56,34 @@ class BatchEncoder:
             spec = json.load(f)
         self.pattern = self._split_pattern(spec)
         self.letters = byte_letters()
-        self.runs: dict[bytes, tuple[int, ...]] = {}
+        self._forget()
         self.pieces: dict[str, tuple[int, ...]] = {}
         # cuts assume that special tokens start with "<|", as they do in these files
         self.special = [t["content"] for t in spec.get("added_tokens") or []]
         # white space between runs is dropped: runs are independent
         self.by_runs = self.pattern is not None and all(x.startswith("<|") for x in self.special)
 
+    def _forget(self):
+        """Ids of the runs met so far, found by the hash of a run."""
+        self.known, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.known_at, self.known_size, self.known_ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def _learn(self, hashes: np.ndarray, got: list[tuple[int, ...]]):
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        flat = np.fromiter(chain.from_iterable(got), np.int32, int(size.sum()))
+        self.known_at = np.concatenate([self.known_at, len(self.known_ids) + np.cumsum(size) - size])
+        self.known_size = np.concatenate([self.known_size, size])
+        self.known_ids = np.concatenate([self.known_ids, flat])
+        known = np.concatenate([self.known, hashes])
+        slot = np.concatenate([self.slot, len(self.slot) + np.arange(len(hashes))])
+        order = np.argsort(known, kind="stable")
+        self.known, self.slot = known[order], slot[order]
+
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``known`` and whether the hash stands there."""
+        at = np.minimum(np.searchsorted(self.known, hashes), max(0, len(self.known) - 1))
+        return at, self.known[at] == hashes if len(self.known) else np.zeros(len(hashes), dtype=bool)
+
     @staticmethod
     def _split_pattern(spec):
         """The split pattern if the file is of the kind the short way follows."""
@@ -90,24 +111,17 @@ class BatchEncoder:
         return ids
 
     def run_ids(self, raw: bytes) -> tuple[int, ...]:
-        ids = self.runs.get(raw)
-        if ids is not None:
-            return ids
-        if len(self.runs) >= _CACHE_RUNS:
-            self.runs.clear()
         if raw.isalpha():  # ASCII letters only
-            ids = self.runs[raw] = self._piece(raw.decode().lower())
-            return ids
+            return tuple([t.id for t in self.model.tokenize(raw.decode().lower())])
         text = raw.decode("utf-8")
+        if text.isalpha() and max(text) < "ɐ" and "İ" not in text:  # Latin letters: one piece
+            return tuple([t.id for t in self.model.tokenize("".join([self.letters[b] for b in text.lower().encode()]))])
         plain = (raw.isascii() and text.isprintable()) or all(
             "!" <= c <= "~" or ("¡" <= c < "ɐ" and c != "İ") for c in text
         )
         if plain and not any(s[:2] in text for s in self.special):
-            ids = tuple(chain.from_iterable(map(self._piece, self.pattern.findall(text.lower()))))
-        else:
-            ids = tuple(self.tok.encode(text, add_special_tokens=False).ids)
-        self.runs[raw] = ids
-        return ids
+            return tuple(chain.from_iterable(map(self._piece, self.pattern.findall(text.lower()))))
+        return tuple(self.tok.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Yield ``(ids, offsets)`` for stretches of the texts, in order; nulls are empty."""
@@ -132,14 +146,19 @@ class BatchEncoder:
         if not len(words.start):
             return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
         _, first, inv = np.unique(words.hash, return_index=True, return_inverse=True)
+        hashes = words.hash[first]
+        new = np.flatnonzero(~self._find(hashes)[1])
+        if len(self.known) + len(new) > _CACHE_RUNS:  # begin anew with the runs of this batch
+            self._forget()
+            new = np.arange(len(hashes))
         data = buf.tobytes()
-        got = [self.run_ids(data[s:e]) for s, e in zip(words.start[first].tolist(), words.end[first].tolist())]
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter(chain.from_iterable(got), np.int32, int(size.sum()))
-        at = np.cumsum(size) - size
-        n = size[inv]
+        starts, ends = words.start[first[new]].tolist(), words.end[first[new]].tolist()
+        if len(new):
+            self._learn(hashes[new], [self.run_ids(data[s:e]) for s, e in zip(starts, ends)])
+        slot = self.slot[self._find(hashes)[0]]
+        n = self.known_size[slot][inv]
         end = np.cumsum(n)
-        ids = flat[np.arange(int(end[-1])) + np.repeat(at[inv] - (end - n), n)]
+        ids = self.known_ids[np.arange(int(end[-1])) + np.repeat(self.known_at[slot][inv] - (end - n), n)]
         return ids, np.concatenate([[0], end])[words.edge]
 
 

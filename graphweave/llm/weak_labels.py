@@ -172,7 +172,7 @@ def fit_scorer(texts: pa.Array, target: np.ndarray, rounds: int = 200, decay: fl
 
 
 def heuristic_votes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, votes``: one digit per labeller (0 bad, 1 good, 2 abstain)."""
+    """``doc_id, text_hash, votes``: one digit per labeller (0 bad, 1 good, 2 abstain)."""
 
     def run(batches):
         for batch in batches:
@@ -181,12 +181,26 @@ def heuristic_votes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
                 text_votes = (votes + 48).astype(np.uint8).tobytes().decode()
                 k = votes.shape[1]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array([text_votes[i * k : i * k + k] for i in range(hi - lo)])],
-                    names=["doc_id", "votes"],
+                    [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo),
+                     pa.array([text_votes[i * k : i * k + k] for i in range(hi - lo)])],
+                    names=["doc_id", "text_hash", "votes"],
                 )
 
-    d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return d.mapInArrow(run, "doc_id long, votes string")
+    return _texts(docs, doc_id, text).mapInArrow(run, "doc_id long, text_hash long, votes string")
+
+
+def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    t = F.col(text).cast("string")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), t.alias("text"), F.xxhash64(t).alias("text_hash"))
+
+
+def training_rows(docs: DataFrame, votes: DataFrame, sample: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """At most ``sample`` rows ``doc_id, votes, text``. An id may stand on many texts: each text meets
+    its own votes, and is taken once."""
+    picked = votes.filter("doc_id is not null").distinct()
+    picked = F.broadcast(picked.orderBy(F.xxhash64("doc_id"), "doc_id", "votes", "text_hash").limit(sample))
+    rows = _texts(docs, doc_id, text).join(picked, ["doc_id", "text_hash"])
+    return rows.groupBy("doc_id", "text_hash", "votes").agg(F.min("text").alias("text")).drop("text_hash")
 
 
 def train(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS, doc_id: str = "doc_id", text: str = "text"):
@@ -202,9 +216,7 @@ def train(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS, doc_id: str = "doc_id
     accuracy = (table[:, 1, GOOD] + table[:, 0, BAD]) / 2  # on good and bad documents alike
     belief = {r["votes"]: float(p) for r, p in zip(seen, post)}
 
-    picked = votes.filter("doc_id is not null").select("doc_id", "votes").distinct()
-    picked = F.broadcast(picked.orderBy(F.xxhash64("doc_id"), "doc_id", "votes").limit(sample))
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).join(picked, "doc_id")
+    rows = training_rows(docs, votes, sample, doc_id, text)
 
     def fit(table: pa.Table) -> pa.Table:
         order = np.lexsort((table.column("votes").to_numpy(), table.column("doc_id").to_numpy()))

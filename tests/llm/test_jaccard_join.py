@@ -142,3 +142,24 @@ def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(139, 200), (5, 5), (None, 7)]
     got_ = {r.node: r.component for r in components(spark.createDataFrame(edges, "x long, y long"), "x", "y").collect()}
     assert got_ == {i: 0 for i in range(41)} | {i: 100 for i in [*range(100, 140), 200]}
+
+
+def test_null_and_repeated_ids_are_spread_over_blocks(make_docs):
+    from graphweave.llm.textblocks import to_blocks
+
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text {i}") for i in range(3000)]
+    sizes = [r["count"] for r in to_blocks(make_docs(rows), 100, by_text=True).groupBy("block").count().collect()]
+    assert max(sizes) <= 2 * 3000 / 100
+
+
+def test_many_parts_have_numbers_of_their_own(spark):
+    members = spark.range(40).selectExpr("id as rep", "id as set_a", "id as set_b", "7000000000L as n", "1L as component")
+    groups = J._task_groups(members, 80, 100_000)  # millions of parts: numbers pass 32 bits
+    one = groups.filter("group_c is not null").select("group_c").limit(50).collect()
+    assert len(one) == 50 and max(r.group_c for r in one) > 2**31
+
+
+def test_stage_with_a_clashing_column(make_docs):
+    docs = make_docs([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "other words stand in this one")]).selectExpr("*", "'x' as _md5", "1 as _stay")
+    got = J.keep_one_per_group(docs)
+    assert got.columns == docs.columns and sorted(r.doc_id for r in got.collect()) == [1, 3]

@@ -97,3 +97,12 @@ def test_parts_are_balanced_and_cut_few_edges(n_parts):
     assert np.bincount(part, minlength=n_parts).max() <= size * 1.05 + 1
     rand = rnd.permutation(500) % n_parts
     assert (part[g] != part[:, None]).mean() < 0.3 * (rand[g] != rand[:, None]).mean()
+
+
+def test_finite_extremes_lose_no_candidate(spark):
+    for big in (1e30, 1e-30):
+        rows = [(0, [big, big]), (1, [big, 0.0]), (2, [0.0, 2 * big]), (3, [-big, 0.0]), (5, [1.0, 1.0])]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = sorted((r.rank, r.vec_id, r.score) for r in L.nearest(df, lambda i: i == 0, 20).collect())
+        want = sorted(((i, sum(a * b for a, b in zip(v, rows[0][1]))) for i, v in rows[1:]), key=lambda x: (-x[1], x[0]))
+        assert got == [(k + 1, i, s) for k, (i, s) in enumerate(want)]

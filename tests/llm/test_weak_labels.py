@@ -60,3 +60,20 @@ def test_odd_rows(make_docs):
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in got.collect()) == [(False, 1), (False, 4), (False, 4), (True, 0)]
     assert Q.classify(make_docs([])).collect() == []
     assert Q.classify(make_docs([(None, prose)])).first().score >= 0  # nothing to train on
+
+
+def test_texts_under_one_id_meet_their_own_votes(make_docs):
+    good = "This is a plain sentence about the weather, and it reads well. Another one follows it here. "
+    rows = [(7, good * (1 + i % 9) + f"Note {i}.") for i in range(60)] + [(7, "$$ ## || " * (1 + i)) for i in range(60)]
+    rows += [(7, rows[0][1])] * 30 + [(100 + i, good + str(i)) for i in range(40)]
+    docs = make_docs(rows)
+    votes = Q.heuristic_votes(docs)
+    assert votes.distinct().count() == 160  # one row per text, whatever the id
+    found = Q.training_rows(docs, votes, 1000).collect()
+    own = {r.text: r.votes for r in found}
+    assert len(found) == len(own) == 160
+    texts = list(own)
+    marks = (Q.Batch(pa.array(texts)).votes() + 48).astype(np.uint8)
+    assert [own[t] for t in texts] == [m.tobytes().decode() for m in marks]
+    assert Q.training_rows(docs, votes, 20).count() == 20
+    assert Q.train(docs, sample=50) is not None
