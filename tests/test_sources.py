@@ -38,18 +38,18 @@ def test_discover_and_read(spark, tmpdir_path):
     _write(r, "e.docx", _docx(["One", "Two"]))
     found = files.discover(spark, r)
     names = sorted(x.document_name for x in found.collect())
-    # Spark's file scan skips zero-length files: an empty file is not listed (it
-    # would give no chunk anyway)
-    assert names == ["a", "b", "bad", "d", "e", "x y%20"]
+    # an empty file is listed, read and recorded; it has no chunk
+    assert names == ["a", "b", "bad", "d", "e", "empty", "x y%20"]
     assert "content" not in found.columns
     docs = {x.document_name: (x.text, x.error) for x in files.read_text(files.load_content(spark, found, r)).collect()}
     assert docs["b"] == ("# Beta\nline\nend", None)
     assert docs["bad"][0] is None and docs["bad"][1] == "invalid UTF-8"
-    assert docs["e"] == ("One\nTwo\n", None)
+    assert docs["e"] == ("One\nTwo\n", None) and docs["empty"] == ("", None)
     from graphweave.operators import chunking
 
     ch = chunking.chunk(files.read_text(files.load_content(spark, found, r)).where("error is null"))
     assert ch.where(F.col("document_name") == "a").count() == 1
+    assert ch.where(F.col("document_name") == "empty").count() == 0
 
 
 def test_increments(spark):
@@ -177,3 +177,39 @@ def test_a_retried_write_replaces_its_files_alone(spark, tmpdir_path):
     ssrc.write_store(spark.createDataFrame([("a", "a", "2", 0, None)], row), path, "r")
     got = sorted((r.run_id, r.path, r.content_md5, r.chunk_number, r.error) for r in ssrc.read_store(spark, path).collect())
     assert got == [("other", "z", "1", 0, None), ("r", "a", "2", 0, None), ("r", "b", "1", 0, None)]
+
+
+def test_exactly_the_pending_files_are_opened(spark, tmpdir_path, monkeypatch):
+    from graphweave.sources import files as fsrc
+
+    src = os.path.join(tmpdir_path, "in")
+    names = ["old.txt", "new.txt", "a b.txt", "x[1].txt", "q{u,v}.md", "100%25.txt", "sub/deep.md", "ü.txt"]
+    for n in names:
+        _write(src, n, n.encode())
+    _write(src, "empty.txt", b"")
+    found = fsrc.discover(spark, src)
+    assert sorted(os.path.basename(r.path) for r in found.where("length = 0").collect()) == ["empty.txt"]
+    assert found.count() == len(names) + 1
+    for limit in (10_000, 0):  # named to the reader, and by a scan of the folder
+        monkeypatch.setattr(fsrc, "NAMED_FILES", limit)
+        got = {os.path.basename(r.path): bytes(r.content) for r in fsrc.load_content(spark, found, src).collect()}
+        assert got == {"empty.txt": b""} | {os.path.basename(n): n.encode() for n in names}
+    monkeypatch.setattr(fsrc, "NAMED_FILES", 10_000)
+    picked = found.where(F.col("path").endswith("old.txt") | F.col("path").endswith("].txt"))
+    opened = fsrc.load_content(spark, picked, src).inputFiles()
+    assert len(opened) >= 2 and {os.path.basename(fsrc._plain(p)) for p in opened} >= {"old.txt", "x[1].txt"}
+    scan = spark.read.format("binaryFile").load([fsrc._literal(r.path) for r in picked.collect()])
+    assert len(scan.inputFiles()) == 2
+
+
+def test_empty_files_get_a_manifest_row(spark, tmpdir_path):
+    from graphweave.plans.build import run_batch
+    from graphweave.sources import manifest as msrc
+
+    src, work = os.path.join(tmpdir_path, "in"), os.path.join(tmpdir_path, "work")
+    _write(src, "a.txt", b"Alpha Beta")
+    _write(src, "none.txt", b"")
+    for run in ("r1", "r2"):
+        run_batch(spark, src, work, run)
+    rows = sorted((r.document_name, r.run_id, r.status) for r in msrc.read(spark, f"{work}/manifest").collect())
+    assert rows == [("a", "r1", "ok"), ("none", "r1", "ok")]
