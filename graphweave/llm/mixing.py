@@ -9,8 +9,8 @@ they could ask for are evaluated in one aggregate.
 
 The weights are then realised within a token budget as permutations of blocks: in every
 epoch the blocks of a source come in a new pseudo-random order, and the documents of a
-block too; a source is read epoch by epoch until its share of the budget is used, the last
-epoch up to the first document that would exceed it. Running sums are taken over blocks
+block too; a source is read epoch by epoch until its share of the budget is used; the
+document that crosses it is read whole, so no source with a weight stays empty. Running sums are taken over blocks
 first and then within blocks, so a source with a third of all rows is no task of its own.
 
 Orders come from MD5 of the seed, epoch and id, so they are the same on every engine.
@@ -155,7 +155,7 @@ def mix_sources(
         blocks, read["source"].eqNullSafe(blocks["s"]) & (read["block"] == blocks["b"]) & (read["epoch"] == blocks["e"])
     )
     end = F.col("before") + F.col("up_to")
-    read = read.filter((F.col("epoch") < F.col("whole")) | (end <= F.col("rest")))
+    read = read.filter((F.col("epoch") < F.col("whole")) | (end - F.col("n_tokens") < F.col("rest")))
     return read.select(
         "row", "n_tokens", "exponent", "weight", "epoch", "block", "block_rank", (end - F.col("n_tokens")).alias("start")
     )
@@ -218,5 +218,5 @@ u AS (SELECT *, sum(n) OVER (PARTITION BY source, block, epoch
         ORDER BY md5('0/' || epoch || '/' || coalesce(doc_id::VARCHAR, '')), doc_id, n ROWS UNBOUNDED PRECEDING) AS up_to FROM e)
 SELECT u.doc_id, u.source, u.n AS n_tokens, u.weight, u.epoch, r.block_rank, (before + up_to - u.n)::BIGINT AS start
 FROM u JOIN r ON u.source IS NOT DISTINCT FROM r.source AND u.block = r.block AND u.epoch = r.epoch
-WHERE u.epoch < whole OR before + up_to <= rest
+WHERE u.epoch < whole OR before + up_to - u.n < rest
 """
