@@ -44,7 +44,7 @@ def test_stages_work_on_what_their_predecessor_kept(spark, docs):
 def test_registered_queries():
     q = entry.queries()
     ours = [n for n in q if n.startswith("op")]
-    assert [n.split("_")[0] for n in ours] == [f"op{i}" for i in range(1, 11)] and "pipeline" in q
+    assert [n.split("_")[0] for n in ours] == [f"op{i}" for i in range(1, 14)] and "pipeline" in q
     assert set(queries.SQL) <= set(ours)
     assert all(m.__doc__ for m in (jaccard_join, packing, weak_labels, P))
 
