@@ -18,7 +18,7 @@ from graphweave.functions.literals import escape_string, literal_tagged
 from graphweave.functions.truth import let
 from graphweave.functions.text import ustrip
 from graphweave.functions.truth import is_blank_string
-from graphweave.operators import repair
+from graphweave.operators import repair, script_scan
 
 # Statement formats of the load script.
 NODE_FMT = "MERGE (n:{type} {{{props}}})"
@@ -149,13 +149,18 @@ def load_statements(spark: SparkSession, path: str, mode: str = "naive") -> Data
     """Statements of a script folder.
 
     ``naive`` cuts at every ``;`` (also inside quoted text), strips and keeps pieces
-    that start with MERGE/MATCH/CREATE/CALL/WITH in any case. ``rows`` reads the statements
-    that ``write_script`` kept as rows beside the text: lossless, whatever they contain."""
+    that start with MERGE/MATCH/CREATE/CALL/WITH in any case. ``quoted`` cuts only where a ``;``
+    stands outside quotes and comments (``script_scan``): it needs nothing but the text and is
+    lossless for any well-formed script. ``rows`` reads the statements that ``write_script`` kept
+    as rows beside the text: these come back whatever they contain, ill-formed ones too."""
     if mode == "rows":
         return spark.read.schema("statement string").option("recursiveFileLookup", "true").parquet(f"{path.rstrip('/')}/{ROWS}")
-    if mode != "naive":
+    if mode == "quoted":
+        raw = script_scan.statements(spark, path).withColumnRenamed("statement", "value")
+    elif mode == "naive":
+        raw = spark.read.option("lineSep", ";").option("recursiveFileLookup", "true").text(path)
+    else:
         raise ValueError(f"unknown mode {mode!r}")
-    raw = spark.read.option("lineSep", ";").option("recursiveFileLookup", "true").text(path)
     s = ustrip(F.col("value"))
     return raw.select(s.alias("statement")).where((F.col("statement") != "") & F.col("statement").rlike(STATEMENT_RE))
 
