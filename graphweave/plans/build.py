@@ -182,3 +182,44 @@ def rebuild_from_store(spark: SparkSession, records_path: str, latest: bool = Fa
         bad.select(F.col("source_file").alias("path"), F.lit(None).cast("string").alias("document_name"),
                    F.lit("corrupt record").alias("reason"))
     )
+
+
+def rebuild_run(
+    spark: SparkSession,
+    store_path: str,
+    out_dir: str,
+    latest: bool = True,
+    entity_types=None,
+    relationship_types=None,
+    max_literal_chars: int | None = None,
+):
+    """E2 over the Parquet store of batch runs: no file is read and no extractor called.
+
+    Of rows stored again under one key (document, content, chunk) the last written one counts;
+    ``latest`` also keeps only the content of each document that was extracted last. Pre-merge repair, merge and
+    in-merge repair follow, then the outputs of a run: graph tables under ``<out_dir>/graph`` and a load
+    script under ``<out_dir>/output``. Returns a dict as ``run_batch`` does, with the ``script`` folder.
+
+    Two shuffles of the stored rows (by key; versions by document), then those of the merge. Null
+    documents or contents are keys like others."""
+    from graphweave.operators import export, extract, stats
+    from graphweave.sources import store as ssrc
+
+    stored = ssrc.read_store(spark, store_path, dedupe=True)
+    if latest:
+        version = stored.groupBy("document_name").agg(
+            F.max_by(F.struct("content_md5"), F.struct("extraction_time", "content_md5")).alias("v"))
+        version = version.select(F.col("document_name").alias("__doc"), F.col("v.content_md5").alias("__md5"))
+        stored = stored.join(
+            version, F.col("document_name").eqNullSafe(F.col("__doc")) & F.col("content_md5").eqNullSafe(F.col("__md5")), "left_semi")
+    stored = materialize(extract.restrict_results(stored, entity_types, relationship_types), "rebuilt")
+    nodes, rels = build_graph(stored, pre_repair=True)
+    rels = materialize(rels, "relationships")
+    export.write_graph(nodes, rels, f"{out_dir}/graph")
+    script = export.write_script(
+        export.node_statements(nodes, max_literal_chars), export.edge_statements(rels, max_literal_chars),
+        export.index_statements(nodes, dims=None), f"{out_dir}/output",
+    )
+    documents = stored.groupBy("path").agg(F.max("error").alias("error"))
+    return {"nodes": nodes, "relationships": rels, "store": stored, "script": script,
+            "summary": stats.batch_summary(documents, None, nodes, rels)}
