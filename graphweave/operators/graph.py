@@ -8,8 +8,8 @@
 * ``document_mentions`` (J8): documents whose chunks mention an entity
   (MENTIONS ⋈ BELONGS_TO on the chunk node).
 * ``paths`` (J9): undirected paths of 1..max_hops edges from seed nodes to nodes of a
-  label, no edge used twice in a path; built hop by hop with equi-joins; the
-  adjacency and each frontier are written once under the shared checkpoint
+  label, no edge used twice in a path; built hop by hop with equi-joins on edges of the
+  nodes reached; the numbered edges and each frontier are written once under the shared checkpoint
   folder and read back, so no hop recomputes the lineage before it.
 """
 
@@ -91,6 +91,32 @@ def edge_id(resolved: DataFrame) -> DataFrame:
     )
 
 
+def edge_numbers(resolved: DataFrame) -> DataFrame:
+    """``src_key, src_type, dst_key, dst_type, e1, e2``: every resolved edge with two 64-bit numbers.
+
+    They are hashes of all its fields under different leading values, 128 bits together, so equal edges
+    have equal numbers and no shuffle is needed to give them out. The fields are hashed as one JSON text,
+    which keeps them apart whatever characters they hold."""
+    whole = F.to_json(F.struct("src_key", "type", "dst_key", F.to_json("props").alias("props")))
+    return resolved.select(
+        "src_key", "src_type", "dst_key", "dst_type",
+        F.xxhash64(F.lit(1), whole).alias("e1"), F.xxhash64(F.lit(2), whole).alias("e2"),
+    )
+
+
+def _touching(links: DataFrame, at: DataFrame, label: str | None) -> DataFrame:
+    """``a, b, e1, e2``: distinct edges with one end in ``at`` (column ``a``), from that end; with
+    ``label`` only those whose other end bears it."""
+    out = links.select(F.col("src_key").alias("a"), F.col("dst_key").alias("b"), "e1", "e2", F.col("dst_type").alias("t"))
+    back = links.where(F.col("src_key") != F.col("dst_key")).select(
+        F.col("dst_key").alias("a"), F.col("src_key").alias("b"), "e1", "e2", F.col("src_type").alias("t")
+    )
+    both = out.unionByName(back)
+    if label is not None:
+        both = both.where(F.col("t") == label)
+    return both.join(at, "a", "left_semi").select("a", "b", "e1", "e2").distinct()
+
+
 def paths(
     nodes: DataFrame,
     resolved: DataFrame,
@@ -104,8 +130,10 @@ def paths(
 
     Seeds: ``seed_nodes`` (a node DataFrame), else ``seed`` as a node name or list
     of names, else every node. Each path is a sequence of distinct edges; nodes may
-    repeat. The result grows with the graph: hubs make it large by nature, and the
-    hop joins are skew-split by AQE rather than capped."""
+    repeat. A hop touches only edges at nodes that were reached, and only these are
+    de-duplicated; the last hop starts from the label: edges whose far end does not bear
+    it are left out before anything is joined. The result grows with the graph: hubs make
+    it large by nature, and the hop joins are skew-split by AQE rather than capped."""
     spark = nodes.sparkSession
     scratch = scratch_dir(spark, "paths") if checkpoint else None
 
@@ -116,12 +144,8 @@ def paths(
         df.write.mode("overwrite").parquet(f"{scratch}/{name}")
         return spark.read.parquet(f"{scratch}/{name}")
 
-    e = edge_id(resolved)
-    adj = e.select(F.col("src_key").alias("a"), F.col("dst_key").alias("b"), "eid").unionByName(
-        e.where(F.col("src_key") != F.col("dst_key")).select(F.col("dst_key").alias("a"), F.col("src_key").alias("b"), "eid")
-    )
+    links = cut(edge_numbers(resolved), "links")
     info = nodes.select(F.col("entity_key").alias("b"), F.col("name").alias("b_name"), F.col("type").alias("b_type"))
-    adj = cut(adj.join(info, "b"), "adjacency")
     start = seed_nodes if seed_nodes is not None else nodes
     if seed_nodes is None and seed is not None:
         seeds = [seed] if isinstance(seed, str) else list(seed)
@@ -130,18 +154,22 @@ def paths(
         F.col("entity_key").alias("seed_key"),
         F.col("entity_key").alias("cur"),
         F.array(F.col("name")).alias("names"),
-        F.array().cast("array<string>").alias("eids"),
+        F.array().cast("array<struct<e1:bigint,e2:bigint>>").alias("eids"),
     )
     found = []
     for hop in range(1, max_hops + 1):
+        at = frontier.select(F.col("cur").alias("a")).distinct()
+        near = _touching(links, at, dst_type if hop == max_hops else None)
+        edge = F.struct("e1", "e2")
         step = (
-            frontier.join(adj, frontier["cur"] == adj["a"])
-            .where(~F.array_contains(F.col("eids"), F.col("eid")))
+            frontier.join(near, frontier["cur"] == near["a"])
+            .where(~F.array_contains(F.col("eids"), edge))
+            .join(info, "b")
             .select(
                 "seed_key",
                 F.col("b").alias("cur"),
                 F.concat(F.col("names"), F.array(F.col("b_name"))).alias("names"),
-                F.concat(F.col("eids"), F.array(F.col("eid"))).alias("eids"),
+                F.concat(F.col("eids"), F.array(edge)).alias("eids"),
                 "b_type",
             )
         )
