@@ -6,20 +6,25 @@ non-empty text, so consecutive chunks share exactly ``overlap`` characters and e
 chunk has at most ``size`` characters. Empty text gives no chunk rows. The work is
 linear in the text length (see ``chunk``).
 
-``recursive`` prefers paragraph, then line, then word, then character breaks; it
-runs per document inside ``mapInPandas`` (a small per-row helper), still one task
-per partition of documents.
+``recursive`` prefers paragraph, then line, then word, then character breaks. A text is cut
+before every paragraph break; pieces longer than ``size`` are cut again before every line break,
+then before every space, then into characters. Pieces that were cut out of the same longer piece
+are packed greedily: a chunk takes pieces as long as it stays within ``size``; the next one starts
+with the trailing pieces that fit in ``overlap`` (and leave room for the piece to come). Breaks stay
+at the front of the piece they precede, so no character is lost. This is SQL too: nested ``split``
+and one fold over the pieces, linear in the text length.
+
+Null and empty texts give no chunks in either mode; a text is one row and is never cut to a prefix.
 """
 
 from __future__ import annotations
 
-from typing import Iterator
+from math import gcd
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from graphweave.functions import folds
 from graphweave.functions.text import chunk_name as _chunk_name
 from graphweave.functions.truth import let
 
@@ -44,7 +49,7 @@ def chunk(
     plus ``chunk_number`` (0-based INT) and ``chunk_name``."""
     _check(size, overlap)
     if mode == "recursive":
-        return _recursive(documents, size, overlap, text_col, name_col)
+        return _numbered(documents, _recursive(F.col(text_col), size, overlap), text_col, name_col)
     if mode != "fixed":
         raise ValueError(f"unknown chunking mode {mode!r}")
     step = size - overlap
@@ -68,12 +73,17 @@ def chunk(
             lambda i: F.substring(F.array_join(F.slice(b, i + 1, F.lit(per_chunk)), ""), 1, size),
         ),
     )
-    others = [c for c in documents.columns if c != text_col]
     staged = documents.withColumn("__n", n_chunks).where(F.col("__n") > 0)
+    return _numbered(staged, texts, text_col, name_col).drop("__n")
+
+
+def _numbered(documents: DataFrame, texts: Column, text_col: str, name_col: str) -> DataFrame:
+    """One row per element of ``texts``, numbered and named."""
+    others = [c for c in documents.columns if c != text_col]
     # posexplode_outer: a plain posexplode lets Spark push an inferred size filter
     # below this projection and build the chunk array twice
     return (
-        staged.select(*others, F.posexplode_outer(texts).alias("chunk_number", "__chunk"))
+        documents.select(*others, F.posexplode_outer(texts).alias("chunk_number", "__chunk"))
         .where(F.col("__chunk").isNotNull())
         .select(
             *others,
@@ -85,86 +95,85 @@ def chunk(
 
 
 # ---------------------------------------------------------------------------
-# recursive splitter (Python helper, applied per document inside a task)
+# recursive splitter
 # ---------------------------------------------------------------------------
 
-SEPARATORS = ("\n\n", "\n", " ", "")
-
-
-def split_recursive(text: str, size: int, overlap: int, separators=SEPARATORS) -> list[str]:
-    """Split ``text`` into pieces of at most ``size`` characters.
-
-    The first separator that occurs in the text is used; pieces still longer than
-    ``size`` are split again with the next separator. Small pieces are packed
-    greedily into chunks; a new chunk starts with trailing pieces of the previous
-    one as long as they fit in ``overlap`` characters. Separators are kept on the
-    left of the piece that follows them, so no character is lost."""
-    if not text:
-        return []
-    sep = separators[-1]
-    rest: tuple = ()
-    for i, s in enumerate(separators):
-        if s == "" or s in text:
-            sep, rest = s, separators[i + 1 :]
-            break
-    if sep:
-        parts = text.split(sep)
-        pieces = [parts[0]] + [sep + p for p in parts[1:]]
-    else:
-        pieces = list(text)
-    pieces = [p for p in pieces if p]
-    out: list[str] = []
-    window: list[str] = []
-    wlen = 0
-
-    def flush():
-        if window:
-            out.append("".join(window))
-
-    for p in pieces:
-        if len(p) > size:
-            flush()
-            window, wlen = [], 0
-            out.extend(split_recursive(p, size, overlap, rest or ("",)))
-            continue
-        if wlen + len(p) > size and window:
-            flush()
-            # keep a tail of the window as overlap
-            while window and (wlen > overlap or wlen + len(p) > size):
-                wlen -= len(window[0])
-                window.pop(0)
-        window.append(p)
-        wlen += len(p)
-    flush()
-    return out
-
-
-def _recursive(documents: DataFrame, size: int, overlap: int, text_col: str, name_col: str) -> DataFrame:
-    from graphweave.session import ship_package
-
-    ship_package(documents.sparkSession)
-    others = [f for f in documents.schema.fields if f.name != text_col]
-    schema = T.StructType(
-        others
-        + [
-            T.StructField("chunk_number", T.IntegerType()),
-            T.StructField("chunk_name", T.StringType()),
-            T.StructField(text_col, T.StringType()),
-        ]
+
+def _cut(text: Column, separator: str) -> Column:
+    """``text`` cut before every ``separator``; empty pieces are left out."""
+    parts = F.transform(
+        F.split(text, separator, -1), lambda p, i: F.when(i == 0, p).otherwise(F.concat(F.lit(separator), p))
     )
-    names = [f.name for f in others]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for rec in pdf.to_dict("records"):
-                pieces = split_recursive(rec[text_col] or "", size, overlap)
-                for i, piece in enumerate(pieces):
-                    r = {k: rec[k] for k in names}
-                    r["chunk_number"] = i
-                    r["chunk_name"] = f"{rec[name_col]}_chunk_{i}"
-                    r[text_col] = piece
-                    rows.append(r)
-            yield pd.DataFrame(rows, columns=[f.name for f in schema.fields])
-
-    return documents.mapInPandas(run, schema)
+    return F.filter(parts, lambda p: p != "")
+
+
+def _leaves(text: Column, size: int, overlap: int) -> Column:
+    """Pieces of at most ``size`` characters in text order: ``(p, len, cut)``. ``cut`` names the
+    longer piece that ``p`` was cut out of: the positions of its paragraph, line and word."""
+
+    def leaf(p: Column, *where) -> Column:
+        where = [F.lit(0) if w is None else w + 1 for w in where]
+        cut = F.struct(*[w.alias(f"c{n}") for n, w in enumerate(where)])
+        return F.struct(p.alias("p"), F.char_length(p).alias("len"), cut.alias("cut"))
+
+    def level(pieces: Column, where: tuple, deeper) -> Column:
+        padded = where + (None,) * (3 - len(where))
+        return F.flatten(F.transform(
+            pieces,
+            lambda p, i: F.when(F.char_length(p) <= size, F.array(leaf(p, *padded))).otherwise(deeper(p, where + (i,))),
+        ))
+
+    # Character breaks: chunk starts and ends all lie on multiples of this block.
+    block = gcd(size, overlap)
+
+    def characters(word: Column, where: tuple) -> Column:
+        cut = F.regexp_extract_all(word, F.lit(f"(?s).{{1,{block}}}"), 0)
+        return F.transform(cut, lambda c: leaf(c, *where))
+
+    def words(line: Column, where: tuple) -> Column:
+        return level(_cut(line, " "), where, characters)
+
+    def lines(paragraph: Column, where: tuple) -> Column:
+        return level(_cut(paragraph, "\n"), where, words)
+
+    return level(_cut(text, "\n\n"), (), lines)
+
+
+def _recursive(text: Column, size: int, overlap: int) -> Column:
+    """The array of chunk texts."""
+
+    def pack(leaves: Column) -> Column:
+        def tail(at: Column, start: Column, room: Column) -> Column:
+            """Trailing pieces of the open chunk that fit in ``room`` characters."""
+            most = F.least(at - start, F.lit(overlap))  # a piece has a character at least
+            newest_first = F.reverse(F.slice(leaves, at - most + 1, most))
+            zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("len"), F.lit(True).alias("open"))
+            return F.aggregate(newest_first, zero, lambda t, x: F.when(
+                t["open"] & (t["len"] + x["len"] <= room),
+                F.struct((t["n"] + 1).alias("n"), (t["len"] + x["len"]).alias("len"), F.lit(True).alias("open")),
+            ).otherwise(F.struct(t["n"].alias("n"), t["len"].alias("len"), F.lit(False).alias("open"))))
+
+        def chunk_of(at: Column, start: Column) -> Column:
+            return F.struct(start.alias("s"), (at - start).alias("n"))
+
+        def step(state, x: Column):
+            at, start, length, cut = state
+            kept = tail(at, start, F.least(F.lit(overlap), F.lit(size) - x["len"]))
+            joined = cut == x["cut"]
+            return [
+                (at == 0, [at + 1, F.lit(0), x["len"], x["cut"]], None),
+                (joined & (length + x["len"] <= size), [at + 1, start, length + x["len"], cut], None),
+                (joined, [at + 1, at - kept["n"], kept["len"] + x["len"], cut], chunk_of(at, start)),
+                (None, [at + 1, at, x["len"], x["cut"]], chunk_of(at, start)),
+            ]
+
+        no_cut = F.struct(*[F.lit(0).alias(f"c{n}") for n in range(3)])
+        chunks = folds.collect(
+            leaves, "struct<s:int,n:int>", [F.lit(0), F.lit(0), F.lit(0), no_cut], step,
+            lambda state: F.filter(F.array(chunk_of(state[0], state[1])), lambda c: c["n"] > 0),
+        )
+        return F.transform(
+            chunks, lambda c: F.array_join(F.transform(F.slice(leaves, c["s"] + 1, c["n"]), lambda x: x["p"]), "")
+        )
+
+    return let(_leaves(text, size, overlap), pack)

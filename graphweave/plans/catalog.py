@@ -1065,12 +1065,66 @@ def python_extractor(spark, sf):
     )
 
 
-@register("chunk_recursive")
+def _cut_sql(source: str, separator: str, keys: str) -> str:
+    """``p`` of ``source`` cut before each ``separator``, numbered by ``i``."""
+    return (
+        f"(SELECT {keys}, i, CASE WHEN i = 1 THEN p ELSE {separator} || p END AS p FROM (SELECT {keys}, "
+        f"unnest(string_split(p, {separator})) AS p, generate_subscripts(string_split(p, {separator}), 1) AS i FROM {source}))"
+    )
+
+
+# Pieces by nested cuts; every piece knows the next start if a chunk began with it (two ASOF
+# joins over positions); the chunks of a group of pieces are then a chain of such starts.
+_RECURSIVE_CHUNKS = (
+    O.with_(O.DOC_FILES).replace("WITH ", "WITH RECURSIVE ", 1)
+    + ", whole AS (SELECT document_name, text AS p FROM doc_files), paras AS (SELECT document_name, i AS c1, p FROM "
+    + _cut_sql("whole", "chr(10) || chr(10)", "document_name")
+    + " WHERE p <> ''), lines AS (SELECT document_name, c1, i AS c2, p FROM "
+    + _cut_sql("(SELECT * FROM paras WHERE length(p) > 1500)", "chr(10)", "document_name, c1")
+    + " WHERE p <> ''), words AS (SELECT document_name, c1, c2, i AS c3, p FROM "
+    + _cut_sql("(SELECT * FROM lines WHERE length(p) > 1500)", "' '", "document_name, c1, c2")
+    + """ WHERE p <> ''), pieces AS (
+  SELECT document_name, c1, 0 AS c2, 0 AS c3, 0 AS c4, '0' AS cut, length(p) AS len FROM paras WHERE length(p) <= 1500
+  UNION ALL SELECT document_name, c1, c2, 0, 0, c1::VARCHAR, length(p) FROM lines WHERE length(p) <= 1500
+  UNION ALL SELECT document_name, c1, c2, c3, 0, c1 || '/' || c2, length(p) FROM words WHERE length(p) <= 1500
+  UNION ALL SELECT document_name, c1, c2, c3, unnest(generate_series(1, length(p))), c1 || '/' || c2 || '/' || c3, 1
+    FROM words WHERE length(p) > 1500),
+ordered AS (
+  SELECT document_name, row_number() OVER w AS n, sum(len) OVER w AS upto, len, cut,
+         CASE WHEN cut IS DISTINCT FROM lag(cut) OVER w THEN 1 ELSE 0 END AS opens
+  FROM pieces WINDOW w AS (PARTITION BY document_name ORDER BY c1, c2, c3, c4)),
+spans AS MATERIALIZED (
+  SELECT document_name, n, opens, (upto - len)::BIGINT AS a, upto::BIGINT AS b,
+         sum(opens) OVER (PARTITION BY document_name ORDER BY n)::BIGINT AS grp FROM ordered),
+ends AS MATERIALIZED (
+  SELECT s.document_name, s.grp, s.n, s.a, s.opens, e.n AS last_n, e.b AS until
+  FROM (SELECT *, a + 1500 AS reach FROM spans) s
+  ASOF JOIN spans e ON s.document_name = e.document_name AND s.grp = e.grp AND s.reach >= e.b),
+following AS (
+  SELECT d.*, greatest(d.until - 500, f.b - 1500) AS from_a
+  FROM ends d JOIN spans f ON f.document_name = d.document_name AND f.grp = d.grp AND f.n = d.last_n + 1),
+jumps AS MATERIALIZED (
+  SELECT f.document_name, f.n, t.n AS next_n
+  FROM following f ASOF JOIN spans t ON f.document_name = t.document_name AND f.grp = t.grp AND f.from_a <= t.a),
+starts AS (
+  SELECT document_name, n FROM spans WHERE opens = 1
+  UNION ALL SELECT j.document_name, j.next_n FROM starts s JOIN jumps j ON j.document_name = s.document_name AND j.n = s.n),
+numbered AS (
+  SELECT document_name, a, until, row_number() OVER (PARTITION BY document_name ORDER BY n) - 1 AS i
+  FROM starts JOIN ends USING (document_name, n))
+SELECT document_name, i::INTEGER AS chunk_number, document_name || '_chunk_' || i AS chunk_name,
+       (until - a)::BIGINT AS chunk_chars, md5(substring(text, a + 1, until - a)) AS chunk_md5
+FROM numbered JOIN doc_files USING (document_name)"""
+)
+
+
+@register("chunk_recursive", _RECURSIVE_CHUNKS)
 def chunk_recursive(spark, sf):
     from graphweave.operators import chunking
 
     c = chunking.chunk(V.doc_files(spark, sf), 1500, 500, mode="recursive")
-    return c.select("document_name", "chunk_number", "chunk_name", F.char_length("text").cast("bigint").alias("chunk_chars"))
+    return c.select("document_name", "chunk_number", "chunk_name", F.char_length("text").cast("bigint").alias("chunk_chars"),
+                    F.md5("text").alias("chunk_md5"))
 
 
 @register(

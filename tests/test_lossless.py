@@ -4,6 +4,7 @@ import datetime as dt
 import io
 import json
 import os
+import time
 import zipfile
 
 import pytest
@@ -31,6 +32,29 @@ def test_nested_lists_to_any_depth(spark):
     assert got["[[],[[]]]"] == "[[], [[]]]" and got['[["it\'s, [a]"]]'] == "[['it\\'s, [a]']]"
 
 
+def test_long_nested_lists_render_in_linear_time(spark):
+    """Two sizes of one shape, a factor of eight apart; text copied per token would cost 64 times as much."""
+    def value(n):
+        return json.dumps([[i, {"k": [i, "a]b"]}, "it's"] for i in range(n)], separators=(",", ":"))
+
+    def expected(n):
+        return "[" + ", ".join("[%d, '{\\\"k\\\":[%d,\\\"a]b\\\"]}', 'it\\'s']" % (i, i) for i in range(n)) + "]"
+
+    seconds = []
+    for n in (12_500, 100_000):
+        start = time.perf_counter()
+        assert literals(spark, [value(n)])[value(n)] == expected(n)
+        seconds.append(time.perf_counter() - start)
+    assert seconds[1] < 30 * max(seconds[0], 0.5)
+
+
+def test_long_strings_inside_lists(spark):
+    text = "a\"b\\\\" * 20_000  # one JSON string of many escapes is one token
+    got = literals(spark, [json.dumps([[text]])])
+    (shown,) = got.values()
+    assert shown == "[['" + text.replace("\\", "\\\\").replace('"', '\\"') + "']]"
+
+
 def test_doubles_print_as_the_rules_say(spark):
     values = [12345678.5, 0.0005, 1e10, 1.5e16, 1e-5, 123456789012345.6, -2.5e-7, 9.5e15, 1e16, 1e-4, 1e18, 3.25e-6, -1e22, 0.1]
     values += [float(f"1.1e{k}") for k in range(-8, 19)]
