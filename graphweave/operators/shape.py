@@ -71,6 +71,22 @@ def complete(
     """Long ``(entities, relationships)`` tables from per-chunk results.
 
     ``results`` needs ``path, document_name, chunk_number, text, result, error``."""
+    return _exploded(_completed(results, embedding_col, name_col))
+
+
+def chunk_counts(results: DataFrame, name_col: str = "document_name") -> DataFrame:
+    """One row per chunk: ``path, document_name, chunk_number, n_entities, n_relationships`` of the
+    completed lists. Both numbers come from one pass over ``results``, without a shuffle; the
+    counts of a run (``stats``) are sums of them."""
+    return _completed(results, None, name_col).select(
+        "path", "document_name", "chunk_number",
+        *[F.coalesce(F.size(c), F.lit(0)).cast("bigint").alias(n)
+          for c, n in (("__ents", "n_entities"), ("__rels", "n_relationships"))],
+    )
+
+
+def _completed(results: DataFrame, embedding_col: str | None, name_col: str) -> DataFrame:
+    """One row per chunk with its completed lists ``__ents`` and ``__rels``."""
     doc = F.col(name_col)
     cnum = F.col("chunk_number")
     cname = _chunk_name(doc, cnum)
@@ -150,7 +166,7 @@ def complete(
             F.create_map(F.lit("chunk_number"), _v(F.col("chunk_number"))),
         ),
     )
-    staged = s2.select(
+    return s2.select(
         "path",
         "document_name",
         "chunk_number",
@@ -158,6 +174,9 @@ def complete(
         F.when(F.col("__failed"), F.col("__rels0")).otherwise(F.concat(F.col("__rels0"), mentions)).alias("__rels"),
         F.when(F.col("__failed"), F.coalesce(F.col("error"), F.lit("no result"))).alias("extraction_error"),
     )
+
+
+def _exploded(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
     entities = staged.select(
         "path", "document_name", "chunk_number", "extraction_error", F.posexplode_outer("__ents").alias("pos", "e")
     ).where(F.col("pos").isNotNull()).select(

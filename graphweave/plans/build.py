@@ -142,6 +142,7 @@ def run_batch(
     if embed:  # the store keeps texts; embeddings are made once per run and read back
         shown = materialize(vectors.embed(shown, "text", embedding_fn, embedding_dims), "embedded")
     nodes, rels = build_graph(shown, embedding_col="embedding" if embed else None)
+    rels = materialize(rels, "relationships")  # tables, statements and the summary read it
     if write_outputs:
         export.write_graph(nodes, rels, f"{work_dir}/graph")
         export.write_script(

@@ -778,8 +778,7 @@ keys AS (
 def per_document_stats(spark, sf):
     from graphweave.operators import stats
 
-    e, r = V.doc_graph(spark, sf)
-    return stats.per_document(e, r)
+    return stats.per_document_counts(shape.chunk_counts(V.doc_results(spark, sf)))
 
 
 @register(
@@ -791,9 +790,9 @@ def per_document_stats(spark, sf):
 def run_summary(spark, sf):
     from graphweave.operators import stats
 
-    chunks = V.doc_chunks(spark, sf)
-    e, r = V.doc_graph(spark, sf)
-    return stats.run_summary(chunks, e, r, merge.merge_entities(e))
+    results = materialize(V.doc_results(spark, sf), "results")  # extracted once; counts and merge read the table
+    nodes = merge.merge_entities(shape.complete(results)[0])
+    return stats.run_counts(shape.chunk_counts(results), nodes)
 
 
 @register(
