@@ -25,10 +25,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textblocks import Words, concat, utf8
+from .textblocks import Words, concat, give_back, utf8
 
 _CACHE_RUNS = 300_000  # distinct runs a worker remembers; more are encoded again
-_BATCH_BYTES = 3 << 20
+_BATCH_BYTES = 3 << 18  # working arrays take some 60 bytes for each
 _KIND = np.zeros(256, dtype=np.uint8)  # 1: ASCII letter, 2: printable ASCII sign but the apostrophe
 _KIND[[*range(65, 91), *range(97, 123)]] = 1
 _KIND[[b for b in range(33, 127) if not chr(b).isalnum() and b != 39]] = 2
@@ -190,6 +190,7 @@ def token_pieces(
 
     def run(batches):
         enc = encoder(tokenizer)
+        give_back()  # what other functions left in this worker
         for batch in batches:
             ids_col, at = batch.column(0).to_pylist(), 0
             for flat, offsets in enc.encode(batch.column(1)):
@@ -203,6 +204,7 @@ def token_pieces(
                 at += len(offsets) - 1
                 cols = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _PIECE)], schema=_PIECE)
+            give_back()
 
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return d.mapInArrow(run, PIECE)

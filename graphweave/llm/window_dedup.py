@@ -48,6 +48,7 @@ from .textblocks import (
     block_count,
     clipped,
     concat,
+    give_back,
     home,
     meet,
     mix,
@@ -221,6 +222,7 @@ def _cut(window: int, layout: bool):
     """Last pass: drop the covered words of each document of the block."""
 
     def run(docs: pa.Table, msgs: pa.Table) -> pa.Table:
+        give_back()
         carried = [docs.schema.field("row")] if "row" in docs.schema.names else []
         if not docs.num_rows:
             return pa.schema([*_RESULT_ARROW, *carried]).empty_table()

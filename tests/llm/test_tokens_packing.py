@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -161,3 +162,13 @@ def test_separators_inside_texts_are_counted(make_docs, dtype):
     rows = list(enumerate(texts(5, 20) + ["<|endoftext|>", "a <|endoftext|>", "<|endoftext|><|endoftext|> b<|endoftext|>c"]))
     got = token_files.document_token_counts(make_docs(rows), WORDS, 49407, dtype).collect()
     assert sorted(map(tuple, got)) == [(i, len(tok.encode(t or "", add_special_tokens=False).ids)) for i, t in rows]
+
+
+def test_encoder_works_on_short_stretches():
+    enc = BatchEncoder(WORDS)
+    text = "some plain words of a text " * 10_000  # 270 kB
+    got = list(enc.encode(pa.array([text] * 8)))
+    assert max(len(offsets) - 1 for _, offsets in got) <= 2  # working arrays are many times the bytes of a stretch
+    assert sum(len(offsets) - 1 for _, offsets in got) == 8
+    want = enc.tok.encode(text, add_special_tokens=False).ids
+    assert all(np.array_equal(ids[a:b], want) for ids, o in got for a, b in zip(o[:-1], o[1:]))
