@@ -94,3 +94,41 @@ def test_hot_key_is_pre_aggregated_before_the_shuffle(spark):
     assert "partial_min_by" in below and "partial_max_by" in below
     hub = merged.where(F.col("entity_key") == "T_hub").select(F.to_json("props").alias("p")).first().p
     assert json.loads(hub) == {"name": "hub", "p": 3}  # 0 is falsy: first truthy value wins
+
+
+def test_mostly_unique_keys_give_the_same_nodes(spark):
+    rows = [row(k, "Topic", {"z": k, "name": f"n{k}", "a": ""}) for k in range(40)]
+    rows += [row(90, "Empty", {}), row(91, "Chunk", {"chunk_number": 1, "name": "c", "text": None})]
+    rows += [row(100 + k, "Topic", {"name": f" N{k}", "b": k, "z": 0}) for k in range(0, 40, 7)]  # second rows of a key
+    rows += [row(0, "Topic", {"name": "n3", "c": 1}), (None, None, None, None, "Topic", '{"name": "lone"}')]
+    ents = entity_rows(spark, rows)
+
+    def nodes(mostly_unique):
+        n = merge.merge_entities(ents, mostly_unique=mostly_unique)
+        return n.columns, sorted(
+            map(str, n.select("entity_key", "type", "name", F.to_json("props"), F.map_keys("props"), "first_ord").collect()))
+
+    assert nodes(True) == nodes(False)
+    assert len(nodes(True)[1]) == 43
+
+
+def test_star_nodes_are_mostly_alone_with_their_key(spark, tmpdir_path):
+    from graphweave.plans import views
+
+    tables = {
+        "customer": [(k, f"C{k}", 0, 1.0, "S") for k in range(30)], "supplier": [(1, "Sup", 2.0)],
+        "part": [(1, "B", 3, 4.0)], "orders": [(k, "F", 1.0, "P", k) for k in range(30)],
+        "nation": [(0, "N")], "region": [(0, "R")],
+    }
+    columns = {
+        "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+        "supplier": "s_suppkey long, s_name string, s_acctbal double",
+        "part": "p_partkey long, p_brand string, p_size int, p_retailprice double",
+        "orders": "o_orderkey long, o_orderstatus string, o_totalprice double, o_orderpriority string, o_custkey long",
+        "nation": "n_nationkey int, n_name string", "region": "r_regionkey int, r_name string",
+    }
+    for name, rows in tables.items():
+        spark.createDataFrame(rows, columns[name]).write.parquet(f"{tmpdir_path}/{name}.parquet")
+    nodes = views.star_nodes(spark, tmpdir_path)
+    assert "LeftAnti" in nodes._jdf.queryExecution().optimizedPlan().toString()  # no shuffle of whole rows for these
+    assert nodes.count() == 30 + 1 + 1 + 30 + 2 + 2
