@@ -5,6 +5,7 @@ import json
 import os
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from graphweave.sources import files, manifest, store
@@ -213,3 +214,26 @@ def test_empty_files_get_a_manifest_row(spark, tmpdir_path):
         run_batch(spark, src, work, run)
     rows = sorted((r.document_name, r.run_id, r.status) for r in msrc.read(spark, f"{work}/manifest").collect())
     assert rows == [("a", "r1", "ok"), ("none", "r1", "ok")]
+
+
+def test_jobs_of_a_micro_batch_run_side_by_side(spark):
+    import threading
+
+    from graphweave.streaming.ingest import together
+
+    both = threading.Barrier(2, timeout=20)  # one after the other, neither would pass
+    spark.sparkContext.setLocalProperty("graphweave.test", "kept")
+    seen = []
+
+    def job():
+        both.wait()
+        seen.append((spark.sparkContext.getLocalProperty("graphweave.test"), spark.range(3).count()))
+
+    together(spark, job, job)
+    assert seen == [("kept", 3)] * 2
+
+    def fails():
+        raise ValueError("no")
+
+    with pytest.raises(ValueError):
+        together(spark, fails, lambda: None)
