@@ -1192,7 +1192,7 @@ def stem_collisions(spark, sf):
 )
 def dedup_nodes(spark, sf):
     """A4 (nodes): what a MERGE on label + all properties keeps, counted per label."""
-    n, _ = _star(spark, sf)
+    n = materialize(V.star_nodes(spark, sf), "star-nodes")
     return edges.dedupe_nodes(n).groupBy("type").agg(F.count("*").cast("bigint").alias("n"))
 
 

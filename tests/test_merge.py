@@ -132,3 +132,9 @@ def test_star_nodes_are_mostly_alone_with_their_key(spark, tmpdir_path):
     nodes = views.star_nodes(spark, tmpdir_path)
     assert "LeftAnti" in nodes._jdf.queryExecution().optimizedPlan().toString()  # no shuffle of whole rows for these
     assert nodes.count() == 30 + 1 + 1 + 30 + 2 + 2
+
+    from graphweave.plans import catalog
+
+    # the labels need no relationships: there is no lineitem table here
+    got = {r.type: r.n for r in catalog.dedup_nodes(spark, tmpdir_path).collect()}
+    assert got == {"Person": 30, "Organization": 1, "Product": 1, "Event": 30, "Location": 3, "Topic": 1}
