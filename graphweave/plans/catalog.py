@@ -258,7 +258,8 @@ def merge_state(spark, sf):
     first two compacted, give what one merge of all rows gives."""
     from graphweave.session import scratch_dir
 
-    rows = merge.prepare(V.event_rows(spark, sf))[0].withColumn("third", F.pmod(F.xxhash64("path", "seq", "pos"), F.lit(3)))
+    rows = materialize(merge.prepare(V.event_rows(spark, sf))[0], "event-rows")  # every batch reads them
+    rows = rows.withColumn("third", F.pmod(F.xxhash64("path", "seq", "pos"), F.lit(3)))
     state = merge.MergeState(spark, scratch_dir(spark, "merge-state"))
     for batch in (0, 1, 1):
         state.add(rows.where(F.col("third") == batch).drop("third"), f"b{batch}", ("path", "seq", "pos"))

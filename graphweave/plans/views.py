@@ -79,7 +79,8 @@ def concept_rows(spark, sf_dir) -> DataFrame:
 def event_rows(spark, sf_dir) -> DataFrame:
     """Events as entity rows keyed by (event_type, user_id); property ``k`` from the
     JSON ``props`` with ``""`` injected when ``event_id % 4 = 0``; order = event_id."""
-    e = table(spark, sf_dir, "events")
+    # dealt first: a file of few row groups is read by few tasks, and the rows are parsed and merged after
+    e = table(spark, sf_dir, "events").hint("rebalance", "event_id")
     k = F.when(F.col("event_id") % 4 == 0, F.lit("").cast("variant")).otherwise(
         F.try_element_at(F.from_json("props", "map<string,variant>"), F.lit("k"))
     )

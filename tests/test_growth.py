@@ -65,3 +65,11 @@ def test_rows_without_large_properties_take_one_lane(spark):
 def test_truth_of_a_value(spark, value):
     df = spark.sql("select 1 as i").select(F.parse_json(F.lit(value)).alias("value"))
     assert merge._judged(df).select("good").first()[0] == bool(json.loads(value))
+
+
+def test_events_are_dealt_and_prepared_once(spark, sf):
+    """merge_state: a file of one row group does not make one task; batches read the prepared rows."""
+    assert "Rebalance" in plan(views.event_rows(spark, sf))
+    state = {(r.entity_key, r.prop, r.value_json) for r in catalog.QUERIES["merge_state"](spark, sf).collect()}
+    whole = {(r.entity_key, r.prop, r.value_json) for r in catalog.QUERIES["merge_first_truthy"](spark, sf).collect()}
+    assert state == whole and len(state) == 6
