@@ -10,7 +10,8 @@ state. Only then is the text walked once with known states.
 States: ``.`` outside, the three quotes, ``L`` in a line comment, ``C`` in a block comment. A
 backslash escapes the next character inside ``'`` and ``"``, also a semicolon.
 
-Distribution: one shuffle of the text by tile (``TILE`` pieces); every list that is
+Distribution: two shuffles of the text by tile (``TILE`` pieces), one to compose the tiles' functions, which
+are written once under the shared checkpoint folder, and one to walk it; every list that is
 gathered holds at most ``TILE`` pieces, the tiles of one file split, the splits of ``SPAN`` bytes or the spans of
 one file. Statements that cross a tile border are put together from their fragments; numbering these is a
 window over at most two rows per tile. No value is larger than a tile or a statement.
@@ -25,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from graphweave.sources.store import written
+
 TILE = 1024
 SPAN = 64 << 30
 STATES = ".'\"`LC"
@@ -50,10 +53,23 @@ def _reopen(state: Column) -> Column:
     return F.replace(s, F.lit("C"), F.lit("/*"))
 
 
+def _plain(piece: Column) -> Column:
+    """Holds nothing that opens or closes a quote or a comment; a line feed may end a line comment."""
+    return ~piece.rlike(r"""['"`/*]""")
+
+
 def _move(piece: Column) -> Column:
     """End state for each start state, as letters in the order of ``STATES``."""
     walked = F.concat(*[_end(F.concat(_reopen(F.lit(s)), piece)) for s in STATES])
-    return F.when(piece.rlike(r"""['"`/*\n]"""), walked).otherwise(F.lit(STATES))
+    line_ends = F.lit(STATES.replace("L", "."))
+    return F.when(~_plain(piece), walked).when(F.contains(piece, F.lit("\n")), line_ends).otherwise(F.lit(STATES))
+
+
+def _next(state: Column, piece: Column) -> Column:
+    """State after ``piece`` when it begins in ``state``."""
+    line_ends = F.replace(state, F.lit("L"), F.lit("."))
+    walked = _end(F.concat(_reopen(state), piece))
+    return F.when(~_plain(piece), walked).when(F.contains(piece, F.lit("\n")), line_ends).otherwise(state)
 
 
 def _apply(move: Column, states: Column) -> Column:
@@ -98,13 +114,15 @@ def statements(spark: SparkSession, path: str, tile: int = TILE) -> DataFrame:
     tiles = pieces.groupBy(*where).agg(F.sort_array(F.collect_list(F.struct("n", "value"))).alias("l")).select(
         *where, F.transform("l", lambda x: x["value"]).alias("pieces")
     )
-    starts = _starts(tiles.select(*where, _compose(F.transform("pieces", _move)).alias("move")), where)
+    # the pieces are read as functions once; each level of the scan reads the tiles' functions twice
+    moves = written(tiles.select(*where, _compose(F.transform("pieces", _move)).alias("move")), "moves")
+    starts = _starts(moves, where)
     # one letter per piece: the state after it
     ends = F.aggregate(
         "pieces",
         F.struct(F.col("start").alias("s"), F.lit("").alias("out")),
         lambda acc, p: F.transform(
-            F.array(_end(F.concat(_reopen(acc["s"]), p))), lambda e: F.struct(e.alias("s"), F.concat(acc["out"], e).alias("out"))
+            F.array(_next(acc["s"], p)), lambda e: F.struct(e.alias("s"), F.concat(acc["out"], e).alias("out"))
         )[0],
         lambda acc: acc["out"],
     )

@@ -34,7 +34,8 @@ def read_if_exists(spark: SparkSession, path: str, schema: str | None = None) ->
         raise
 
 
-def _aside(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared checkpoint folder and read back."""
     from graphweave.session import scratch_dir
 
     path = scratch_dir(df.sparkSession, name)
@@ -60,9 +61,9 @@ def write_store(results: DataFrame, store_path: str, run_id: str | None = None)
         if not earlier.isEmpty():
             # extraction is costly: it is written once, then compared; a partition that is
             # being replaced cannot be read at the same time, so what stays is written aside too
-            out = _aside(out, "new-results")
+            out = written(out, "new-results")
             file = ["path"] if "path" in out.columns else [c for c in KEY if c in out.columns]
-            out = out.unionByName(_aside(earlier.join(out.select(*file).distinct(), file, "left_anti"), "kept-results"),
+            out = out.unionByName(written(earlier.join(out.select(*file).distinct(), file, "left_anti"), "kept-results"),
                                   allowMissingColumns=True)
     (
         out.withColumn("run_id", F.lit(run_id))

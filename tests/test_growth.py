@@ -73,3 +73,11 @@ def test_events_are_dealt_and_prepared_once(spark, sf):
     state = {(r.entity_key, r.prop, r.value_json) for r in catalog.QUERIES["merge_state"](spark, sf).collect()}
     whole = {(r.entity_key, r.prop, r.value_json) for r in catalog.QUERIES["merge_first_truthy"](spark, sf).collect()}
     assert state == whole and len(state) == 6
+
+
+def test_script_pieces_are_read_as_functions_once(spark, tmpdir_path):
+    with open(f"{tmpdir_path}/s.txt", "w") as f:
+        f.write("MERGE (a {t: 'x;y'}); // no; end\nMERGE (b);\n/* ; */ MERGE (c);")
+    got = script_scan.statements(spark, tmpdir_path, tile=2)
+    assert any("graphweave-moves" in f for f in got.inputFiles())
+    assert sorted(r.statement.strip() for r in got.collect())[-3:] == ["MERGE (a {t: 'x;y'})", "MERGE (b)", "MERGE (c)"]
