@@ -224,7 +224,8 @@ def entity_keys(spark, sf):
     "FROM keyed GROUP BY entity_key",
 )
 def merge_entities_q(spark, sf):
-    n = merge.merge_entities(V.concept_rows(spark, sf))
+    rows = materialize(V.concept_rows(spark, sf), "concepts")  # extracted once; both lanes of the merge read the table
+    n = merge.merge_entities(rows)
     return n.select("entity_key", "type", "name", F.size("props").cast("bigint").alias("n_props"))
 
 
@@ -1141,7 +1142,8 @@ def chunk_embedding_index(spark, sf):
     res = V.doc_results(spark, sf)
     res = vectors.embed(res, "text", dims=64)
     e, _ = shape.complete(res, embedding_col="embedding")
-    nodes = materialize(merge.merge_entities(e.where(F.col("type") == "Chunk")), "chunk-nodes")
+    rows = materialize(e.where(F.col("type") == "Chunk"), "chunk-rows")  # embedded once; both lanes of the merge read the table
+    nodes = materialize(merge.merge_entities(rows), "chunk-nodes")
     return export.index_statements(nodes, enabled=True, dims=None)
 
 

@@ -67,6 +67,21 @@ def test_truth_of_a_value(spark, value):
     assert merge._judged(df).select("good").first()[0] == bool(json.loads(value))
 
 
+def test_concepts_are_extracted_once(spark, sf):
+    """merge_entities: both lanes of the merge read the written rows."""
+    nodes = catalog.QUERIES["merge_entities"](spark, sf)
+    assert "regexp_extract_all" not in plan(nodes)
+    assert sorted(r.entity_key for r in nodes.collect()) == ["Concept_apache", "Concept_license"]
+
+
+def test_chunks_are_embedded_once(spark, sf, monkeypatch):
+    """chunk_embedding_index: both lanes of the merge read the written chunk rows."""
+    seen, write = [], catalog.materialize
+    monkeypatch.setattr(catalog, "materialize", lambda df, name: seen.append((name, plan(df))) or write(df, name))
+    assert [r.type for r in catalog.QUERIES["chunk_embedding_index"](spark, sf).collect()] == ["Chunk"]
+    assert [n for n, p in seen if "regexp_extract_all" in p] == ["chunk-rows"]
+
+
 def test_events_are_dealt_and_prepared_once(spark, sf):
     """merge_state: a file of one row group does not make one task; batches read the prepared rows."""
     assert "Rebalance" in plan(views.event_rows(spark, sf))
