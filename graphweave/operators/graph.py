@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphweave.operators.edges import strict
+from graphweave.operators.edges import at_known, dealt, hub_hashes, is_hub, known_names
 from graphweave.session import scratch_dir
 
 
@@ -36,20 +36,29 @@ def name_nodes(nodes: DataFrame) -> DataFrame:
 
 
 def undirected_edges(nodes: DataFrame, rels: DataFrame, ord_cols=("path", "chunk_number", "pos")) -> DataFrame:
-    """``u, v, type, source, target, props`` with ``u <= v``."""
-    kept = strict(nodes, rels)
-    o = F.struct(*[F.col(c) for c in ord_cols])
-    return (
-        kept.select(
-            F.least("source", "target").alias("u"),
-            F.greatest("source", "target").alias("v"),
-            o.alias("__ord"),
-            F.struct("type", "source", "target", "props").alias("r"),
-        )
-        .groupBy("u", "v")
-        .agg(F.max_by("r", "__ord").alias("r"))
-        .select("u", "v", "r.type", "r.source", "r.target", "r.props")
+    """``u, v, type, source, target, props`` with ``u <= v``.
+
+    Whether both names exist is the same for all relationships of a pair, so the pair is folded first, where
+    its smaller name is looked up: one shuffle by ``u`` serves both, a second by ``v`` the other name. Only
+    a pair of two hubs can hold a large part of all rows; such pairs are folded before they are dealt."""
+    hot = hub_hashes(rels)
+    rows = rels.where(F.col("source").isNotNull() & F.col("target").isNotNull()).select(
+        F.least("source", "target").alias("u"),
+        F.greatest("source", "target").alias("v"),
+        F.struct(*[F.col(c) for c in ord_cols]).alias("o"),
+        F.struct("type", "source", "target", "props").alias("r"),
     )
+    if hot:
+        two = is_hub("u", hot) & is_hub("v", hot)
+        few = rows.where(two).groupBy("u", "v").agg(F.max("o").alias("o"), F.max_by("r", "o").alias("r"))
+        rows = rows.where(~two).unionByName(few)
+    pair = F.xxhash64("u", "v")
+    rows = dealt(dealt(rows, hot, "u", "__us", pair), hot, "v", "__vs", pair).withColumn("__us_hash", F.xxhash64("u"))
+    at = ["__us_hash", "u", "__us"]
+    folded = rows.repartition(*at).groupBy(*at, "v", "__vs").agg(F.max_by("r", "o").alias("r"))
+    names = known_names(nodes, hot)
+    kept = at_known(at_known(folded, names, "u", "__us"), names, "v", "__vs")
+    return kept.select("u", "v", "r.type", "r.source", "r.target", "r.props")
 
 
 def match(resolved: DataFrame, src_type: str | None, rel_type: str | None, dst_type: str | None) -> DataFrame:

@@ -8,8 +8,9 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from rows import entity_rows
-from graphweave.operators import extract, merge, script_scan
+from rows import entity_rows, rel_rows
+from graphweave.operators import edges, extract, graph, merge, script_scan
+from graphweave.functions import text
 from graphweave.plans import catalog, views
 
 TEXTS = ["Apache License of Ann at a@b.com1@c.com, 10.0.0.1", "x" * 3000, "Zoe wrote to x.y+z@a-b.co.uk", "", None]
@@ -96,3 +97,45 @@ def test_script_pieces_are_read_as_functions_once(spark, tmpdir_path):
     got = script_scan.statements(spark, tmpdir_path, tile=2)
     assert any("graphweave-moves" in f for f in got.inputFiles())
     assert sorted(r.statement.strip() for r in got.collect())[-3:] == ["MERGE (a {t: 'x;y'})", "MERGE (b)", "MERGE (c)"]
+
+
+def test_repeated_keys_are_counted_before_the_join(spark):
+    """star_nodes: the join with the repeated hashes is planned by their own size; rows alone are not shuffled."""
+    data = [("f", "d", 0, i, "Person", json.dumps({"name": f"p{i % 40}"})) for i in range(42)]
+    rows = entity_rows(spark, data)
+    got = merge.merge_entities(rows, mostly_unique=True)
+    assert any("graphweave-repeated" in f for f in got.inputFiles())
+    assert sorted(r.entity_key for r in got.collect()) == sorted(r.entity_key for r in merge.merge_entities(rows).collect())
+
+
+@pytest.mark.parametrize("name", ["a", " a", "a ", "\u00a0a\n", "a\u2003", "\x1f", "", " ", "é", "é ", "a b", None])
+def test_names_are_stripped_without_a_search(spark, name):
+    row = spark.createDataFrame([(name,)], "n string").select(text.ustrip("n").alias("s"), text.is_all_space("n").alias("e")).first()
+    assert tuple(row) == ((None, None) if name is None else (name.strip(), not name.strip()))
+
+
+def test_a_pair_is_folded_where_its_first_name_is_looked_up(spark):
+    """undirected_edges: one shuffle of the rows for fold and first name, one for the second; hub pairs fold before."""
+    data = [("f", "d", 0, i, "a", "hub", "NEAR") for i in range(900)]
+    data += [("f", "d", 1, i, f"n{i % 7}", f"n{i % 5}", "KNOWS") for i in range(70)] + [("f", "d", 2, 0, "hub", "a", "LAST")]
+    data += [("f", "d", 3, 0, "a", "gone", "NEAR"), ("f", "d", 3, 1, None, "a", "NEAR")]
+    nodes = merge.merge_entities(entity_rows(spark, [
+        ("f", "d", 0, i, "Person", json.dumps({"name": n})) for i, n in enumerate(["a", "hub"] + [f"n{i}" for i in range(7)])]))
+    want = {}
+    for _, _, c, i, s, t, k in data:
+        if None not in (s, t) and "gone" not in (s, t):
+            want[min(s, t), max(s, t)] = max(want.get((min(s, t), max(s, t)), (-1,)), (c, i, k, s, t))
+    got = graph.undirected_edges(nodes, rel_rows(spark, data))
+    assert {(r.u, r.v): (r.type, r.source, r.target) for r in got.collect()} == {k: v[2:] for k, v in want.items()}
+    assert got.count() == len(want) and "REPARTITION_BY_COL" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_edges_are_sorted_by_a_hash(spark):
+    """dedupe, resolve: long names that begin alike are not what the sorts compare first."""
+    nodes = merge.merge_entities(entity_rows(spark, [
+        ("f", "d", 0, i, "Person", json.dumps({"name": n})) for i, n in enumerate(["a", "b"])]))
+    rels = rel_rows(spark, [("f", "d", 0, i, "a", "b", "KNOWS") for i in range(3)] + [("f", "d", 0, 4, "b", "a", "KNOWS")])
+    resolved = edges.resolve(nodes, rels)
+    got = edges.dedupe(resolved)
+    assert got.columns == [*resolved.columns, "props_json"] and "xxhash64(src_key" in plan(got)
+    assert sorted((r.src_key, r.dst_key) for r in got.collect()) == [("Person_a", "Person_b"), ("Person_b", "Person_a")]
