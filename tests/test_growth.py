@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rows import entity_rows, rel_rows
-from graphweave.operators import edges, extract, graph, merge, script_scan
+from graphweave.operators import edges, extract, graph, merge, script_scan, vectors
 from graphweave.functions import text
 from graphweave.plans import catalog, views
 
@@ -139,3 +139,23 @@ def test_edges_are_sorted_by_a_hash(spark):
     got = edges.dedupe(resolved)
     assert got.columns == [*resolved.columns, "props_json"] and "xxhash64(src_key" in plan(got)
     assert sorted((r.src_key, r.dst_key) for r in got.collect()) == [("Person_a", "Person_b"), ("Person_b", "Person_a")]
+
+
+def test_the_reach_of_a_query_bounds_its_tiles(spark, monkeypatch):
+    """vector_top_k: after the home cell only vectors within the reach leave a tile."""
+    rnd = random.Random(5)
+    rows = [(i, [rnd.gauss(0, 1) for _ in range(6)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    seen, tiles = [], vectors.PivotIndex.tiles
+
+    def kept(self, *a):
+        found = tiles(self, *a)
+        seen.append(found)
+        return found
+
+    monkeypatch.setattr(vectors.PivotIndex, "tiles", kept)
+    got = vectors.top_k(df, df, 5, exclude_self=True, pivots=8, block_rows=32)
+    assert got.count() == 1500
+    worst = {r.query_id: r.sim for r in seen[0].groupBy("query_id").agg(F.sort_array(F.collect_list("sim"), False).alias("s"))
+             .where(F.size("s") >= 5).select("query_id", F.col("s")[4].alias("sim")).collect()}
+    assert all(r.sim >= worst[r.query_id] - 2e-6 for r in seen[1].collect() if r.query_id in worst)
