@@ -10,7 +10,8 @@
 * ``paths`` (J9): undirected paths of 1..max_hops edges from seed nodes to nodes of a
   label, no edge used twice in a path; built hop by hop with equi-joins on edges of the
   nodes reached; the numbered edges and each frontier are written once under the shared checkpoint
-  folder and read back, so no hop recomputes the lineage before it.
+  folder and read back, so no hop recomputes the lineage before it. A frontier of more than ``FEW`` rows
+  and the names of nodes are joined by sort and merge, never broadcast through the driver.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 from graphweave.operators.edges import at_known, dealt, hub_hashes, is_hub, known_names
 from graphweave.session import scratch_dir
 
+FEW = 100_000  # a frontier of so many rows may be broadcast
+
 
 def name_nodes(nodes: DataFrame) -> DataFrame:
     """A5: ``node_id, type, props`` – last node (by merge order) per name wins."""
@@ -165,15 +168,18 @@ def paths(
         F.array(F.col("name")).alias("names"),
         F.array().cast("array<struct<e1:bigint,e2:bigint>>").alias("eids"),
     )
-    found = []
+    frontier, found = cut(frontier, "seeds"), []
     for hop in range(1, max_hops + 1):
+        many = scratch is None or frontier.count() > FEW
         at = frontier.select(F.col("cur").alias("a")).distinct()
+        if many:
+            frontier, at = frontier.hint("merge"), at.hint("merge")
         near = _touching(links, at, dst_type if hop == max_hops else None)
         edge = F.struct("e1", "e2")
         step = (
             frontier.join(near, frontier["cur"] == near["a"])
             .where(~F.array_contains(F.col("eids"), edge))
-            .join(info, "b")
+            .join(info.hint("merge"), "b")
             .select(
                 "seed_key",
                 F.col("b").alias("cur"),
